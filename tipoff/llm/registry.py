@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tipoff.llm import mixing, secrets
+from tipoff.llm import fingerprints, mixing, secrets
 
-MODULES = (mixing, secrets)
+MODULES = (fingerprints, mixing, secrets)
 
 
 def queries() -> dict:
