@@ -126,7 +126,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
     pieces = placed.withColumn("block", F.explode_outer(F.when(F.col("size") > 0, F.sequence(F.floor(F.col("from") / block), F.floor((F.col("to") - 1) / block)))))
     here = F.least(F.col("to"), (F.col("block") + 1) * block) - F.greatest(F.col("from"), F.col("block") * block)
     return (
-        pieces.join(taken_blocks, ["src", "block"], "left")
+        pieces.join(taken_blocks.hint("merge"), ["src", "block"], "left")
         .groupBy("src", "stretch", "nth", "doc_id", "size", "source", "source_size", "target")
         .agg(F.sum(F.coalesce(here * F.col("times"), F.lit(0))).cast("long").alias("taken"))
         .select("doc_id", "size", "source", "source_size", "target", "taken")
