@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tipoff.llm import fingerprints, mixing, secrets
+from tipoff.llm import fingerprints, mixing, secrets, toxicity
 
-MODULES = (fingerprints, mixing, secrets)
+MODULES = (fingerprints, mixing, secrets, toxicity)
 
 
 def queries() -> dict:
