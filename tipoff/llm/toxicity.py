@@ -6,7 +6,7 @@ value law of local scores (lambda from the background distribution of token scor
 a logistic curve fitted on the training rows turns a document's calibrated evidence into a probability.
 
 Bounded sample: at most MAX_TRAIN labelled rows, chosen by a hash of doc_id; the model keeps at most MAX_FEATURES
-features. Features of a token are its folded word and the word's leading 5, 6 and 7 bytes; the most significant one scores it.
+features. Features of a token are its folded word and the word's leading 4 to 8 bytes; the most significant one scores it.
 
 Defined results: null or empty texts have no segment and get the score of no evidence; without usable labels (none, or
 of one kind) every score is the share of toxic labels (0 if none); a doc_id with several labels counts as toxic if any
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from tipoff.llm import _common, _text
 
 MAX_TRAIN, MAX_FEATURES = 20_000, 50_000
-PREFIXES = (5, 6, 7)
+PREFIXES = (4, 5, 6, 7, 8)
 #: Prior mass, least significance of a feature, bounds of a token's log-odds, what a token without evidence costs.
-PRIOR, MIN_Z, CLIP, DRIFT = 4.0, 2.5, 8.0, 0.25
+PRIOR, MIN_Z, CLIP, DRIFT = 4.0, 3.3, 8.0, 0.25
 #: Karlin-Altschul K, and the least calibrated score of a significant passage (E-value 0.05).
 K, MIN_BITS = 0.1, 3.0
 THRESHOLD = 0.3
@@ -122,10 +122,12 @@ class Model:
         self.lam = lo
 
     def evidence(self, segments: list[tuple[int, int, float]], tokens: int) -> float:
-        """Calibrated scores lambda S - ln(K n) of all significant passages, the largest in full and the others added as they shrink."""
+        """Calibrated scores lambda S - ln(K n) of all significant passages, the largest in full and the others added as they shrink;
+        on a scale that is logarithmic for large evidence."""
         floor = -np.log(K * tokens + 1.0)
         x = sorted((self.lam * s + floor for _, _, s in segments), reverse=True)
-        return max(x[0], floor) + sum(v / (k + 2) for k, v in enumerate(x[1:]) if v > MIN_BITS) if x else floor
+        total = max(x[0], floor) + sum(v / (k + 2) for k, v in enumerate(x[1:]) if v > MIN_BITS) if x else floor
+        return float(np.arcsinh(total / 2))
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.a * x + self.b, -30, 30))) if self.a else np.full(len(x), self.base)
@@ -192,6 +194,7 @@ def _background(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     """Learn from at most max_train labelled rows outside the held-out fold."""
     spark = docs.sparkSession
+    _common.ship(spark)
     labels = _common.columns(labels, doc_id="long", toxic="int").filter("doc_id is not null and toxic in (0, 1)").filter(~_common.held_out())
     ids = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
     ids = spark.createDataFrame([tuple(r) for r in ids.collect()], "doc_id long, toxic int")  # at most max_train rows
@@ -202,8 +205,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), base)
     seen = rows.mapInArrow(_presence, "f long, y1 double, y0 double").groupBy("f").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")).filter("y1 + y0 >= 2")
     share = PRIOR * (F.col("y1") + F.col("y0") + 0.5) / (n1 + n0 + 1)
-    a1, a0 = F.col("y1") + share, F.col("y0") + share
-    odds = F.ln(a1 / (n1 + PRIOR - a1 + 0.01)) - F.ln(a0 / (n0 + PRIOR - a0 + 0.01))
+    a1, a0 = F.col("y1") + share + 0.5, F.col("y0") + share + 0.5
+    odds = F.ln(a1 / (n1 + PRIOR + 1 - a1)) - F.ln(a0 / (n0 + PRIOR + 1 - a0))
     z = odds / F.sqrt(1 / a1 + 1 / a0)
     top = seen.select("f", odds.alias("odds"), z.alias("z")).filter((F.col("z") > MIN_Z) | (F.col("z") < -4)).orderBy(F.abs("z").desc(), "f").limit(MAX_FEATURES).toPandas()
     model = Model(top.f.to_numpy(np.int64).view(np.uint64), np.clip(top.odds.to_numpy(float), -1.0, CLIP), top.z.to_numpy(float), base)
