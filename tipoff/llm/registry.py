@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tipoff.llm import fingerprints, language, mixing, secrets, toxicity
+from tipoff.llm import fingerprints, language, mixing, pieces, secrets, toxicity
 
-MODULES = (fingerprints, language, mixing, secrets, toxicity)
+MODULES = (fingerprints, language, mixing, pieces, secrets, toxicity)
 
 
 def queries() -> dict:
