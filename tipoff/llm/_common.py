@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -58,6 +59,11 @@ class Scratch:
         out._tipoff_path = path
         return out
 
+    def free(self) -> None:
+        """Let Spark delete the shuffle files of finished jobs now rather than when the driver next collects garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm

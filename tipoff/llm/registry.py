@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tipoff.llm import fingerprints, language, mixing, neighbours, pieces, secrets, toxicity
+from tipoff.llm import fingerprints, language, mixing, neighbours, pieces, secrets, substrings, toxicity
 
-MODULES = (fingerprints, language, mixing, neighbours, pieces, secrets, toxicity)
+MODULES = (fingerprints, language, mixing, neighbours, pieces, secrets, substrings, toxicity)
 
 
 def queries() -> dict:
