@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tipoff.llm import fingerprints, language, mixing, neighbours, ngram_join, pieces, secrets, substrings, toxicity
+from tipoff.llm import fingerprints, language, mixing, neighbours, ngram_join, pieces, secrets, substrings, suffixes, toxicity
 
-MODULES = (fingerprints, language, mixing, neighbours, ngram_join, pieces, secrets, substrings, toxicity)
+MODULES = (fingerprints, language, mixing, neighbours, ngram_join, pieces, secrets, substrings, suffixes, toxicity)
 
 
 def queries() -> dict:
