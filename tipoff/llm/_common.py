@@ -43,6 +43,9 @@ def shared_dir(spark: SparkSession) -> str:
     return there.rstrip("/")
 
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Intermediate Parquet tables in the shared folder: they cut lineage and survive lost executors."""
 
@@ -54,7 +57,12 @@ class Scratch:
     def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
         self.n += 1
         path = f"{self.base}/{self.n}-{name}"
-        df.write.parquet(path)
+        was = self.spark.conf.get(CLEAN, None)
+        self.spark.conf.set(CLEAN, "true")  # the job's shuffle files have no reader after the table is written
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.unset(CLEAN) if was is None else self.spark.conf.set(CLEAN, was)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._tipoff_path = path
         return out
