@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tipoff.llm import _common
 
 DIMS, CONFIDENCE, LEAF, SEED = 8, 0.95, 64, 8
-DATA_BLOCK, QUERY_BLOCK, TOP, QUERY_STEP = 8192, 1024, 20, 20
+DATA_BLOCK, QUERY_BLOCK, TOP, QUERY_STEP = 8192, 512, 20, 20
 
 
 def chi_square_cdf(x: np.ndarray, dof: int) -> np.ndarray:
@@ -56,11 +56,14 @@ class KdTree:
         self.high = np.stack([points[x].max(0) for x in leaves])
 
     def order(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Leaves by distance of their box from q, and those squared distances."""
-        gap = np.maximum(self.low - q, 0) + np.maximum(q - self.high, 0)
-        d = (gap * gap).sum(1)
-        o = np.argsort(d, kind="stable")
-        return o, d[o]
+        """For each query, leaves by distance of their box, and those squared distances."""
+        d = np.zeros((len(q), len(self.leaves)))
+        for k in range(q.shape[1]):
+            x = q[:, k, None]
+            gap = np.maximum(self.low[:, k] - x, 0) + np.maximum(x - self.high[:, k], 0)
+            d += gap * gap
+        o = np.argsort(d, axis=1, kind="stable")
+        return o, np.take_along_axis(d, o, 1)
 
 
 def usable(vecs: DataFrame) -> DataFrame:
@@ -80,33 +83,42 @@ def _search(key: tuple, q: pd.DataFrame, d: pd.DataFrame, dim: int, bound: float
     x, ids = np.stack(d.v.to_list()), d.vec_id.to_numpy(np.int64)
     extra = np.sqrt(np.maximum(bound - (x * x).sum(1), 0))
     proj = np.random.default_rng(SEED).standard_normal((dim + 1, DIMS))
-    points = np.c_[x, extra] @ proj
-    tree = KdTree(points)
-    out_q, out_v, out_s = [], [], []
-    for qid, v in zip(q.vec_id.tolist(), q.v, strict=True):
-        v = np.asarray(v, float)
-        # scaling a query keeps its ranking; at the data's largest norm, distances and inner products agree best
-        scale = np.sqrt(bound / max(float(v @ v), 1e-300))
-        order, far = tree.order((v * scale) @ proj[:dim])
-        best_s, best_i, step = np.zeros(0), np.zeros(0, np.int64), 2
-        at = 0
-        while at < len(order):
-            rows = np.concatenate([tree.leaves[t] for t in order[at : at + step]])
-            at += step
-            s = x[rows] @ v
-            keep = ids[rows] != qid
-            best_s, best_i = np.r_[best_s, s[keep]], np.r_[best_i, ids[rows][keep]]
-            if len(best_s) > k:
-                o = np.lexsort((best_i, -best_s))[:k]
-                best_s, best_i = best_s[o], best_i[o]
-            if at < len(order) and len(best_s) == k:
-                kth = max(2 * bound - 2 * scale * best_s.min(), 1e-12)
-                if chi_square_cdf(far[at] / kth, DIMS) >= CONFIDENCE:
-                    break
-        out_q.append(np.full(len(best_s), qid, np.int64))
-        out_v.append(best_i)
-        out_s.append(best_s)
-    return pd.DataFrame({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)})
+    tree = KdTree(np.c_[x, extra] @ proj)
+    qids, v = q.vec_id.to_numpy(np.int64), np.stack(q.v.to_list())
+    # scaling a query keeps its ranking; at the data's largest norm, distances and inner products agree best
+    scale = np.sqrt(bound / (v * v).sum(1))
+    order, far = tree.order((v * scale[:, None]) @ proj[:dim])
+    best_s, best_at = np.full((len(v), k), -np.inf), np.full((len(v), k), -1)
+    live, at, step = np.arange(len(v)), 0, 4
+    while len(live) and at < order.shape[1]:
+        want = order[live, at : at + step]
+        s, rows = np.full((len(live), want.shape[1], LEAF), -np.inf), np.full((len(live), want.shape[1], LEAF), -1)
+        by_leaf = np.argsort(want, axis=None, kind="stable")
+        lim = np.searchsorted(want.ravel()[by_leaf], np.arange(len(tree.leaves) + 1))
+        for t, leaf in enumerate(tree.leaves):  # the queries that come to a leaf in this round, together
+            who, slot = np.divmod(by_leaf[lim[t] : lim[t + 1]], want.shape[1])
+            if len(who):
+                s[who, slot, : len(leaf)] = v[live[who]] @ x[leaf].T
+                rows[who, slot, : len(leaf)] = leaf
+        s, rows = np.c_[best_s[live], s.reshape(len(live), -1)], np.c_[best_at[live], rows.reshape(len(live), -1)]
+        s[(rows >= 0) & (ids[rows] == qids[live][:, None])] = -np.inf
+        top = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(live), -np.inf)
+        # near-ties are settled on inner products that are summed alike, then by id
+        who, col = np.nonzero((s >= top[:, None] - 1e-9) & (s > -np.inf))
+        cand = rows[who, col]
+        exact = (x[cand] * v[live[who]]).sum(1)
+        o = np.lexsort((ids[cand], -exact, who))
+        who, cand, exact = who[o], cand[o], exact[o]
+        rank = np.arange(len(who)) - np.searchsorted(who, who)
+        o = rank < k
+        best_s[live], best_at[live] = -np.inf, -1
+        best_s[live[who[o]], rank[o]], best_at[live[who[o]], rank[o]] = exact[o], cand[o]
+        at, step = at + step, step * 2
+        if at < order.shape[1]:
+            kth = np.maximum(2 * bound - 2 * scale[live] * best_s[live, k - 1], 1e-12)
+            live = live[~(chi_square_cdf(far[live, at] / kth, DIMS) >= CONFIDENCE)]
+    who, rank = np.nonzero(best_at >= 0)
+    return pd.DataFrame({"query_id": qids[who], "vec_id": ids[best_at[who, rank]], "score": best_s[who, rank]})
 
 
 def nearest(vecs: DataFrame, queries: DataFrame, k: int = TOP, data_block: int = DATA_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
