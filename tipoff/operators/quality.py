@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tipoff.operators.reshape import typed
 
+ONE = F.lit
+
 
 def conform(df: DataFrame, schema: dict[str, str], optional: set[str] = frozenset()) -> DataFrame:
     """The columns of a contract, cast; extra columns go, optional ones may be missing, others must be there."""
@@ -14,3 +18,81 @@ def conform(df: DataFrame, schema: dict[str, str], optional: set[str] = frozense
     if missing:
         raise ValueError(f"missing columns: {missing}")
     return df.select(*(typed(df, c, t) for c, t in schema.items()))
+
+
+def violations(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
+    """Counts of rows that break each rule (a rule is true for good rows; null counts as broken)."""
+    return df.agg(*(F.count_if(~F.coalesce(ok, F.lit(False))).alias(n) for n, ok in rules.items()))
+
+
+def count_anomalies(counts: DataFrame, name: str, value: str, limit: float = 3.0) -> DataFrame:
+    """Counts whose z-score exceeds the limit; with no spread, those that differ from the mean."""
+    s = counts.agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"))
+    z = F.try_divide(F.col(value) - F.col("mean"), F.col("sd"))
+    bad = F.when(F.coalesce("sd", F.lit(0.0)) == 0, F.col(value) != F.col("mean")).otherwise(F.abs(z) > limit)
+    return counts.join(F.broadcast(s)).select(name, value, z.alias("z"), bad.alias("anomaly"))
+
+
+def null_rates(df: DataFrame, cols: list[str]) -> DataFrame:
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *(F.count_if(F.col(c).isNull()).alias(c) for c in cols))
+    rows = F.array(*(F.struct(F.lit(c).alias("column"), F.try_divide(F.col(c).cast("double"), F.col("_n")).alias("null_rate")) for c in cols))
+    return one.select(F.explode(rows).alias("x")).select("x.*")
+
+
+def schema_hash(df: DataFrame) -> str:
+    return hashlib.sha256("|".join(sorted(f"{c}:{t}" for c, t in df.dtypes)).encode()).hexdigest()
+
+
+def schema_changes(old: dict[str, str], new: DataFrame, allow_removed: bool = False) -> tuple[list[str], list[str]]:
+    """Added and removed columns; removals are refused unless allowed."""
+    now = dict(new.dtypes)
+    added, removed = sorted(set(now) - set(old)), sorted(set(old) - set(now))
+    if removed and not allow_removed:
+        raise ValueError(f"columns removed: {removed}")
+    return added, removed
+
+
+def coverage(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
+    """Share of expected keys that are there, with an error flag beyond a tenth missing."""
+    got = expected.select(*keys).distinct().join(actual.select(*keys).distinct().withColumn("_there", F.lit(1)), keys, "left")
+    miss = F.count_if(F.col("_there").isNull())
+    return got.agg(F.count(F.lit(1)).alias("expected"), miss.alias("missing"), (miss > 0.1 * F.count(F.lit(1))).alias("error"))
+
+
+def low_counts(counts: DataFrame, value: str, share: float = 0.3, least: int = 3) -> DataFrame:
+    """Rows below a share of the upper median, if there are enough rows: counts are one row a season."""
+    med = counts.agg(F.sort_array(F.collect_list(value)).alias("v")).select(F.when(F.size("v") >= least, F.get("v", F.floor(F.size("v") / 2).cast("int"))).alias("median"))
+    return counts.join(F.broadcast(med)).filter(F.col(value) < share * F.col("median")).drop("median")
+
+
+def profile(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows, null share, distinct values, min, max, p50, p95 of numeric columns, in one pass."""
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.struct(F.lit(c).alias("column"), F.count(F.lit(1)).alias("rows"), F.avg(F.col(c).isNull().cast("double")).alias("null_share"), F.count_distinct(c).alias("distinct"),
+                          F.min(x).alias("min"), F.max(x).alias("max"), F.percentile(x, F.lit(0.5)).alias("p50"), F.percentile(x, F.lit(0.95)).alias("p95")).alias(c)]
+    return df.agg(*aggs).select(F.explode(F.array(*cols)).alias("x")).select("x.*")
+
+
+def gaps(expected: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+    """Expected work that is not done."""
+    return expected.select(*keys).distinct().join(done.select(*keys).distinct(), keys, "left_anti")
+
+
+def status_matrix(expected: DataFrame, actual: DataFrame, journal: DataFrame, keys: list[str]) -> DataFrame:
+    """Each scope's status from what was expected, found and journalled; the first rule that holds names it.
+
+    expected: keys; actual: keys, rows; journal: keys, status (done, failed, abandoned, running, skipped).
+    """
+    x = expected.select(*keys, F.lit(True).alias("e")).distinct()
+    a = actual.groupBy(*keys).agg(F.sum("rows").alias("rows"))
+    j = journal.groupBy(*keys).agg(F.max("status").alias("status"))
+    all_ = x.join(a, keys, "full").join(j, keys, "full")
+    e, r, s = F.coalesce("e", F.lit(False)), F.coalesce("rows", F.lit(0)), F.col("status")
+    rule = (
+        F.when(e & (r > 0) & (s == "done"), "complete").when(e & (r > 0) & s.isNull(), "present_unjournaled").when(e & (r > 0) & (s == "running"), "in_progress")
+        .when(e & (r > 0), "present_after_failure").when(e & (s == "done"), "empty_done").when(e & (s == "abandoned"), "abandoned").when(e & (s == "failed"), "failed")
+        .when(e & (s == "running"), "running").when(e & (s == "skipped"), "skipped").when(e, "missing").otherwise("unexpected")
+    )
+    return all_.select(*keys, r.alias("rows"), rule.alias("coverage"))

@@ -10,12 +10,12 @@ from tipoff.functions.scalars import snake_names
 ENVELOPE = "resultSets array<struct<name: string, headers: array<string>, rowSet: array<array<string>>>>"
 
 
-def read_envelopes(spark: SparkSession, path: str, headers: dict[str, list[str]], types: dict[str, str] | None = None, aliases: dict[str, str] | None = None) -> dict[str, DataFrame]:
+def read_envelopes(spark: SparkSession, path: str, headers: dict[str, list[str]], types: dict[str, str] | None = None, aliases: dict[str, str] | None = None, multi_line: bool = True) -> dict[str, DataFrame]:
     """A table for each named result set; values are placed by the file's own header order and cast by column name.
 
-    Every file is parsed once by Spark; a column that a file lacks is null there.
+    multi_line: a file holds one envelope; else, one in each line. Files are parsed by Spark, all tables in one pass each; a column that a file lacks is null there.
     """
-    sets = spark.read.schema(ENVELOPE).option("multiLine", True).json(path).select(F.explode("resultSets").alias("s")).select("s.*")
+    sets = spark.read.schema(ENVELOPE).option("multiLine", multi_line).json(path).select(F.explode("resultSets").alias("s")).select("s.*")
     out = {}
     for name, cols in headers.items():
         rows = sets.filter(F.col("name") == name).select("headers", F.explode("rowSet").alias("r"))
