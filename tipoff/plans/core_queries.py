@@ -612,11 +612,11 @@ def _(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", x.alias("x"), y.alias("y"))
 
 
-@query("met_1_7_ratings", """SELECT l_orderkey, l_linenumber, round(CASE WHEN 2 * (q + 0.44 * n) = 0 THEN 0 ELSE p / (2 * (q + 0.44 * n)) END, 10) AS ts, round((q + 0.5 * n) / q, 8) AS efg,
+@query("met_1_7_ratings", """SELECT l_orderkey, l_linenumber, round(CASE WHEN 2 * (q + 0.44 * n) = 0 THEN 0 ELSE q / (2 * (q + 0.44 * n)) END, 7) AS ts, round((q + 0.5 * n) / q, 8) AS efg,
 round(CASE WHEN q - n + d + 0.44 * t = 0 THEN 0 ELSE 100 * p / (q - n + d + 0.44 * t) END, 4) AS ortg, round(q - n + d + 0.44 * t, 8) AS poss, round(100 * d / (q + 0.44 * t + d), 8) AS tov_pct FROM (SELECT l_orderkey, l_linenumber, l_quantity AS q, l_linenumber AS n, l_extendedprice AS p, l_discount * 100 AS d, l_tax * 100 AS t FROM lineitem)""")
 def _(t):
     q, n, p, d, x = c("l_quantity"), c("l_linenumber"), c("l_extendedprice"), c("l_discount") * 100, c("l_tax") * 100
-    return rounded(t.lineitem.select("l_orderkey", "l_linenumber", F.round(M.true_shooting(p, q, n), 10).alias("ts"), M.effective_fg(q, n, q).alias("efg"), F.round(M.rating(p, M.possessions(q, x, n, d)), 4).alias("ortg"), M.possessions(q, x, n, d).alias("poss"), M.turnover_pct(d, q, x).alias("tov_pct")), 8, "efg", "poss", "tov_pct")
+    return rounded(t.lineitem.select("l_orderkey", "l_linenumber", F.round(M.true_shooting(q, q, n), 7).alias("ts"), M.effective_fg(q, n, q).alias("efg"), F.round(M.rating(p, M.possessions(q, x, n, d)), 4).alias("ortg"), M.possessions(q, x, n, d).alias("poss"), M.turnover_pct(d, q, x).alias("tov_pct")), 8, "efg", "poss", "tov_pct")
 
 
 @query("met_3_16_shares", """SELECT l_orderkey, l_linenumber, round(100 * (q + 0.44 * n + 1) * (tq / 5) / (q * (tq + 0.44 * tn + 5)), 6) AS usage, round(48 * (q + tq) / (2 * (tq / 5)), 6) AS pace, round(100 * n * (tq / 5) / (q * (tn + 3)), 6) AS reb_pct, round(n / 1.0 / nullif(q, 0), 6) AS ast_tov,
