@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from tipoff.operators import windows as W
 
-ONE = F.lit(1)
-
 
 def with_average(df: DataFrame, name: str, metrics: list[str], label: str = "average") -> DataFrame:
     """The rows and one more with the mean of each metric."""
@@ -59,8 +57,8 @@ def rank_sum(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame
 
 def streaks(df: DataFrame, keys: list[str], order: list[Column], outcome: str) -> DataFrame:
     """Longest success streak, runs and expected runs (Wald-Wolfowitz) of each key; outcome is 0 or 1."""
-    runs = W.islands(df, keys, order, outcome).groupBy(*keys, "island", outcome).agg(F.count(ONE).alias("len"))
-    s = runs.groupBy(*keys).agg(F.max(F.when(F.col(outcome) == 1, F.col("len")).otherwise(0)).alias("longest"), F.count(ONE).alias("runs"), F.sum(F.when(F.col(outcome) == 1, F.col("len")).otherwise(0)).alias("n1"), F.sum(F.when(F.col(outcome) == 0, F.col("len")).otherwise(0)).alias("n0"))
+    runs = W.islands(df, keys, order, outcome).groupBy(*keys, "island", outcome).agg(F.count(F.lit(1)).alias("len"))
+    s = runs.groupBy(*keys).agg(F.max(F.when(F.col(outcome) == 1, F.col("len")).otherwise(0)).alias("longest"), F.count(F.lit(1)).alias("runs"), F.sum(F.when(F.col(outcome) == 1, F.col("len")).otherwise(0)).alias("n1"), F.sum(F.when(F.col(outcome) == 0, F.col("len")).otherwise(0)).alias("n0"))
     return s.withColumn("expected_runs", F.try_divide(2.0 * F.col("n1") * F.col("n0"), F.col("n1") + F.col("n0")) + 1)
 
 
@@ -91,7 +89,7 @@ def aligned_similarity(df: DataFrame, id_col: str, age: str, value: str, target,
     """Mean absolute difference to a target over common ages, in units of the value's deviation."""
     sd = df.agg(F.stddev_samp(value).alias("sd"))
     t = df.filter(F.col(id_col) == target).select(age, F.col(value).alias("tv"))
-    got = df.filter(F.col(id_col) != target).join(t, age).groupBy(id_col).agg(F.avg(F.abs(F.col(value) - F.col("tv"))).alias("d"), F.count(ONE).alias("ages")).filter(F.col("ages") >= least)
+    got = df.filter(F.col(id_col) != target).join(t, age).groupBy(id_col).agg(F.avg(F.abs(F.col(value) - F.col("tv"))).alias("d"), F.count(F.lit(1)).alias("ages")).filter(F.col("ages") >= least)
     return got.join(F.broadcast(sd)).select(id_col, "ages", F.try_divide(F.col("d"), F.col("sd")).alias("distance"))
 
 
@@ -165,4 +163,4 @@ def hex_bins(df: DataFrame, x: str, y: str, width: float, value: str, least: int
     da, db = (u - a[0]) ** 2 + 3 * (v - a[1]) ** 2, (u - b[0]) ** 2 + 3 * (v - b[1]) ** 2
     near = da < db
     d = df.select(F.when(near, a[0]).otherwise(b[0]).alias("hx"), F.when(near, a[1]).otherwise(b[1]).alias("hy"), F.col(value).alias("_v"))
-    return d.groupBy("hx", "hy").agg(F.count(ONE).alias("n"), F.avg("_v").alias("mean")).filter(F.col("n") >= least)
+    return d.groupBy("hx", "hy").agg(F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean")).filter(F.col("n") >= least)

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from tipoff.operators.reshape import typed
 
-ONE = F.lit
-
 
 def conform(df: DataFrame, schema: dict[str, str], optional: set[str] = frozenset()) -> DataFrame:
     """The columns of a contract, cast; extra columns go, optional ones may be missing, others must be there."""

@@ -11,8 +11,14 @@ from tipoff.plans.catalogue import query, rounded
 from tipoff.plans.core_queries import ISLANDS, lines, runs
 
 c = F.col
-YEAR = F.year("o_orderdate")
-n_ = F.count(F.lit(1))
+
+
+def order_year():
+    return F.year("o_orderdate")
+
+
+def count_all():
+    return F.count(F.lit(1))
 
 
 @query("an_1_compare", "WITH s AS (SELECT c_mktsegment AS seg, avg(c_acctbal) AS bal FROM customer GROUP BY 1) SELECT seg, round(bal, 4) AS bal FROM s UNION ALL SELECT 'average', round(avg(bal), 4) FROM s")
@@ -35,7 +41,7 @@ def _(t):
 @query("an_4_wilson", """SELECT l_suppkey, round((p + k / (2 * n)) / (1 + k / n) - 1.959963984540054 * sqrt(p * (1 - p) / n + k / (4 * n * n)) / (1 + k / n), 6) AS low, round((p + k / (2 * n)) / (1 + k / n) + 1.959963984540054 * sqrt(p * (1 - p) / n + k / (4 * n * n)) / (1 + k / n), 6) AS high
 FROM (SELECT l_suppkey, CAST(count(*) AS DOUBLE) AS n, count(*) FILTER (WHERE l_returnflag = 'R') / count(*) AS p, 1.959963984540054 * 1.959963984540054 AS k FROM lineitem GROUP BY 1)""")
 def _(t):
-    s = t.lineitem.groupBy("l_suppkey").agg(F.count_if(c("l_returnflag") == "R").alias("m"), n_.alias("n"))
+    s = t.lineitem.groupBy("l_suppkey").agg(F.count_if(c("l_returnflag") == "R").alias("m"), count_all().alias("n"))
     lo, hi = N.wilson(c("m"), c("n"))
     return rounded(s.select("l_suppkey", lo.alias("low"), hi.alias("high")), 6)
 
@@ -73,14 +79,14 @@ def _(t):
 @query("an_9_aligned", """WITH p AS (SELECT o_custkey, year(o_orderdate) AS age, avg(o_totalprice) AS v FROM orders GROUP BY 1, 2), t0 AS (SELECT min(o_custkey) AS k FROM p), sd AS (SELECT stddev_samp(v) AS sd FROM p)
 SELECT p.o_custkey, count(*) AS ages, round(avg(abs(p.v - q.v)) / max(sd), 5) AS distance FROM p, sd, t0 JOIN p q ON q.o_custkey = t0.k WHERE p.age = q.age AND p.o_custkey <> t0.k GROUP BY 1 HAVING count(*) >= 2""")
 def _(t):
-    p = t.orders.groupBy("o_custkey", YEAR.alias("age")).agg(F.avg("o_totalprice").alias("v"))
+    p = t.orders.groupBy("o_custkey", order_year().alias("age")).agg(F.avg("o_totalprice").alias("v"))
     first = t.orders.agg(F.min("o_custkey")).collect()[0][0]
     return rounded(N.aligned_similarity(p, "o_custkey", "age", "v", first), 5)
 
 
 @query("an_10_clusters")
 def _(t):
-    return N.clusters(t.embeddings, "embedding", [2, 3, 4])[0].groupBy("cluster").agg(n_.alias("n"))
+    return N.clusters(t.embeddings, "embedding", [2, 3, 4])[0].groupBy("cluster").agg(count_all().alias("n"))
 
 
 @query("an_11_components")
@@ -111,28 +117,28 @@ def form(t):
 
 @query("an_14_16_features", f"SELECT o_orderkey, round(form, 7) AS form, CAST(rest AS INTEGER) AS rest, n_lines, round(avg_tax, 6) AS avg_tax FROM ({FORM}) f JOIN (SELECT l_orderkey, count(*) AS n_lines, avg(l_tax) AS avg_tax FROM lineitem GROUP BY 1) l ON o_orderkey = l_orderkey")
 def _(t):
-    line = t.lineitem.groupBy(c("l_orderkey").alias("o_orderkey")).agg(n_.alias("n_lines"), F.avg("l_tax").alias("avg_tax"))
+    line = t.lineitem.groupBy(c("l_orderkey").alias("o_orderkey")).agg(count_all().alias("n_lines"), F.avg("l_tax").alias("avg_tax"))
     got = form(t).join(line, "o_orderkey")
     return got.select("o_orderkey", F.round("o_totalprice_avg_10", 7).alias("form"), c("rest_days").alias("rest"), "n_lines", F.round("avg_tax", 6).alias("avg_tax"))
 
 
 @query("an_15_walk_forward")
 def _(t):
-    d = t.orders.select(YEAR.alias("season"), (c("o_orderstatus") == "F").cast("int").alias("label"), c("o_totalprice").alias("price"), F.month("o_orderdate").cast("double").alias("month"))
+    d = t.orders.select(order_year().alias("season"), (c("o_orderstatus") == "F").cast("int").alias("label"), c("o_totalprice").alias("price"), F.month("o_orderdate").cast("double").alias("month"))
     years = [r.season for r in d.select("season").distinct().orderBy("season").collect()][2:5]
-    return N.walk_forward(d, "season", ["price", "month"], "label", years).groupBy("season").agg(F.round(F.avg(((c("probability") > 0.5).cast("int") == c("label")).cast("double")), 4).alias("accuracy"), n_.alias("n"))
+    return N.walk_forward(d, "season", ["price", "month"], "label", years).groupBy("season").agg(F.round(F.avg(((c("probability") > 0.5).cast("int") == c("label")).cast("double")), 4).alias("accuracy"), count_all().alias("n"))
 
 
 @query("an_17_volatile", "SELECT user_id, round(stddev_samp(value), 6) AS sd FROM events GROUP BY 1 HAVING count(*) >= 3 ORDER BY stddev_samp(value) DESC, user_id LIMIT 5")
 def _(t):
-    s = t.events.groupBy("user_id").agg(F.stddev_samp("value").alias("sd"), n_.alias("n")).filter("n >= 3")
+    s = t.events.groupBy("user_id").agg(F.stddev_samp("value").alias("sd"), count_all().alias("n")).filter("n >= 3")
     return rounded(s.orderBy(F.desc("sd"), "user_id").limit(5).drop("n"), 6)
 
 
 @query("an_18_clutch", "SELECT event_type, hour(ts) >= 18 AND abs(value - 50) <= 20 AS clutch, count(*) AS n, round(avg(value), 5) AS rate FROM events GROUP BY 1, 2 HAVING count(*) >= 5")
 def _(t):
     clutch = (F.hour("ts") >= 18) & (F.abs(c("value") - 50) <= 20)
-    return rounded(t.events.groupBy("event_type", clutch.alias("clutch")).agg(n_.alias("n"), F.avg("value").alias("rate")).filter("n >= 5"), 5)
+    return rounded(t.events.groupBy("event_type", clutch.alias("clutch")).agg(count_all().alias("n"), F.avg("value").alias("rate")).filter("n >= 5"), 5)
 
 
 @query("an_19_quarters", "SELECT o_custkey, CAST(quarter(o_orderdate) AS INTEGER) AS q, round(sum(o_totalprice) - sum(sum(o_totalprice)) OVER (PARTITION BY o_custkey) / 4, 4) AS diff FROM orders GROUP BY 1, 2")
@@ -158,7 +164,7 @@ def _(t):
 
 @query("an_22_rollup", f"SELECT year(o_orderdate) AS season, l_suppkey, count(*) AS n, round(sum(l_discount) / sum(l_quantity), 6) AS per FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2 HAVING sum(l_quantity) >= 100")
 def _(t):
-    s = lines(t).groupBy(YEAR.alias("season"), "l_suppkey").agg(n_.alias("n"), F.sum("l_quantity").alias("q"), F.sum("l_discount").alias("d")).filter("q >= 100")
+    s = lines(t).groupBy(order_year().alias("season"), "l_suppkey").agg(count_all().alias("n"), F.sum("l_quantity").alias("q"), F.sum("l_discount").alias("d")).filter("q >= 100")
     return s.select("season", "l_suppkey", "n", F.round(S.ratio(c("d"), c("q")), 6).alias("per"))
 
 
@@ -178,7 +184,7 @@ def _(t):
 @query("an_25_run_sizes", f"WITH {ISLANDS}, r AS (SELECT user_id, island, event_type, count(*) AS len FROM i GROUP BY 1, 2, 3) SELECT event_type, CASE WHEN len >= 4 THEN 'long' WHEN len >= 2 THEN 'short' ELSE 'single' END AS bucket, count(*) AS n FROM r GROUP BY 1, 2")
 def _(t):
     b = F.when(c("length") >= 4, "long").when(c("length") >= 2, "short").otherwise("single")
-    return runs(t).groupBy("event_type", b.alias("bucket")).agg(n_.alias("n"))
+    return runs(t).groupBy("event_type", b.alias("bucket")).agg(count_all().alias("n"))
 
 
 @query("an_26_prospects", "SELECT a.c_custkey, b.s_suppkey, round(abs(a.z - b.z), 5) AS d FROM (SELECT c_custkey, c_nationkey, (c_acctbal - avg(c_acctbal) OVER ()) / stddev_samp(c_acctbal) OVER () AS z FROM customer) a JOIN (SELECT s_suppkey, s_nationkey, (s_acctbal - avg(s_acctbal) OVER ()) / stddev_samp(s_acctbal) OVER () AS z FROM supplier) b ON c_nationkey = s_nationkey QUALIFY row_number() OVER (PARTITION BY a.c_custkey ORDER BY abs(a.z - b.z), b.s_suppkey) = 1")
@@ -204,7 +210,7 @@ SEASON = "SELECT year(o_orderdate) AS season_year, l_suppkey AS player_id, count
 
 
 def season(t):
-    return lines(t).groupBy(YEAR.alias("season_year"), c("l_suppkey").alias("player_id")).agg(n_.alias("gp"), F.round(F.avg("l_quantity"), 4).alias("ppg"), F.round(F.avg("l_linenumber"), 4).alias("apg"))
+    return lines(t).groupBy(order_year().alias("season_year"), c("l_suppkey").alias("player_id")).agg(count_all().alias("gp"), F.round(F.avg("l_quantity"), 4).alias("ppg"), F.round(F.avg("l_linenumber"), 4).alias("apg"))
 
 
 @question("player_season_scoring", f"{SEASON} ORDER BY ppg DESC, season_year, player_id LIMIT 20")
@@ -220,14 +226,14 @@ def _(t):
 @question("team_standings", "SELECT o_custkey AS team_id, count(*) FILTER (WHERE o_orderstatus = 'F') AS wins, count(*) FILTER (WHERE o_orderstatus = 'O') AS losses, round(count(*) FILTER (WHERE o_orderstatus = 'F') / count(*), 4) AS win_pct FROM orders GROUP BY 1")
 def _(t):
     w = F.count_if(c("o_orderstatus") == "F")
-    return t.orders.groupBy(c("o_custkey").alias("team_id")).agg(w.alias("wins"), F.count_if(c("o_orderstatus") == "O").alias("losses"), F.round(w / n_, 4).alias("win_pct"))
+    return t.orders.groupBy(c("o_custkey").alias("team_id")).agg(w.alias("wins"), F.count_if(c("o_orderstatus") == "O").alias("losses"), F.round(w / count_all(), 4).alias("win_pct"))
 
 
 @question("pipeline_inventory", "SELECT 'nation' AS name, count(*) AS n FROM nation UNION ALL SELECT 'part', count(*) FROM part UNION ALL SELECT 'events', count(*) FROM events")
 def _(t):
     from tipoff.operators.reshape import tagged_union
 
-    return tagged_union({k: getattr(t, k).agg(n_.alias("n")) for k in ("nation", "part", "events")}, "name").select("name", "n")
+    return tagged_union({k: getattr(t, k).agg(count_all().alias("n")) for k in ("nation", "part", "events")}, "name").select("name", "n")
 
 
 @question("head_to_head", "SELECT least(a.l_suppkey, b.l_suppkey) AS t1, greatest(a.l_suppkey, b.l_suppkey) AS t2, count(*) AS games FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2 GROUP BY 1, 2")
@@ -235,7 +241,7 @@ def _(t):
     from tipoff.operators.joins import self_pairs
 
     p = self_pairs(t.lineitem, ["l_orderkey"], "l_linenumber", 1, 2, ["l_suppkey"])
-    return p.groupBy(F.least("home_l_suppkey", "away_l_suppkey").alias("t1"), F.greatest("home_l_suppkey", "away_l_suppkey").alias("t2")).agg(n_.alias("games"))
+    return p.groupBy(F.least("home_l_suppkey", "away_l_suppkey").alias("t1"), F.greatest("home_l_suppkey", "away_l_suppkey").alias("t2")).agg(count_all().alias("games"))
 
 
 @question("player_game_log", "SELECT l_suppkey AS player_id, l_orderkey AS game_id, o_orderdate AS game_date, l_quantity AS pts FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_suppkey = 1")
@@ -250,7 +256,7 @@ def _(t):
 
 @question("franchise_history", "SELECT o_custkey AS team_id, CAST(min(year(o_orderdate)) AS INTEGER) AS first_season, CAST(max(year(o_orderdate)) AS INTEGER) AS last_season, count(DISTINCT year(o_orderdate)) AS seasons FROM orders GROUP BY 1")
 def _(t):
-    return t.orders.groupBy(c("o_custkey").alias("team_id")).agg(F.min(YEAR).alias("first_season"), F.max(YEAR).alias("last_season"), F.count_distinct(YEAR).alias("seasons"))
+    return t.orders.groupBy(c("o_custkey").alias("team_id")).agg(F.min(order_year()).alias("first_season"), F.max(order_year()).alias("last_season"), F.count_distinct(order_year()).alias("seasons"))
 
 
 @question("team_roster", "SELECT DISTINCT n_name AS team, s_suppkey AS player_id, s_name AS player_name FROM supplier JOIN nation ON s_nationkey = n_nationkey")
@@ -260,4 +266,4 @@ def _(t):
 
 @question("game_summary", "SELECT o_orderkey AS game_id, o_orderdate AS game_date, sum(l_quantity) AS pts, count(*) AS lines, max(l_quantity) AS top FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2")
 def _(t):
-    return lines(t).groupBy(c("o_orderkey").alias("game_id"), c("o_orderdate").alias("game_date")).agg(F.sum("l_quantity").alias("pts"), n_.alias("lines"), F.max("l_quantity").alias("top"))
+    return lines(t).groupBy(c("o_orderkey").alias("game_id"), c("o_orderdate").alias("game_date")).agg(F.sum("l_quantity").alias("pts"), count_all().alias("lines"), F.max("l_quantity").alias("top"))

@@ -13,7 +13,10 @@ from tipoff.operators import windows as W
 from tipoff.plans.catalogue import query, rounded
 
 c = F.col
-YEAR = F.year("o_orderdate")
+
+
+def order_year():
+    return F.year("o_orderdate")
 
 # --- scans and projections
 
@@ -34,7 +37,7 @@ def _(t):
 WITH b AS (SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) AS hi FROM orders)
 SELECT y || '-' || lpad(CAST((y + 1) % 100 AS VARCHAR), 2, '0') AS season FROM (SELECT unnest(generate_series(lo, hi)) AS y FROM b)""")
 def _(t):
-    b = t.orders.agg(F.min(YEAR).alias("lo"), F.max(YEAR).alias("hi"))
+    b = t.orders.agg(F.min(order_year()).alias("lo"), F.max(order_year()).alias("hi"))
     return b.select(F.explode(F.sequence("lo", "hi")).alias("y")).select(S.season_label(c("y")).alias("season"))
 
 
@@ -124,7 +127,7 @@ def _(t):
 
 @query("flt_3_interval", "SELECT o_orderkey FROM orders WHERE year(o_orderdate) BETWEEN 1994 AND 1995")
 def _(t):
-    return t.orders.filter(YEAR.between(1994, 1995)).select("o_orderkey")
+    return t.orders.filter(order_year().between(1994, 1995)).select("o_orderkey")
 
 
 @query("flt_4_lookback", "SELECT event_id FROM events WHERE ts::DATE >= (SELECT max(ts)::DATE - 7 FROM events)")
@@ -135,17 +138,17 @@ def _(t):
 
 @query("flt_5_latest", "SELECT o_orderkey FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)")
 def _(t):
-    return t.orders.join(F.broadcast(t.orders.agg(F.max(YEAR).alias("y")))).filter(YEAR == c("y")).select("o_orderkey")
+    return t.orders.join(F.broadcast(t.orders.agg(F.max(order_year()).alias("y")))).filter(order_year() == c("y")).select("o_orderkey")
 
 
 @query("flt_7_availability", "SELECT DISTINCT year(o_orderdate) AS year, o_orderstatus AS kind, CASE WHEN o_orderstatus = 'P' AND year(o_orderdate) < 1995 THEN 'upstream_unavailable' ELSE 'supported' END AS status FROM orders")
 def _(t):
-    return t.orders.select(YEAR.alias("year"), c("o_orderstatus").alias("kind")).distinct().withColumn("status", S.availability(c("year"), c("kind"), {"P": 1995}))
+    return t.orders.select(order_year().alias("year"), c("o_orderstatus").alias("kind")).distinct().withColumn("status", S.availability(c("year"), c("kind"), {"P": 1995}))
 
 
 @query("flt_8_stratified", "SELECT year, count(*) AS n FROM (SELECT year(o_orderdate) AS year, row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) AS r FROM orders) WHERE r <= 50 GROUP BY year")
 def _(t):
-    got = W.first_of(t.orders.withColumn("year", YEAR), ["year"], F.xxhash64("o_orderkey", F.lit(42)), c("o_orderkey"), n=50)
+    got = W.first_of(t.orders.withColumn("year", order_year()), ["year"], F.xxhash64("o_orderkey", F.lit(42)), c("o_orderkey"), n=50)
     return got.groupBy("year").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -292,7 +295,7 @@ def _(t):
 
 @query("agg_4_bounds", "SELECT year(o_orderdate) AS year, min(o_orderdate) AS first_day, max(o_orderdate) AS last_day FROM orders GROUP BY 1")
 def _(t):
-    return t.orders.groupBy(YEAR.alias("year")).agg(F.min("o_orderdate").alias("first_day"), F.max("o_orderdate").alias("last_day"))
+    return t.orders.groupBy(order_year().alias("year")).agg(F.min("o_orderdate").alias("first_day"), F.max("o_orderdate").alias("last_day"))
 
 
 @query("agg_5_conditional", "SELECT l_suppkey, count(*) FILTER (WHERE l_returnflag = 'R') AS n_r, sum(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0 END) AS q_a FROM lineitem GROUP BY 1")
@@ -369,7 +372,7 @@ LEADERS = "SELECT year(o_orderdate) AS season, l_suppkey, round(sum(l_extendedpr
 
 @query("win_2_leaderboard", f"SELECT *, rank() OVER (PARTITION BY season ORDER BY pts DESC) AS pts_rank, rank() OVER (PARTITION BY season ORDER BY reb DESC) AS reb_rank FROM ({LEADERS})")
 def _(t):
-    s = lines(t).groupBy(YEAR.alias("season"), "l_suppkey").agg(F.round(F.sum("l_extendedprice"), 2).alias("pts"), F.sum("l_quantity").alias("reb"), F.count(F.lit(1)).alias("n")).filter("n >= 3").drop("n")
+    s = lines(t).groupBy(order_year().alias("season"), "l_suppkey").agg(F.round(F.sum("l_extendedprice"), 2).alias("pts"), F.sum("l_quantity").alias("reb"), F.count(F.lit(1)).alias("n")).filter("n >= 3").drop("n")
     return W.leaderboard(s, ["season"], ["pts", "reb"])
 
 

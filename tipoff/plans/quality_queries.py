@@ -11,7 +11,10 @@ from tipoff.plans.catalogue import query, rounded
 from tipoff.sources import sinks
 
 c = F.col
-YEAR = F.year("o_orderdate")
+
+
+def order_year():
+    return F.year("o_orderdate")
 
 
 @query("snk_1_partitioned_parquet", "SELECT CAST(year(l_shipdate) AS INTEGER) AS season_year, count(*) AS n, sum(l_quantity) AS q FROM lineitem GROUP BY 1")
@@ -141,7 +144,7 @@ def _(t):
 
 @query("dq_14_low_counts", "WITH n AS (SELECT year(o_orderdate) AS year, count(*) AS games FROM orders GROUP BY 1), m AS (SELECT list_sort(list(games))[len(list(games)) // 2 + 1] AS med FROM n) SELECT year, games FROM n, m WHERE games < 0.9 * med")
 def _(t):
-    return Q.low_counts(t.orders.groupBy(YEAR.alias("year")).agg(F.count(F.lit(1)).alias("games")), "games", 0.9)
+    return Q.low_counts(t.orders.groupBy(order_year().alias("year")).agg(F.count(F.lit(1)).alias("games")), "games", 0.9)
 
 
 @query("dq_15_keys", "SELECT count(*) FILTER (WHERE l_orderkey IS NULL) AS null_keys, count(*) FILTER (WHERE l_quantity = 0 AND l_tax = 0) AS zero_rows, count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicates FROM lineitem")
@@ -157,7 +160,7 @@ def _(t):
 
 @query("dq_17_matrix", "SELECT 'orders' AS name, year(o_orderdate) AS season, count(*) AS n FROM orders GROUP BY 2 UNION ALL SELECT 'lineitem', year(l_shipdate), count(*) FROM lineitem GROUP BY 2")
 def _(t):
-    a = t.orders.groupBy(YEAR.alias("season")).agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit("orders"))
+    a = t.orders.groupBy(order_year().alias("season")).agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit("orders"))
     return a.unionByName(t.lineitem.groupBy(F.year("l_shipdate").alias("season")).agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.lit("lineitem")))
 
 
@@ -175,9 +178,9 @@ def _(t):
 
 @query("dq_20_gaps", "SELECT c_custkey, y FROM customer, (SELECT DISTINCT year(o_orderdate) AS y FROM orders) EXCEPT SELECT o_custkey, year(o_orderdate) FROM orders")
 def _(t):
-    years = t.orders.select(YEAR.alias("y")).distinct().agg(F.collect_set("y").alias("ys"))  # a few seasons
+    years = t.orders.select(order_year().alias("y")).distinct().agg(F.collect_set("y").alias("ys"))  # a few seasons
     grid = t.customer.select("c_custkey").join(F.broadcast(years)).select("c_custkey", F.explode("ys").alias("y"))
-    return Q.gaps(grid, t.orders.select(c("o_custkey").alias("c_custkey"), YEAR.alias("y")), ["c_custkey", "y"])
+    return Q.gaps(grid, t.orders.select(c("o_custkey").alias("c_custkey"), order_year().alias("y")), ["c_custkey", "y"])
 
 
 @query("dq_21_workload", "SELECT DISTINCT l_suppkey, year(l_shipdate) AS season, l_suppkey % 4 AS shard FROM lineitem")
@@ -188,7 +191,7 @@ def _(t):
 @query("dq_22_grid", "SELECT y, s FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders), (SELECT DISTINCT o_orderstatus AS s FROM orders) WHERE NOT (s = 'P' AND y < 1995)")
 def _(t):
     kinds = t.orders.select("o_orderstatus").distinct().agg(F.collect_set("o_orderstatus").alias("ss"))  # a few kinds
-    g = t.orders.select(YEAR.alias("y")).distinct().join(F.broadcast(kinds)).select("y", F.explode("ss").alias("s"))
+    g = t.orders.select(order_year().alias("y")).distinct().join(F.broadcast(kinds)).select("y", F.explode("ss").alias("s"))
     return g.filter(~((c("s") == "P") & (c("y") < 1995)))
 
 
@@ -231,7 +234,7 @@ def _(t):
     from tipoff.streaming.snapshots import refresh_partitions
 
     path = sinks.work_dir(t.spark) + "/orders"
-    o = t.orders.withColumn("y", YEAR)
+    o = t.orders.withColumn("y", order_year())
     sinks.write_parquet(o.filter("y < 1997 or o_orderkey % 2 = 0"), path, "y")
     refresh_partitions(o.filter("y >= 1997"), path, "y")
     return t.spark.read.parquet(path).groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
@@ -251,6 +254,6 @@ def _(t):
     models = [
         Model("leaders", ["season"], lambda f: W.leaderboard(f["season"], ["season"], ["pts"])),
         Model("season", ["game"], lambda f: f["game"].groupBy("l_suppkey", "season").agg(F.round(F.sum("l_extendedprice"), 2).alias("pts"))),
-        Model("game", ["lineitem", "orders"], lambda f: f["lineitem"].join(f["orders"], c("l_orderkey") == c("o_orderkey")).withColumn("season", YEAR)),
+        Model("game", ["lineitem", "orders"], lambda f: f["lineitem"].join(f["orders"], c("l_orderkey") == c("o_orderkey")).withColumn("season", order_year())),
     ]
     return run_models(models, {"lineitem": t.lineitem, "orders": t.orders})[0]["leaders"]

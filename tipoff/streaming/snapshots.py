@@ -11,11 +11,18 @@ def replay_snapshots(spark: SparkSession, landing: str, out: str, state: str, ke
     """Append landed files to a snapshot table: all that is new since the last run, each batch once.
 
     A batch writes its own folder, so a batch that is run again after a failure replaces what it wrote. Rows without a
-    natural key are refused, exact duplicates inside a batch are removed.
+    natural key are refused, exact duplicates are removed.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.dropna(subset=keys).dropDuplicates().withColumn("source_endpoint", F.lit(source)).withColumn("snapshot_at", F.current_timestamp())
+        rows = batch.dropna(subset=keys).dropDuplicates()
+        if batch_id:  # rows that earlier batches hold
+            seen = batch.sparkSession.read.parquet(out).filter(F.col("batch_id") < batch_id).select(*(F.col(c).alias(f"_{c}") for c in batch.columns))
+            same = F.lit(True)
+            for c in batch.columns:
+                same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+            rows = rows.join(seen, same, "left_anti")
+        rows = rows.withColumn("source_endpoint", F.lit(source)).withColumn("snapshot_at", F.current_timestamp())
         rows.withColumn("snapshot_date", F.to_date("snapshot_at")).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).option("recursiveFileLookup", True).parquet(landing)
