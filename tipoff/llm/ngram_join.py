@@ -5,8 +5,9 @@
    growing with n, a document goes on only if enough of these leading shingles occur in other documents. Runs packed by
    hash range count that without sending a row for each shingle.
 3. What is left is ordered by document frequency, rarest first; shingles of one document drop out, which shortens the prefix
-   that must be shared. Pairs come from shared prefix shingles: first each holder with the shingle's most central holder,
-   then, between different components only, all that are left; a group of near copies is so joined by few pairs.
+   that must be shared. Pairs come from shared prefix shingles: first each holder with the shingle's most central holder;
+   then, between different components only, those of one centre in bounded blocks that emit nothing but links, and the other
+   pairs one by one. A group of near copies is so joined by few rows.
 4. Verification: the global order of n-grams is cut into fragments by ranges of the hash; each pair's overlaps are counted
    fragment by fragment and summed.
 
@@ -32,6 +33,8 @@ from tipoff.llm._text import U64
 from tipoff.llm.components import components
 
 SIZE, MIN_PERCENT, SLACK, FRAGMENTS = 5, 80, 10, 8
+#: Documents in a block of those apart from their centre's component, and of those that they meet.
+NEAR_BLOCK, FAR_BLOCK = 256, 1024
 TABLES = _text.byte_table(90, fold_case=True), _text.byte_table(91, fold_case=True)
 BASE, MULT = 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
 
@@ -120,8 +123,8 @@ def _map(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordB
         yield flush()
 
 
-def _reduce(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-    """How many of each document's leading shingles in this bucket occur in other documents."""
+def _reduce(key: tuple, pdf: pd.DataFrame, groups: int) -> pd.DataFrame:
+    """How many of each document's leading shingles in this bucket occur in other documents, packed by group of documents."""
     docs, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     part, local = pdf[pdf.kind == 0], pdf[pdf.kind == 1]
     if len(part):
@@ -137,8 +140,22 @@ def _reduce(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     for a, b in zip(local.docs, local.hashes, strict=True):
         docs.append(runs.unpack(a, np.int64))
         counts.append(runs.unpack(b, np.int64))
-    u, inv = np.unique(np.concatenate(docs), return_inverse=True)
-    return pd.DataFrame({"doc_id": u, "shared": np.bincount(inv, np.concatenate(counts), len(u)).astype(np.int64)})
+    u, n = summed(np.concatenate(docs), np.concatenate(counts))
+    g = np.mod(u, groups)
+    o = np.argsort(g, kind="stable")
+    lim = np.r_[np.flatnonzero(np.r_[True, g[o][1:] != g[o][:-1]]), len(g)] if len(g) else np.zeros(1, np.int64)
+    rows = [(int(g[o[a]]), runs.pack(u[o[a:b]]), runs.pack(n[o[a:b]])) for a, b in zip(lim[:-1], lim[1:], strict=True)]
+    return pd.DataFrame(rows, columns=["g", "docs", "counts"])
+
+
+def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    u, inv = np.unique(keys, return_inverse=True)
+    return u, np.bincount(inv, values, len(u)).astype(np.int64)
+
+
+def _gather(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    u, n = summed(*(np.concatenate([runs.unpack(x, np.int64) for x in pdf[c]]) for c in ("docs", "counts")))
+    return pd.DataFrame({"doc_id": u, "shared": n})
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,6 +188,56 @@ def verified(pairs: DataFrame, kept: DataFrame) -> DataFrame:
     return got.filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * MIN_PERCENT).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _block_links(u: pd.DataFrame, v: pd.DataFrame, slab: int = 4096) -> pd.DataFrame:
+    """Links of two blocks of documents with one centre: for each document of u, one with each other component that it is similar to."""
+    none = pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
+    if not len(u) or not len(v):
+        return none
+    nu, nv = u.n.to_numpy(np.int64)[:, None], v.n.to_numpy(np.int64)[None, :]
+    apart = u.component.to_numpy()[:, None] != v.component.to_numpy()[None, :]
+    fit = apart & (np.minimum(nu, nv) * 100 >= np.maximum(nu, nv) * MIN_PERCENT) & (np.minimum(u.e.to_numpy()[:, None], v.e.to_numpy()[None, :]) * (100 + MIN_PERCENT) >= (nu + nv) * MIN_PERCENT)
+    if not fit.any():
+        return none
+    sides = []
+    for part in (u, v):
+        tok = np.concatenate(part.toks.to_list())
+        sides.append((tok, np.repeat(np.arange(len(part)), [len(x) for x in part.toks])))
+    every = np.intersect1d(sides[0][0], sides[1][0])
+    both = np.zeros(fit.shape, np.float32)
+    at = [np.searchsorted(every, t) for t, _ in sides]
+    hit = [(every[np.minimum(x, len(every) - 1)] == t) if len(every) else np.zeros(len(t), bool) for x, (t, _) in zip(at, sides, strict=True)]
+    for lo in range(0, len(every), slab):
+        m = []
+        for x, h, (_, row), part in zip(at, hit, sides, (u, v), strict=True):
+            k = h & (x >= lo) & (x < lo + slab)
+            dense = np.zeros((len(part), min(slab, len(every) - lo)), np.float32)
+            dense[row[k], x[k] - lo] = 1
+            m.append(dense)
+        both += m[0] @ m[1].T
+    i, j = np.nonzero(fit & (both * 100 >= (nu + nv - both) * MIN_PERCENT))
+    if not len(i):
+        return none
+    got = pd.DataFrame({"u": u.rep.to_numpy()[i], "v": v.rep.to_numpy()[j], "c": v.component.to_numpy()[j]})
+    return got.drop_duplicates(["u", "c"])[["u", "v"]]
+
+
+def same_centre_links(members: DataFrame) -> DataFrame:
+    """Links between components among documents of one centre: those apart from the centre's component meet all others in bounded blocks.
+
+    members: rep, n, e, toks, component, primary, apart.
+    """
+    sizes = members.groupBy("primary").agg(F.count_if("apart").alias("f"), F.count(F.lit(1)).alias("m")).filter("f > 0 and m > 1")
+    sizes = sizes.select("primary", F.ceil(F.col("f") / NEAR_BLOCK).cast("int").alias("fb"), F.ceil(F.col("m") / FAR_BLOCK).cast("int").alias("mb"))
+    d = members.join(sizes.hint("merge"), "primary")
+    cols = ["primary", "rep", "n", "e", "toks", "component"]
+    here = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    u = d.filter("apart").select(*cols, here("fb").alias("ub"), every("mb").alias("vb"))
+    v = d.select(*cols, here("mb").alias("vb"), every("fb").alias("ub")).toDF(*(f"{c}_" for c in [*cols, "vb", "ub"])).select(*(F.col(f"{c}_").alias(c) for c in [*cols, "vb", "ub"]))
+    key = ["primary", "ub", "vb"]
+    return u.groupBy(*key).cogroup(v.groupBy(*key)).applyInPandas(_block_links, "u long, v long")
+
+
 def similar_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     spark = docs.sparkSession
@@ -178,11 +245,12 @@ def similar_components(docs: DataFrame) -> DataFrame:
     scratch = _common.Scratch(spark)
     docs = _common.columns(docs, doc_id="long", text="string")
     buckets = runs.n_buckets(docs)
+    groups = runs.groups_of(buckets)
     seen = scratch.keep(docs.mapInArrow(_digests, "doc_id long, w1 long, w2 long, n_shingles long"), "digests")
     real = seen.filter("doc_id is not null and n_shingles > 0")
     classes = scratch.keep(real.groupBy("w1", "w2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")), "classes")
-    counted = docs.filter("doc_id is not null").mapInArrow(lambda it: _map(it, buckets), runs.PIECE).groupBy("bucket").applyInPandas(_reduce, "doc_id long, shared long")
-    counted = counted.groupBy("doc_id").agg(F.sum("shared").alias("shared"))
+    counted = docs.filter("doc_id is not null").mapInArrow(lambda it: _map(it, buckets), runs.PIECE).groupBy("bucket").applyInPandas(lambda k, p: _reduce(k, p, groups), "g long, docs binary, counts binary")
+    counted = counted.groupBy("g").applyInPandas(_gather, "doc_id long, shared long")
     n = F.col("n_shingles")
     # of the leading shingles, at least 1 + floor(SLACK% of the smallest similar size) must occur elsewhere
     cand = classes.join(counted.hint("merge"), classes["rep"] == counted["doc_id"]).filter(F.col("shared") >= 1 + F.floor(ceil_percent(n) * SLACK / 100)).select("rep")
@@ -199,17 +267,27 @@ def similar_components(docs: DataFrame) -> DataFrame:
     scratch.free()
     sig = kept.select("rep", "n", "e", F.explode(F.slice("toks", F.lit(1), F.col("e") - ceil_percent(F.col("n")) + 1)).alias("tok"))
     centre = sig.groupBy("tok").agg(F.max(F.struct((F.col("e") / F.col("n")).alias("r"), (-F.col("rep")).alias("c"), F.col("n").alias("cn"), F.col("e").alias("ce"))).alias("m")).select("tok", (-F.col("m.c")).alias("c"), "m.cn", "m.ce")
-    first = sig.join(centre.hint("merge"), "tok").filter("rep <> c").filter(may_link(F.col("n"), F.col("cn"), F.col("e"), F.col("ce")))
-    first = scratch.keep(first.select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct(), "pairs")
+    star = sig.join(centre.hint("merge"), "tok").filter("rep <> c").filter(may_link(F.col("n"), F.col("cn"), F.col("e"), F.col("ce"))).select("rep", "c").distinct()
+    star = scratch.keep(star, "stars")
+    first = star.select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
     links = scratch.keep(verified(first, kept), "links")
     comps = components(links, scratch)
-    held = sig.join(comps.select(F.col("node").alias("rep"), "component").hint("merge"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    held = scratch.keep(held, "held")
+    # a document's primary centre is the one that most documents share; a centre of more than its own centres have is its own
+    reach = star.groupBy("c").agg(F.count(F.lit(1)).alias("reach"))
+    best = star.join(reach.hint("merge"), "c").groupBy("rep").agg(F.max(F.struct("reach", (-F.col("c")).alias("c"))).alias("m"))
+    members = kept.join(comps.select(F.col("node").alias("rep"), "component").hint("merge"), "rep", "left").join(best.hint("merge"), "rep", "left")
+    members = members.join(reach.withColumnRenamed("reach", "own").withColumnRenamed("c", "rep").hint("merge"), "rep", "left")
+    primary = F.when(F.coalesce("m.reach", F.lit(0)) > F.coalesce("own", F.lit(0)), -F.col("m.c")).otherwise(F.col("rep"))
+    members = scratch.keep(members.select("rep", "n", "e", "toks", F.coalesce("component", "rep").alias("component"), primary.alias("primary")), "members")
+    at = members.select(F.col("rep").alias("primary"), F.col("component").alias("pc"))
+    members = members.join(at.hint("merge"), "primary", "left").withColumn("apart", F.col("component") != F.coalesce("pc", "primary")).drop("pc")
+    near = scratch.keep(same_centre_links(members), "links")
+    held = scratch.keep(sig.join(members.select("rep", "component", "primary").hint("merge"), "rep"), "held")
     x, y = held.alias("x"), held.alias("y")
-    rest = x.hint("merge").join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & may_link(F.col("x.n"), F.col("y.n"), F.col("x.e"), F.col("y.e")))
+    rest = x.hint("merge").join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.primary") != F.col("y.primary")) & may_link(F.col("x.n"), F.col("y.n"), F.col("x.e"), F.col("y.e")))
     rest = rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(first.hint("merge"), ["a", "b"], "left_anti")
     rest = scratch.keep(rest, "pairs")
-    more = scratch.keep(verified(rest, kept), "links")
+    more = scratch.keep(near.unionByName(verified(rest, kept)), "links")
     if not more.isEmpty():
         comps = components(links.unionByName(more), scratch)
     comps = comps.select(F.col("node").alias("rep"), "component")

@@ -65,3 +65,11 @@ def entries(docs: bytes, hashes: bytes, who: bytes) -> tuple[np.ndarray, np.ndar
     ids, h = unpack(docs, np.int64), unpack_sorted(hashes)
     w = unpack(who, np.uint16 if len(ids) < 1 << 15 else np.uint32).astype(np.int64)
     return h, ids[w >> 1], w & 1
+
+
+def groups_of(buckets: int) -> int:
+    """Groups of documents: the first prime from the number of buckets on, so that regular ids spread evenly."""
+    n = max(buckets, 2)
+    while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
