@@ -159,3 +159,15 @@ def test_empty_inputs(spark):
     e = spark.createDataFrame([], "k int, o int, v double")
     for df in (windows.first_of(e, ["k"], F.col("o")), windows.islands(e, ["k"], [F.col("o")], "v"), windows.z_scores(e, ["k"], ["v"]), windows.dense_key(e, ["o"], "n"), aggregates.top_values(e, "k")):
         assert df.count() == 0
+
+
+def test_declared_outputs(spark):
+    from tipoff.plans import outputs
+
+    every = outputs.outputs()
+    assert len({m.name for m in every}) == len(every) > 100
+    one = spark.createDataFrame([(1, "a"), (1, "a")], "id int, v string")
+    name, sources = next((o, s) for o, s in outputs.UNIONS.items() if len(s) > 1)
+    frames, report = run_models(outputs.outputs(set(sources[:2])), {s: one for s in sources[:2]})
+    assert report.status[name] == "ok"
+    assert sorted({r.source for r in frames[name].collect()}) == sorted(outputs.label(s) for s in sources[:2])

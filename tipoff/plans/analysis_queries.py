@@ -267,3 +267,86 @@ def _(t):
 @question("game_summary", "SELECT o_orderkey AS game_id, o_orderdate AS game_date, sum(l_quantity) AS pts, count(*) AS lines, max(l_quantity) AS top FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2")
 def _(t):
     return lines(t).groupBy(c("o_orderkey").alias("game_id"), c("o_orderdate").alias("game_date")).agg(F.sum("l_quantity").alias("pts"), count_all().alias("lines"), F.max("l_quantity").alias("top"))
+
+
+@question("player_season_rebounds", "SELECT year(o_orderdate) AS season_year, l_suppkey AS player_id, round(sum(l_tax), 4) AS reb FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2")
+def _(t):
+    return lines(t).groupBy(order_year().alias("season_year"), c("l_suppkey").alias("player_id")).agg(F.round(F.sum("l_tax"), 4).alias("reb"))
+
+
+@question("team_pace", "SELECT o_custkey AS team_id, round(sum(l_quantity) / count(DISTINCT o_orderkey), 4) AS pace FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 30")
+def _(t):
+    s = lines(t).groupBy(c("o_custkey").alias("team_id")).agg(F.round(F.sum("l_quantity") / F.count_distinct("o_orderkey"), 4).alias("pace"))
+    return s.orderBy(F.desc("pace"), "team_id").limit(30)
+
+
+@question("shot_chart", "SELECT p_brand AS zone, l_returnflag AS result, count(*) AS attempts, sum(l_quantity) AS made FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1, 2")
+def _(t):
+    j = t.lineitem.join(t.part, c("l_partkey") == c("p_partkey"))
+    return j.groupBy(c("p_brand").alias("zone"), c("l_returnflag").alias("result")).agg(count_all().alias("attempts"), F.sum("l_quantity").alias("made"))
+
+
+@question("draft_value", "SELECT c_custkey AS player_id, CAST(rank() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC) AS INTEGER) AS pick, coalesce(n, 0) AS games FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey")
+def _(t):
+    r = t.customer.withColumn("pick", F.rank().over(W.by(["c_nationkey"], c("c_acctbal").desc_nulls_last())))
+    g = t.orders.groupBy(c("o_custkey").alias("c_custkey")).agg(count_all().alias("n"))
+    return r.join(g, "c_custkey", "left").select(c("c_custkey").alias("player_id"), "pick", F.coalesce("n", F.lit(0)).alias("games"))
+
+
+@question("team_season", "SELECT o_custkey AS team_id, year(o_orderdate) AS season_year, count(*) AS games, round(avg(o_totalprice), 4) AS ppg FROM orders GROUP BY 1, 2")
+def _(t):
+    return t.orders.groupBy(c("o_custkey").alias("team_id"), order_year().alias("season_year")).agg(count_all().alias("games"), F.round(F.avg("o_totalprice"), 4).alias("ppg"))
+
+
+@question("player_season_complete", f"SELECT season_year, player_id, gp, ppg, s_name FROM ({SEASON}) JOIN supplier ON player_id = s_suppkey")
+def _(t):
+    return season(t).join(t.supplier.select(c("s_suppkey").alias("player_id"), "s_name"), "player_id", "left").select("season_year", "player_id", "gp", "ppg", "s_name")
+
+
+@question("clutch_performance", "SELECT user_id, count(*) AS n, round(avg(value), 5) AS rate FROM events WHERE hour(ts) >= 18 GROUP BY 1 HAVING count(*) >= 3")
+def _(t):
+    return rounded(t.events.filter(F.hour("ts") >= 18).groupBy("user_id").agg(count_all().alias("n"), F.avg("value").alias("rate")).filter("n >= 3"), 5)
+
+
+@question("player_matchups", "SELECT l_suppkey AS player_id, l_partkey AS defender_id, count(*) AS n, sum(l_quantity) AS pts FROM lineitem GROUP BY 1, 2")
+def _(t):
+    return t.lineitem.groupBy(c("l_suppkey").alias("player_id"), c("l_partkey").alias("defender_id")).agg(count_all().alias("n"), F.sum("l_quantity").alias("pts"))
+
+
+@question("team_game_log", "SELECT o_custkey AS team_id, o_orderkey AS game_id, o_orderdate AS game_date, o_totalprice AS pts FROM orders WHERE o_custkey = 1")
+def _(t):
+    return t.orders.filter("o_custkey = 1").select(c("o_custkey").alias("team_id"), c("o_orderkey").alias("game_id"), c("o_orderdate").alias("game_date"), c("o_totalprice").alias("pts"))
+
+
+@question("player_splits", "SELECT l_suppkey AS player_id, l_returnflag AS split, count(*) AS gp, round(avg(l_quantity), 5) AS ppg FROM lineitem GROUP BY 1, 2")
+def _(t):
+    return rounded(t.lineitem.groupBy(c("l_suppkey").alias("player_id"), c("l_returnflag").alias("split")).agg(count_all().alias("gp"), F.avg("l_quantity").alias("ppg")), 5)
+
+
+@question("team_splits", "SELECT o_custkey AS team_id, o_orderpriority AS split, count(*) AS games FROM orders GROUP BY 1, 2")
+def _(t):
+    return t.orders.groupBy(c("o_custkey").alias("team_id"), c("o_orderpriority").alias("split")).agg(count_all().alias("games"))
+
+
+@question("player_impact", "SELECT a.s AS player_id, round(a.q - b.q, 5) AS impact FROM (SELECT l_suppkey AS s, avg(l_quantity) AS q FROM lineitem WHERE l_linestatus = 'F' GROUP BY 1) a JOIN (SELECT l_suppkey AS s, avg(l_quantity) AS q FROM lineitem WHERE l_linestatus = 'O' GROUP BY 1) b ON a.s = b.s")
+def _(t):
+    from tipoff.operators.reshape import on_off
+
+    s = t.lineitem.groupBy(c("l_suppkey").alias("player_id"), "l_linestatus").agg(F.avg("l_quantity").alias("q"))
+    return on_off(s, ["player_id"], "l_linestatus", "F", "O", ["q"]).select("player_id", F.round("q_delta", 5).alias("impact"))
+
+
+@question("shooting_efficiency", "SELECT p_brand AS zone, round(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) / count(*), 6) AS pct FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1")
+def _(t):
+    j = t.lineitem.join(t.part, c("l_partkey") == c("p_partkey"))
+    return j.groupBy(c("p_brand").alias("zone")).agg(F.round(S.ratio(F.count_if(c("l_returnflag") == "R"), count_all()), 6).alias("pct"))
+
+
+@question("team_box_score", "SELECT l_orderkey AS game_id, l_returnflag AS side, sum(l_quantity) AS pts, count(*) AS players FROM lineitem GROUP BY 1, 2")
+def _(t):
+    return t.lineitem.groupBy(c("l_orderkey").alias("game_id"), c("l_returnflag").alias("side")).agg(F.sum("l_quantity").alias("pts"), count_all().alias("players"))
+
+
+@question("player_box_score", "SELECT l_orderkey AS game_id, l_suppkey AS player_id, sum(l_quantity) AS pts, round(sum(l_discount), 4) AS ast FROM lineitem GROUP BY 1, 2")
+def _(t):
+    return t.lineitem.groupBy(c("l_orderkey").alias("game_id"), c("l_suppkey").alias("player_id")).agg(F.sum("l_quantity").alias("pts"), F.round(F.sum("l_discount"), 4).alias("ast"))
