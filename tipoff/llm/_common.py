@@ -52,7 +52,7 @@ class Scratch:
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
         self.base = f"{shared_dir(spark)}/tipoff-{uuid.uuid4().hex}"
-        self.n = 0
+        self.n, self.tables = 0, []
 
     def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
         self.n += 1
@@ -65,8 +65,14 @@ class Scratch:
             self.spark.conf.unset(CLEAN) if was is None else self.spark.conf.set(CLEAN, was)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._tipoff_path = path
+        self.tables.append(out)
         return out
 
+    def close(self, *kept: DataFrame) -> None:
+        """Delete all tables but those that a result still reads."""
+        paths = {t._tipoff_path for t in kept}
+        self.drop(*(t for t in self.tables if t._tipoff_path not in paths))
+
     def free(self) -> None:
         """Let Spark delete the shuffle files of finished jobs now rather than when the driver next collects garbage."""
         gc.collect()

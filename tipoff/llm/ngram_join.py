@@ -264,6 +264,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     kept = rows.join(df.hint("merge"), "tok").groupBy("rep", "n").agg(F.sort_array(F.collect_list(F.struct("df", "tok"))).alias("x"))
     kept = kept.filter(F.size("x") >= ceil_percent(F.col("n"))).select("rep", "n", F.size("x").alias("e"), F.col("x.tok").alias("toks"))
     kept = scratch.keep(kept, "kept")
+    scratch.drop(sets)
     scratch.free()
     sig = kept.select("rep", "n", "e", F.explode(F.slice("toks", F.lit(1), F.col("e") - ceil_percent(F.col("n")) + 1)).alias("tok"))
     centre = sig.groupBy("tok").agg(F.max(F.struct((F.col("e") / F.col("n")).alias("r"), (-F.col("rep")).alias("c"), F.col("n").alias("cn"), F.col("e").alias("ce"))).alias("m")).select("tok", (-F.col("m.c")).alias("c"), "m.cn", "m.ce")
@@ -290,7 +291,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
     more = scratch.keep(near.unionByName(verified(rest, kept)), "links")
     if not more.isEmpty():
         comps = components(links.unionByName(more), scratch)
-    comps = comps.select(F.col("node").alias("rep"), "component")
+    comps = scratch.keep(comps.select(F.col("node").alias("rep"), "component"), "components")
+    scratch.close(seen, classes, comps)
     named = classes.filter("size > 1").select("w1", "w2", F.col("n_shingles").alias("ns"), F.col("rep").alias("class_rep"))
     out = real.join(named.hint("merge"), (real["w1"] == named["w1"]) & (real["w2"] == named["w2"]) & (real["n_shingles"] == named["ns"]), "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("class_rep", "doc_id").alias("rep")).join(comps.hint("merge"), "rep", "left")

@@ -276,7 +276,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     found = scratch.keep(copied.unionByName(alone.join(copied.select("e1", "e2").hint("merge"), ["e1", "e2"], "left_anti")), "found")
     marks = every.select("k1", "k2", "e1", "e2", "lo").join(found.hint("merge"), ["e1", "e2"]).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "starts", "ends")).alias("found"))
     marks = scratch.keep(marks, "marks")
-    scratch.drop(every, distinct, pieces, hot, cores, spots, found)
+    scratch.close(marks)
     scratch.free()
     return docs.join(marks.hint("merge"), ["k1", "k2"], "left").select("doc_id", "text", "found").mapInArrow(
         _apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
