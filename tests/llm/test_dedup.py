@@ -98,19 +98,23 @@ def test_packed_runs():
     assert (np.concatenate([x[0] for x in back]) == h).all() and (np.concatenate([x[1] for x in back]) == d).all() and (np.concatenate([x[2] for x in back]) == d % 2).all()
 
 
-def test_many_near_copies(spark):
-    """A group of near copies around one text, some too far from it: components equal brute force."""
+@pytest.mark.parametrize("shared", [False, True])
+def test_many_near_copies(spark, monkeypatch, shared):
+    """A group of near copies around one text, some too far from it, their edits shared or not: components equal brute force."""
+    monkeypatch.setattr(ngram_join, "NEAR_BLOCK", 7)
+    monkeypatch.setattr(ngram_join, "FAR_BLOCK", 20)
     import random
 
     from conftest import prose
 
     base, rows = prose(9, 200), []
-    for k in range(60):
+    calls = 200 if shared else 60
+    for k in range(calls):
         r, w = random.Random(k), prose(9, 200)
-        for p in r.sample(range(200), k % 12):
-            w[p] = f"n{k}_{p}"
+        for p in r.sample(range(0, 200, 8) if shared else range(200), k % 12):
+            w[p] = f"m{p}" if shared else f"n{k}_{p}"
         rows.append((k, " ".join(w)))
-    rows.append((99, " ".join(base)))
+    rows.append((999, " ".join(base)))
     out = ngram_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert got(out, "n_shingles", "component_id") == brute.jaccard_components(rows)
     assert out.agg(F.count_distinct("component_id")).collect()[0][0] > 1

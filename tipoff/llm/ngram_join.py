@@ -33,8 +33,8 @@ from tipoff.llm._text import U64
 from tipoff.llm.components import components
 
 SIZE, MIN_PERCENT, SLACK, FRAGMENTS = 5, 80, 10, 8
-#: Documents in a block of those apart from their centre's component, and of those that they meet.
-NEAR_BLOCK, FAR_BLOCK = 256, 1024
+#: Documents in a block of those apart from their centre's component, of those that they meet, and shingles counted at a time.
+NEAR_BLOCK, FAR_BLOCK, SLAB = 256, 1024, 4096
 TABLES = _text.byte_table(90, fold_case=True), _text.byte_table(91, fold_case=True)
 BASE, MULT = 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
 
@@ -188,7 +188,7 @@ def verified(pairs: DataFrame, kept: DataFrame) -> DataFrame:
     return got.filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * MIN_PERCENT).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _block_links(u: pd.DataFrame, v: pd.DataFrame, slab: int = 4096) -> pd.DataFrame:
+def _block_links(u: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
     """Links of two blocks of documents with one centre: for each document of u, one with each other component that it is similar to."""
     none = pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
     if not len(u) or not len(v):
@@ -206,11 +206,11 @@ def _block_links(u: pd.DataFrame, v: pd.DataFrame, slab: int = 4096) -> pd.DataF
     both = np.zeros(fit.shape, np.float32)
     at = [np.searchsorted(every, t) for t, _ in sides]
     hit = [(every[np.minimum(x, len(every) - 1)] == t) if len(every) else np.zeros(len(t), bool) for x, (t, _) in zip(at, sides, strict=True)]
-    for lo in range(0, len(every), slab):
+    for lo in range(0, len(every), SLAB):
         m = []
         for x, h, (_, row), part in zip(at, hit, sides, (u, v), strict=True):
-            k = h & (x >= lo) & (x < lo + slab)
-            dense = np.zeros((len(part), min(slab, len(every) - lo)), np.float32)
+            k = h & (x >= lo) & (x < lo + SLAB)
+            dense = np.zeros((len(part), min(SLAB, len(every) - lo)), np.float32)
             dense[row[k], x[k] - lo] = 1
             m.append(dense)
         both += m[0] @ m[1].T
