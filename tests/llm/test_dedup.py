@@ -118,3 +118,18 @@ def test_many_near_copies(spark, monkeypatch, shared):
     out = ngram_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert got(out, "n_shingles", "component_id") == brute.jaccard_components(rows)
     assert out.agg(F.count_distinct("component_id")).collect()[0][0] > 1
+
+
+def test_block_links(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(ngram_join, "SLAB", 7)
+    r = np.random.default_rng(0)
+
+    def block(n, base):
+        d = pd.DataFrame({"rep": np.arange(n) + base, "toks": [np.unique(r.choice(60, int(r.integers(48, 60)), replace=False)) for _ in range(n)], "component": np.arange(n) + base})
+        return d.assign(n=[len(x) for x in d.toks], e=[len(x) for x in d.toks])
+
+    u, v = block(20, 0), block(30, 100)
+    want = {(a.rep, b.rep) for a in u.itertuples() for b in v.itertuples() if 100 * len(np.intersect1d(a.toks, b.toks)) >= 80 * len(np.union1d(a.toks, b.toks))}
+    assert want and {tuple(x) for x in ngram_join._block_links(u, v).values.tolist()} == want
