@@ -257,3 +257,64 @@ def _(t):
         Model("game", ["lineitem", "orders"], lambda f: f["lineitem"].join(f["orders"], c("l_orderkey") == c("o_orderkey")).withColumn("season", order_year())),
     ]
     return run_models(models, {"lineitem": t.lineitem, "orders": t.orders})[0]["leaders"]
+
+
+@query("src_1_staged_scan", "SELECT 'nation' AS name, count(*) AS n FROM nation UNION ALL SELECT 'orders', count(*) FROM orders")
+def _(t):
+    from tipoff.operators.reshape import tagged_union
+    from tipoff.sources.staging import load_staging
+
+    found = load_staging(t.spark, t.sf_dir, ["nation", "orders", "not_there"])
+    return tagged_union({k: d.agg(F.count(F.lit(1)).alias("n")) for k, d in found.items()}, "name").select("name", "n")
+
+
+@query("src_7_lookup_join", "SELECT l_linenumber AS code, CASE l_linenumber WHEN 1 THEN 'field_goal_made' WHEN 2 THEN 'field_goal_missed' WHEN 3 THEN 'free_throw' WHEN 4 THEN 'rebound' WHEN 5 THEN 'turnover' WHEN 6 THEN 'foul' WHEN 7 THEN 'violation' ELSE 'unknown' END AS event_type, count(*) AS n FROM lineitem GROUP BY 1, 2")
+def _(t):
+    from tipoff.sources.staging import event_types
+
+    d = F.broadcast(event_types(t.spark).withColumnRenamed("event_type_id", "code"))  # fourteen rows
+    return t.lineitem.select(c("l_linenumber").alias("code")).join(d, "code", "left").groupBy("code", F.coalesce("event_type", F.lit("unknown")).alias("event_type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("fn_6_json", "SELECT event_id, json_extract_string(json_object('u', user_id, 't', event_type), '$.t') AS t FROM events")
+def _(t):
+    j = F.to_json(F.struct(c("user_id").alias("u"), c("event_type").alias("t")))
+    return t.events.select("event_id", F.get_json_object(j, "$.t").alias("t"))
+
+
+@query("dq_2_24_schema", "SELECT 'customer' AS name, 1 AS version, 5 AS columns UNION ALL SELECT 'customer', 2, 6")
+def _(t):
+    now = t.customer.withColumn("c_phone", F.lit(None).cast("string"))
+    added, _ = Q.schema_changes(dict(t.customer.dtypes), now)
+    versions = [d for k, d in enumerate((t.customer, now)) if k == 0 or (added and Q.schema_hash(d) != Q.schema_hash(t.customer))]
+    out = None
+    for k, d in enumerate(versions, 1):  # one row for each version, from the table's own columns
+        one = d.limit(1).select(F.lit("customer").alias("name"), F.lit(k).alias("version"), F.lit(len(d.columns)).alias("columns"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("pl_2_resume", "SELECT o_custkey, count(*) AS games FROM orders GROUP BY 1")
+def _(t):
+    from tipoff.plans.models import Model, run_models
+
+    base = sinks.work_dir(t.spark)
+
+    def keep(name, df):
+        sinks.write_parquet(df, f"{base}/{name}")
+        return t.spark.read.parquet(f"{base}/{name}")
+
+    models = [Model("games", ["orders"], lambda f: f["orders"].select("o_custkey", "o_orderkey")), Model("totals", ["games"], lambda f: f["games"].groupBy("o_custkey").agg(F.count(F.lit(1)).alias("games")))]
+    first, _ = run_models(models[:1], {"orders": t.orders}, keep)
+    frames, report = run_models(models, {"orders": t.orders, "games": first["games"]}, keep, done={"games"})
+    if report.status != {"games": "resumed", "totals": "ok"}:
+        raise RuntimeError(str(report.status))
+    return frames["totals"]
+
+
+@query("str_2_live_union", "SELECT user_id, value, 'home' AS side FROM events WHERE event_type = 'view' UNION ALL SELECT user_id, value, 'away' FROM events WHERE event_type = 'click'")
+def _(t):
+    from tipoff.operators.reshape import tagged_union
+
+    part = lambda kind: t.events.filter(c("event_type") == kind).select("user_id", "value")
+    return tagged_union({"home": part("view"), "away": part("click")}, "side")
