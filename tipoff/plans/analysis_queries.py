@@ -350,3 +350,90 @@ def _(t):
 @question("player_box_score", "SELECT l_orderkey AS game_id, l_suppkey AS player_id, sum(l_quantity) AS pts, round(sum(l_discount), 4) AS ast FROM lineitem GROUP BY 1, 2")
 def _(t):
     return t.lineitem.groupBy(c("l_orderkey").alias("game_id"), c("l_suppkey").alias("player_id")).agg(F.sum("l_quantity").alias("pts"), F.round(F.sum("l_discount"), 4).alias("ast"))
+
+
+# --- published recipes
+
+
+def recipe(name: str, sql: str):
+    return query(f"g_{name}", sql)
+
+
+@recipe("1_top_scorers", "SELECT l_suppkey AS player_id, count(*) AS gp, round(avg(l_quantity), 5) AS ppg FROM lineitem GROUP BY 1 HAVING count(*) >= 50 ORDER BY avg(l_quantity) DESC, 1 LIMIT 20")
+def _(t):
+    s = t.lineitem.groupBy(c("l_suppkey").alias("player_id")).agg(count_all().alias("gp"), F.avg("l_quantity").alias("ppg")).filter("gp >= 50")
+    return rounded(s.orderBy(F.desc("ppg"), "player_id").limit(20), 5)
+
+
+@recipe("2_career", "SELECT l_suppkey AS player_id, count(*) AS gp, round(avg(l_quantity), 5) AS ppg, count(DISTINCT year(l_shipdate)) AS seasons FROM lineitem GROUP BY 1 HAVING count(*) >= 200")
+def _(t):
+    s = t.lineitem.groupBy(c("l_suppkey").alias("player_id")).agg(count_all().alias("gp"), F.avg("l_quantity").alias("ppg"), F.count_distinct(F.year("l_shipdate")).alias("seasons"))
+    return rounded(s.filter("gp >= 200"), 5)
+
+
+@recipe("3_triple_doubles", "SELECT year(l_shipdate) AS season, l_suppkey AS player_id, count(*) AS n FROM lineitem WHERE l_quantity >= 30 AND l_discount >= 0.05 AND l_tax >= 0.05 GROUP BY 1, 2")
+def _(t):
+    hit = t.lineitem.filter("l_quantity >= 30 and l_discount >= 0.05D and l_tax >= 0.05D")
+    return hit.groupBy(F.year("l_shipdate").alias("season"), c("l_suppkey").alias("player_id")).agg(count_all().alias("n"))
+
+
+@recipe("4_efficient", "SELECT l_suppkey AS player_id, round(sum(l_extendedprice) / (2 * (sum(l_quantity) + 0.44 * sum(l_linenumber))), 4) AS ts FROM lineitem GROUP BY 1 HAVING count(*) >= 100")
+def _(t):
+    from tipoff.functions import metrics as M
+
+    s = t.lineitem.groupBy(c("l_suppkey").alias("player_id")).agg(M.true_shooting(F.sum("l_extendedprice"), F.sum("l_quantity"), F.sum("l_linenumber")).alias("ts"), count_all().alias("n"))
+    return rounded(s.filter("n >= 100").drop("n"))
+
+
+@recipe("9_swings", "SELECT event_id, round(d, 6) AS swing FROM (SELECT event_id, value - lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d FROM events) WHERE abs(d) >= 60")
+def _(t):
+    d = t.events.withColumn("d", c("value") - F.lag("value").over(W.by(["user_id"], c("ts"), c("event_id"))))
+    return d.filter(F.abs("d") >= 60).select("event_id", F.round("d", 6).alias("swing"))
+
+
+@recipe("13_conference_standings", "SELECT n_regionkey AS conference, c_custkey AS team_id, CAST(rank() OVER (PARTITION BY n_regionkey ORDER BY w DESC) AS INTEGER) AS seed FROM (SELECT n_regionkey, c_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') AS w FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2)")
+def _(t):
+    w = t.customer.join(t.nation, c("c_nationkey") == c("n_nationkey")).join(t.orders, c("o_custkey") == c("c_custkey")).groupBy(c("n_regionkey").alias("conference"), c("c_custkey").alias("team_id")).agg(F.count_if(c("o_orderstatus") == "F").alias("w"))
+    return w.select("conference", "team_id", F.rank().over(W.by(["conference"], F.desc("w"))).alias("seed"))
+
+
+@recipe("14_pruned_scan", "SELECT l_suppkey, l_quantity FROM lineitem WHERE year(l_shipdate) = 1995 AND l_quantity >= 45")
+def _(t):
+    from tipoff.sources import sinks
+
+    path = sinks.work_dir(t.spark) + "/shots"
+    sinks.write_parquet(t.lineitem.withColumn("season_year", F.year("l_shipdate")), path, "season_year")
+    return t.spark.read.parquet(path).filter("season_year = 1995 and l_quantity >= 45").select("l_suppkey", "l_quantity")
+
+
+@recipe("16_distance", "SELECT s_name, round(avg(l_extendedprice / 1000), 5) AS avg_distance FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1")
+def _(t):
+    return rounded(t.lineitem.join(t.supplier, c("l_suppkey") == c("s_suppkey")).groupBy("s_name").agg(F.avg(c("l_extendedprice") / 1000).alias("avg_distance")), 5)
+
+
+@recipe("18_trend", "SELECT year(l_shipdate) AS season, round(avg(l_quantity), 5) AS ppg, round(avg(l_quantity) - lag(avg(l_quantity)) OVER (ORDER BY year(l_shipdate)), 5) AS change FROM lineitem WHERE l_suppkey = 1 GROUP BY 1")
+def _(t):
+    s = t.lineitem.filter("l_suppkey = 1").groupBy("l_suppkey", F.year("l_shipdate").alias("season")).agg(F.avg("l_quantity").alias("ppg"))
+    return rounded(s.select("season", "ppg", (c("ppg") - F.lag("ppg").over(W.by(["l_suppkey"], c("season")))).alias("change")), 5)
+
+
+@recipe("22_by_distance", "SELECT CAST(floor(l_extendedprice / 10000) AS BIGINT) AS bucket, count(*) AS attempts, round(count(*) FILTER (WHERE l_returnflag = 'R') / count(*), 6) AS pct FROM lineitem GROUP BY 1")
+def _(t):
+    return t.lineitem.groupBy(F.floor(c("l_extendedprice") / 10000).alias("bucket")).agg(count_all().alias("attempts"), F.round(S.ratio(F.count_if(c("l_returnflag") == "R"), count_all()), 6).alias("pct"))
+
+
+@recipe("23_top_lineups", "SELECT l_suppkey, l_linenumber, count(*) AS n, round(sum(l_tax * l_quantity) / sum(l_quantity), 6) AS net FROM lineitem GROUP BY 1, 2 HAVING count(*) >= 50")
+def _(t):
+    from tipoff.operators.aggregates import weighted_mean
+
+    s = t.lineitem.groupBy("l_suppkey", "l_linenumber").agg(count_all().alias("n"), weighted_mean(c("l_tax"), c("l_quantity")).alias("net"))
+    return rounded(s.filter("n >= 50"), 6)
+
+
+@recipe("25_on_off", "SELECT a.s AS l_suppkey, round(a.q - b.q, 5) AS delta FROM (SELECT l_suppkey AS s, avg(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1) a JOIN (SELECT l_suppkey AS s, avg(l_quantity) AS q FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1) b ON a.s = b.s ORDER BY a.q - b.q DESC, a.s LIMIT 15")
+def _(t):
+    from tipoff.operators.reshape import on_off
+
+    s = t.lineitem.groupBy("l_suppkey", "l_returnflag").agg(F.avg("l_quantity").alias("q"))
+    d = on_off(s, ["l_suppkey"], "l_returnflag", "A", "N", ["q"]).orderBy(F.desc("q_delta"), "l_suppkey").limit(15)
+    return d.select("l_suppkey", F.round("q_delta", 5).alias("delta"))
