@@ -28,6 +28,8 @@ from tipoff.llm._text import MASK, U64, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RANK_OFFSET, TEMPERATURE, BYTE_COST, SEED, SLOT_BITS = 10.0, 1.0, 25.0, 1, 20
+#: Bytes of text handled at a time: more finds more repeated units, less takes less memory beside whole output rows.
+DIGEST_BYTES, ENCODE_BYTES = 4 << 20, 1 << 20
 TABLE, BASE = _text.byte_table(11), 0xD1342543DE82EF95
 
 
@@ -186,29 +188,20 @@ def sample(data: np.ndarray, offs: np.ndarray, keys: np.ndarray, vocab: Pieces,
 def _encode(batches: Iterator[pa.RecordBatch], model: bytes, key: str, temperature: float, seed: int, digest: bool) -> Iterator[pa.RecordBatch]:
     vocab = Pieces(model, temperature)
     for b in batches:
-        keys = b.column(key).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
-        ids, counts, fine, shas, sizes = [], [], [], [], []
-        for i, j, data, offs in _text.slices(b, "text", 4 << 20):
-            got, n = sample(data, offs, keys[i:j], vocab, seed)
-            back = vocab.decode(got)
+        for i, j, data, offs in _text.slices(b, "text", DIGEST_BYTES if digest else ENCODE_BYTES):
+            part = b.slice(i, j - i)
+            keys = part.column(key).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+            ids, n = sample(data, offs, keys, vocab, seed)
+            back = vocab.decode(ids)
             same = np.r_[0, np.cumsum(back == data)] if len(back) == len(data) else np.zeros(len(data) + 1, np.int64)
-            fine.append(same[offs[1:]] - same[offs[:-1]] == np.diff(offs))
-            sizes.append(np.diff(offs))
-            counts.append(n)
-            got = got.astype("<i4")
+            extra = [pa.array(n), pa.array(same[offs[1:]] - same[offs[:-1]] == np.diff(offs))]
+            ids, lim = ids.astype("<i4"), np.r_[0, np.cumsum(n)]
             if digest:
-                lim = np.r_[0, np.cumsum(n)]
-                shas += [hashlib.sha256(got[a:c].tobytes()).hexdigest() for a, c in zip(lim[:-1], lim[1:], strict=True)]
+                shas = [hashlib.sha256(ids[x:z].tobytes()).hexdigest() for x, z in zip(lim[:-1], lim[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(np.diff(offs)), *extra, pa.array(shas, pa.string())], names=[key, "n_bytes", "n_pieces", "lossless", "pieces_sha256"])
             else:
-                ids.append(got)
-        cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-        n = cat(counts, np.int64)
-        extra = [pa.array(n), pa.array(cat(fine, bool))]
-        if digest:
-            yield pa.RecordBatch.from_arrays([b.column(key), pa.array(cat(sizes, np.int64)), *extra, pa.array(shas, pa.string())], names=[key, "n_bytes", "n_pieces", "lossless", "pieces_sha256"])
-        else:
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(cat(ids, np.int32), pa.int32()))
-            yield pa.RecordBatch.from_arrays([*b.columns, *extra, lists], names=[*b.schema.names, "n_pieces", "lossless", "pieces"])
+                lists = pa.ListArray.from_arrays(pa.array(lim.astype(np.int32)), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *extra, lists], names=[*part.schema.names, "n_pieces", "lossless", "pieces"])
 
 
 def read_model(path: str) -> bytes:
