@@ -24,12 +24,13 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: words taken over its size, rounded, at least once if any are taken."""
-    taken = mixing.mix_sources(docs).select(F.col("doc_id").alias("id"), F.col("size").alias("words"), "taken")
-    copies = F.when(F.col("taken") > 0, F.greatest(F.lit(1), F.round(F.col("taken") / F.col("words")).cast("int"))).otherwise(0)
-    taken = taken.groupBy("id").agg(F.max(copies).cast("int").alias("copies")).filter("copies > 0")
-    kept = docs.join(taken.hint("merge"), docs["doc_id"].eqNullSafe(taken["id"]))
-    return kept.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    """Each document as often as the mix takes it: words taken over its size, its fraction one more copy or none (see mixing.copies)."""
+    times = mixing.copies(mixing.mix_sources(docs), docs.count()).filter("copies > 0")
+    times = times.select(*(F.col(k).alias(f"_{k}") for k in times.columns))
+    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)).cast("long")
+    same = docs["doc_id"].eqNullSafe(times["_doc_id"]) & docs["source"].eqNullSafe(times["_source"]) & (size == times["_size"])
+    kept = docs.join(times.hint("merge"), same)
+    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -312,3 +312,32 @@ def test_pipeline(spark):
         assert not base_by_hand(r.text or "")
     out = corpus_pipeline.run(spark, sf)
     assert out.filter("not lossless").count() == 0 and {r.doc_id for r in out.select("doc_id").collect()} == ids[4]
+
+
+def test_pipeline_mix_meets_targets(spark):
+    """Words by source after the stage against the targets on the stage's input: down-weighted sources lose words."""
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD))
+    out = {r.source: r.w for r in corpus_pipeline.mix(spark, docs, sf).groupBy("source").agg(F.sum(words).alias("w")).collect()}
+    per = {r.source: r for r in mixing.mix_sources(docs).groupBy("source").agg(F.max("target").alias("target"), F.sum("size").alias("w"), F.max("size").alias("top")).collect()}
+    assert any(r.target < 0.9 * r.w for r in per.values())
+    for s, r in per.items():
+        assert abs(out.get(s, 0) - r.target) <= 0.05 * r.target + r.top
+
+
+def test_copies_follow_words_taken(spark):
+    """A fraction of a copy is one or none, also for rows that share a doc_id or have none."""
+    rows = [(k if k % 5 else None, 100 + k % 7, "a", 0, 0.0, (k * 13) % 250) for k in range(400)] + [(7, 90, "b", 0, 0.0, 30)] * 3 + [(8, 0, "b", 0, 0.0, 0)]
+    taken = spark.createDataFrame(rows, "doc_id long, size long, source string, source_size long, target double, taken long")
+    got = {(r.doc_id, r.source, r.size): r.copies for r in mixing.copies(taken, len(rows)).collect()}
+    assert (8, "b", 0) not in got and 0 in got.values() and 2 in got.values()
+    share = {}
+    for i, n, s, _, _, w in rows:
+        share.setdefault((i, s, n), []).append(w / n if n else 0)
+    for k, c in got.items():
+        assert abs(c - sum(share[k]) / len(share[k])) < 1
+    words = sum(n * got[i, s, n] for i, n, s, *_ in rows if n and s == "a")
+    assert abs(words - sum(r[5] for r in rows if r[2] == "a")) < max(n * len(share[i, s, n]) for i, n, s, *_ in rows)

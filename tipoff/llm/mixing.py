@@ -133,6 +133,24 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
     )
 
 
+def copies(taken: DataFrame, n_docs: int, seed: int = SEED) -> DataFrame:
+    """doc_id, source, size and copies: how many whole copies stand for the words that mix_sources took.
+
+    copies is taken / size, rounded up or down by systematic draws along the sizes of a stretch: a document's copies are taken / size
+    on average, and a stretch's words differ from those taken by less than its largest document. Rows that share doc_id, source and
+    size share their taken words and count as one draw.
+    """
+    key = ["doc_id", "source", "size"]
+    per = taken.filter("size > 0").groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), (F.sum("taken") / F.sum("size")).alias("share"))
+    per = per.withColumn("stretch", F.pmod(F.xxhash64(*key), F.lit(max(1, n_docs // STRETCH))).cast("int"))
+    order = Window.partitionBy("source", "stretch").orderBy(F.col("rows") * F.col("size"), "doc_id", "size")
+    part = F.col("share") - F.floor("share")
+    before = F.coalesce(F.sum(part).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    start = F.pmod(F.xxhash64("source", "stretch", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    more = F.floor(F.sum(part).over(order.rowsBetween(Window.unboundedPreceding, 0)) + start) - F.floor(before + start)
+    return per.select(*key, (F.floor("share") + more).cast("int").alias("copies"))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_common.table(spark, sf_dir, "documents"))
 
