@@ -137,20 +137,44 @@ def peak_fit(curve: DataFrame, x: str, y: str, peaks: list[float], widths: list[
     return s.withColumn("sse", F.col("syy") * (1 - F.col("r2"))).orderBy("sse", "peak", "width").limit(1)
 
 
-def walk_forward(df: DataFrame, season: str, features: list[str], label: str, seasons: list) -> DataFrame:
-    """For each season, a logistic model of all earlier ones, medians of the training rows filled in; (season, label, probability)."""
+def walk_forward(df: DataFrame, season: str, features: list[str], label: str, seasons: list | None = None, least: int = 50) -> DataFrame:
+    """For each season (all with at least three before it), a stacked model of all earlier ones; (season, label, probability).
+
+    Boosted trees and a random forest of all earlier seasons, medians of their training rows filled in, predict every season from the
+    second on. A logistic model of these predictions for the seasons before a season blends its two; with fewer than least of
+    them it is their mean. So nothing is learned from a season that is predicted, or from a later one.
+    """
     from pyspark.ml import Pipeline
-    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
     from pyspark.ml.feature import Imputer, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    out = None
-    for s in seasons:
-        past = df.filter(F.col(season) < s)
-        filled = [f"_{f}" for f in features]
-        steps = [Imputer(strategy="median", inputCols=features, outputCols=filled), VectorAssembler(inputCols=filled, outputCol="_x", handleInvalid="keep"), LogisticRegression(featuresCol="_x", labelCol=label, regParam=0.01, probabilityCol="_pr")]
-        got = Pipeline(stages=steps).fit(past).transform(df.filter(F.col(season) == s)).select(season, label, vector_to_array("_pr")[1].alias("probability"))
-        out = got if out is None else out.unionByName(got)
+    two = {"ml_attr": {"type": "nominal", "vals": ["0", "1"]}}  # also where the earlier seasons have one label only
+    df = df.select(season, *features, F.col(label).cast("double").alias(label, metadata=two)).cache()
+    sizes = {r[0]: r[1] for r in df.filter(F.col(season).isNotNull()).groupBy(season).count().orderBy(season).collect()}  # a row per season
+    known = list(sizes)
+    wanted = known[3:] if seasons is None else seasons
+    filled, base, out = [f"_in_{f}" for f in features], {}, df.select(season, label, F.lit(0.0).alias("probability")).limit(0)
+    for s in known[1:]:
+        if not any(s <= x for x in wanted):
+            break
+        past, here = df.filter(F.col(season) < s), df.filter(F.col(season) == s)
+        steps = [Imputer(strategy="median", inputCols=features, outputCols=filled), VectorAssembler(inputCols=filled, outputCol="_x", handleInvalid="keep")]
+        steps += [m(featuresCol="_x", labelCol=label, seed=42).setProbabilityCol(f"_p{k}").setRawPredictionCol(f"_r{k}").setPredictionCol(f"_c{k}") for k, m in enumerate((GBTClassifier, RandomForestClassifier))]
+        got = Pipeline(stages=steps).fit(past).transform(here).select(season, label, *(vector_to_array(f"_p{k}")[1].alias(f"_b{k}") for k in (0, 1))).cache()
+        before = [x for x in base if x < s]
+        if s in wanted:
+            if sum(sizes[x] for x in before) < least:
+                blend = got.select(season, label, ((F.col("_b0") + F.col("_b1")) / 2).alias("probability"))
+            else:
+                learned = base[before[0]]
+                for x in before[1:]:
+                    learned = learned.unionByName(base[x])
+                steps = [VectorAssembler(inputCols=["_b0", "_b1"], outputCol="_x"), LogisticRegression(featuresCol="_x", labelCol=label, probabilityCol="_pr", maxIter=1000)]
+                learned = learned.withColumn(label, F.col(label).alias(label, metadata=two))
+                blend = Pipeline(stages=steps).fit(learned).transform(got).select(season, label, vector_to_array("_pr")[1].alias("probability"))
+            out = out.unionByName(blend)
+        base[s] = got
     return out
 
 

@@ -124,9 +124,10 @@ def _(t):
 
 @query("an_15_walk_forward")
 def _(t):
-    d = t.orders.select(order_year().alias("season"), (c("o_orderstatus") == "F").cast("int").alias("label"), c("o_totalprice").alias("price"), F.month("o_orderdate").cast("double").alias("month"))
-    years = [r.season for r in d.select("season").distinct().orderBy("season").collect()][2:5]
-    return N.walk_forward(d, "season", ["price", "month"], "label", years).groupBy("season").agg(F.round(F.avg(((c("probability") > 0.5).cast("int") == c("label")).cast("double")), 4).alias("accuracy"), count_all().alias("n"))
+    label = (c("o_orderstatus") == "F").cast("int").alias("label")
+    d = form(t).select(order_year().alias("season"), label, c("o_totalprice").alias("price"), F.month("o_orderdate").cast("double").alias("month"), c("o_totalprice_avg_10").alias("form"), c("rest_days").cast("double").alias("rest"))
+    got = N.walk_forward(d, "season", ["price", "month", "form", "rest"], "label")
+    return got.groupBy("season").agg(F.round(F.avg(((c("probability") > 0.5).cast("int") == c("label")).cast("double")), 4).alias("accuracy"), count_all().alias("n"))
 
 
 @query("an_17_volatile", "SELECT user_id, round(stddev_samp(value), 6) AS sd FROM events GROUP BY 1 HAVING count(*) >= 3 ORDER BY stddev_samp(value) DESC, user_id LIMIT 5")
