@@ -21,3 +21,14 @@ def test_walk_forward_learns_what_no_line_separates(spark):
     out = N.walk_forward(spark.createDataFrame(rows, "season int, x double, y double, label int"), "season", ["x", "y"], "label").collect()
     assert {r.season for r in out} == {3, 4}
     assert sum((r.probability > 0.5) == (r.label == 1) for r in out) > 0.75 * len(out)
+
+
+def test_logs_and_chunks_hold_every_row(spark):
+    orders, lines = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("orders", "lineitem"))
+    log = QUERIES["q_player_game_log_all"](spark, SF)
+    days = [r.game_date for r in log.select("game_date").collect()]
+    assert days == sorted(days, reverse=True) and len(days) == lines.count()
+    assert log.select("player_id").distinct().count() == lines.select("l_suppkey").distinct().count() > 1
+    assert QUERIES["q_team_game_log_all"](spark, SF).count() == orders.count()
+    kept = QUERIES["snk_7_8_chunks_all"](spark, SF)
+    assert kept.count() == lines.count() and kept.select("l_linenumber").distinct().count() > 3

@@ -250,6 +250,11 @@ def _(t):
     return lines(t).filter("l_suppkey = 1").select(c("l_suppkey").alias("player_id"), c("l_orderkey").alias("game_id"), c("o_orderdate").alias("game_date"), c("l_quantity").alias("pts"))
 
 
+@question("player_game_log_all", "SELECT l_suppkey AS player_id, l_orderkey AS game_id, o_orderdate AS game_date, l_quantity AS pts FROM lineitem JOIN orders ON l_orderkey = o_orderkey ORDER BY o_orderdate DESC")
+def _(t):
+    return lines(t).select(c("l_suppkey").alias("player_id"), c("l_orderkey").alias("game_id"), c("o_orderdate").alias("game_date"), c("l_quantity").alias("pts")).orderBy(F.desc("game_date"))
+
+
 @question("league_benchmarks", f"SELECT season_year, round(avg(ppg), 3) AS avg_ppg, round(quantile_cont(ppg, 0.5), 4) AS p50, count(DISTINCT player_id) AS players FROM ({SEASON}) GROUP BY 1")
 def _(t):
     return season(t).groupBy("season_year").agg(F.round(F.avg("ppg"), 3).alias("avg_ppg"), F.round(F.percentile("ppg", F.lit(0.5)), 4).alias("p50"), F.count_distinct("player_id").alias("players"))
@@ -319,6 +324,11 @@ def _(t):
     return t.orders.filter("o_custkey = 1").select(c("o_custkey").alias("team_id"), c("o_orderkey").alias("game_id"), c("o_orderdate").alias("game_date"), c("o_totalprice").alias("pts"))
 
 
+@question("team_game_log_all", "SELECT o_custkey AS team_id, o_orderkey AS game_id, o_orderdate AS game_date, o_totalprice AS pts FROM orders ORDER BY o_orderdate DESC")
+def _(t):
+    return t.orders.select(c("o_custkey").alias("team_id"), c("o_orderkey").alias("game_id"), c("o_orderdate").alias("game_date"), c("o_totalprice").alias("pts")).orderBy(F.desc("game_date"))
+
+
 @question("player_splits", "SELECT l_suppkey AS player_id, l_returnflag AS split, count(*) AS gp, round(avg(l_quantity), 5) AS ppg FROM lineitem GROUP BY 1, 2")
 def _(t):
     return rounded(t.lineitem.groupBy(c("l_suppkey").alias("player_id"), c("l_returnflag").alias("split")).agg(count_all().alias("gp"), F.avg("l_quantity").alias("ppg")), 5)

@@ -67,6 +67,15 @@ def _(t):
     return store.materialize().select("l_orderkey", "l_linenumber", "l_quantity")
 
 
+@query("snk_7_8_chunks_all", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
+def _(t):
+    store = sinks.ChunkStore(t.spark, sinks.work_dir(t.spark))
+    known = [r[0] for r in t.lineitem.select("l_linenumber").distinct().orderBy("l_linenumber").collect()]  # a row for each line number
+    for k in [*known, *known[:1]]:  # the first once more: a replay
+        store.append(f"line-{k}", t.lineitem.filter(c("l_linenumber").eqNullSafe(F.lit(k))).select("l_orderkey", "l_linenumber", "l_quantity"))
+    return store.materialize().select("l_orderkey", "l_linenumber", "l_quantity")
+
+
 @query("snk_9_manifest", "SELECT 'nation' AS \"table\", count(*) AS rows FROM nation UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'part', count(*) FROM part")
 def _(t):
     return sinks.manifest({n: getattr(t, n) for n in ("nation", "orders", "part")}).select("table", "rows")
