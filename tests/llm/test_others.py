@@ -53,6 +53,40 @@ def test_pieces_vary_with_key_and_follow_the_lattice():
         assert abs(seen.get(path, 0) / 4000 - x / z) < 0.03
 
 
+@pytest.mark.parametrize("text", ["x" * 300_000, "".join(hashlib.sha256(str(k).encode()).hexdigest() for k in range(5000)), "漢字" * 50_000])
+def test_pieces_of_long_unspaced_texts(text):
+    """A text without spaces is encoded whole in seconds, and its draws don't depend on what stands beside it."""
+    import time
+
+    vocab = pieces.Pieces(pieces.read_model(pieces.MODEL))
+    data = np.frombuffer(text.encode(), np.uint8)
+    began = time.perf_counter()
+    ids, n = pieces.sample(data, np.array([0, len(data)]), np.array([3]), vocab)
+    assert time.perf_counter() - began < 20 and n.tolist() == [len(ids)] and (vocab.decode(ids) == data).all()
+    both = np.frombuffer(b"a b" + text.encode(), np.uint8)
+    again, n = pieces.sample(both, np.array([0, 3, len(both)]), np.array([9, 3]), vocab)
+    assert (again[n[0] :] == ids).all()
+
+
+def test_long_units_follow_the_same_law(monkeypatch):
+    """A unit that is filtered by itself draws what the vectorised lattice draws."""
+    vocab = pieces.Pieces(pieces.read_model(pieces.MODEL))
+    data = np.frombuffer("thequickbrownföxthequick".encode(), np.uint8)
+
+    def draws():
+        return [pieces.sample(data, np.array([0, len(data)]), np.array([k]), vocab)[0].tolist() for k in range(300)]
+
+    want = draws()
+    monkeypatch.setattr(pieces, "LONG", 3)
+    monkeypatch.setattr(pieces, "LONG_STEP", 5)
+    assert draws() == want and len({tuple(x) for x in want}) > 5
+
+
+def test_op1_returns_its_pieces(spark):
+    out = pieces.op1_piece_sampling(spark, "/root/testdata/sf0.001").collect()
+    assert all(len(r.pieces) == r.n_pieces and r.lossless and brute.sha(np.array(r.pieces, "<i4").tobytes()) == r.pieces_sha256 for r in out)
+
+
 # --- mixing
 
 

@@ -4,7 +4,8 @@ A text's piece lattice has an edge for every vocabulary piece that matches its b
 that any text can be encoded. Forward filtering sums the weights of all paths to each position; backward sampling then
 draws a path from its end. Draws come from a hash of the row key, the position and the seed, so a row's segmentation is
 the same on every run and executor. No piece crosses the start of a run of spaces or a line feed, so the lattice falls into
-units that are filtered once per distinct unit.
+units that are filtered once per distinct unit. A long unit (a text without spaces) is filtered by itself, in time that is
+linear in its length and with a number held for each position; texts of any length are encoded whole.
 
 The public model file stores merge ranks, not probabilities: a piece of rank r weighs 1 / (r + RANK_OFFSET), to the power
 1 / temperature. Decoding joins the pieces' bytes ('▁' is a space; a literal '▁' is kept as byte pieces), so it returns the
@@ -17,6 +18,7 @@ key and one text get one segmentation; a null key counts as 0; extra columns are
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +30,10 @@ from tipoff.llm._text import MASK, U64, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 RANK_OFFSET, TEMPERATURE, BYTE_COST, SEED, SLOT_BITS = 10.0, 1.0, 25.0, 1, 20
-#: Bytes of text handled at a time: more finds more repeated units, less takes less memory beside whole output rows.
-DIGEST_BYTES, ENCODE_BYTES = 4 << 20, 1 << 20
+#: Bytes of text handled at a time, and of its distinct units' lattices.
+TEXT_BYTES, LATTICE_BYTES = 1 << 20, 1 << 17
+#: Bytes from which a unit (text without spaces) is filtered by itself, and positions of it whose edges are held.
+LONG, LONG_STEP = 256, 1 << 15
 TABLE, BASE = _text.byte_table(11), 0xD1342543DE82EF95
 
 
@@ -109,26 +113,36 @@ def units(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start[:n])
 
 
-def lattice(flat: np.ndarray, first: np.ndarray, size: np.ndarray, vocab: Pieces) -> tuple:
-    """Edges of the distinct units by end position, with the cumulative probability of each as the last step to it.
-
-    flat: the units' bytes; nodes are numbered first[u] + u + j for position j of unit u.
-    """
-    n, unit = len(flat), np.repeat(np.arange(len(first)), size)
-    j = np.arange(n) - np.repeat(first, size) + 1  # position after the byte
+def edges(flat: np.ndarray, j: np.ndarray, vocab: Pieces, skip: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """End byte, length, piece id and log weight of every edge that ends at byte `skip` or later; j: position in its unit after each byte."""
+    n = len(flat)
     s = np.r_[U64(0), np.cumsum(TABLE[flat] * _text.powers(BASE, n), dtype=U64)]
     back = _text.powers(pow(BASE, -1, 1 << 64), n + 1)
     ends, lens, ids, ws = [], [], [], []
     for ln in vocab.sizes:
-        e = np.flatnonzero(j >= ln)
+        e = np.flatnonzero(j[skip:] >= ln) + skip
         k = vocab.find((s[e + 1] - s[e + 1 - ln]) * back[e + 1 - ln] + U64(ln))
         hit = k >= 0
-        ends.append(e[hit])
-        lens.append(np.full(int(hit.sum()), ln))
-        ids.append(vocab.ids[k[hit]])
-        ws.append(vocab.weight[k[hit]])
-    ends, lens, ids, ws = [*ends, np.arange(n)], [*lens, np.ones(n, np.int64)], [*ids, vocab.byte_id[flat]], [*ws, np.full(n, -BYTE_COST)]
-    end, ln, pid, w = (np.concatenate(x) for x in (ends, lens, ids, ws))
+        k = k[hit]
+        ends.append(e[hit].astype(np.int32))
+        lens.append(np.full(len(k), ln, np.int16))
+        ids.append(vocab.ids[k].astype(np.int32))
+        ws.append(vocab.weight[k])
+    ends.append(np.arange(skip, n, dtype=np.int32))
+    lens.append(np.ones(n - skip, np.int16))
+    ids.append(vocab.byte_id[flat[skip:]].astype(np.int32))
+    ws.append(np.full(n - skip, -BYTE_COST))
+    return tuple(np.concatenate(x) for x in (ends, lens, ids, ws))
+
+
+def lattice(flat: np.ndarray, first: np.ndarray, size: np.ndarray, vocab: Pieces) -> tuple:
+    """Edges of distinct short units by end position, with the cumulative probability of each as the last step to it.
+
+    flat: the units' bytes; nodes are numbered first[u] + u + j for position j of unit u.
+    """
+    n, unit = len(flat), np.repeat(np.arange(len(first)), size)
+    j = np.arange(n) - np.repeat(first, size) + 1  # position after the byte
+    end, ln, pid, w = edges(flat, j, vocab)
     order = np.lexsort((end, j[end]))  # by position in the unit, then by node
     end, ln, pid, w = end[order], ln[order], pid[order], w[order]
     node = end + unit[end] + 1
@@ -149,29 +163,91 @@ def lattice(flat: np.ndarray, first: np.ndarray, size: np.ndarray, vocab: Pieces
     new = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
     last = np.r_[new[1:], len(node)] - 1
     cum[last] = np.inf
-    begin = np.zeros(n + len(first), np.int64)
+    begin = np.zeros(n + len(first), np.int32)
     begin[node[new]] = new
     return cum, begin, ln, pid
 
 
+def lattices(data: np.ndarray, st: np.ndarray, size: np.ndarray, vocab: Pieces) -> tuple:
+    """lattice() of units that start at st, about LATTICE_BYTES of them at a time: only what the draws need is held for all."""
+    first = np.cumsum(size) - size
+    parts, n_edges = [], 0
+    cut = np.r_[np.flatnonzero(np.r_[True, np.diff(first // LATTICE_BYTES) > 0]), len(st)] if len(st) else np.zeros(1, np.int64)
+    for a, b in zip(cut[:-1], cut[1:], strict=True):
+        f = first[a:b] - first[a]
+        flat = data[np.repeat(st[a:b] - f, size[a:b]) + np.arange(int(size[a:b].sum()))]
+        cum, begin, ln, pid = lattice(flat, f, size[a:b], vocab)
+        parts.append((cum, begin + np.int32(n_edges), ln, pid))
+        n_edges += len(cum)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0), *(np.zeros(0, np.int32) for _ in range(3)))
+
+
+def steps_to(unit: np.ndarray, a: int, b: int, vocab: Pieces) -> list[list[tuple[int, float, int]]]:
+    """(length, log weight, piece) of the edges to each position a + 1 .. b of a unit."""
+    lo = max(0, a - vocab.sizes[0])
+    end, ln, pid, w = edges(unit[lo:b], np.arange(lo + 1, b + 1), vocab, a - lo)
+    order = np.argsort(end, kind="stable")
+    lim = np.searchsorted(end[order], np.arange(a - lo, b - lo + 1)).tolist()
+    every = list(zip(ln[order].tolist(), w[order].tolist(), pid[order].tolist(), strict=True))
+    return [every[x:z] for x, z in zip(lim[:-1], lim[1:], strict=True)]
+
+
+def draw_long(unit: np.ndarray, salts: list[tuple[int, int]], vocab: Pieces, out: np.ndarray) -> None:
+    """Forward filtering of one long unit, a position at a time, and a draw for each of its places (start in the slice, salt).
+
+    Edges are made again, a stretch at a time, for the draws: beside the bytes only one number for each position is held.
+    """
+    n, exp, log = len(unit), math.exp, math.log
+    alpha = [0.0]
+    for a in range(0, n, LONG_STEP):
+        p = a
+        for step in steps_to(unit, a, min(n, a + LONG_STEP), vocab):
+            p += 1
+            v = [alpha[p - ln] + w for ln, w, _ in step]
+            top = max(v)
+            alpha.append(top + log(sum([exp(x - top) for x in v])))
+    at = [n] * len(salts)
+    for a in range((n - 1) // LONG_STEP * LONG_STEP, -1, -LONG_STEP):
+        b = min(n, a + LONG_STEP)
+        steps = steps_to(unit, a, b, vocab)
+        for k, (start, salt) in enumerate(salts):
+            u = uniform(U64(salt) + (np.arange(a + 1, b + 1).astype(U64) + U64(start)) * U64(0x9E3779B97F4A7C15)).tolist()
+            p = at[k]
+            while p > a:
+                step, here = steps[p - a - 1], alpha[p]
+                left, last = u[p - a - 1], step[-1]
+                for e in step:
+                    left -= exp(alpha[p - e[0]] + e[1] - here)
+                    if left < 0:
+                        last = e
+                        break
+                p -= last[0]
+                out[start + p] = last[2]
+            at[k] = p
+
+
+def uniform(x: np.ndarray) -> np.ndarray:
+    return (mix(x) >> U64(11)).astype(np.float64) / float(1 << 53)
+
+
 def sample(data: np.ndarray, offs: np.ndarray, keys: np.ndarray, vocab: Pieces, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all texts in order, and the count of each text."""
     if len(data) == 0:
-        return np.zeros(0, np.int64), np.zeros(len(offs) - 1, np.int64)
+        return np.zeros(0, np.int32), np.zeros(len(offs) - 1, np.int64)
     st = units(data, offs)
     en = np.r_[st[1:], len(data)]
     row = np.searchsorted(offs, st, "right") - 1
-    _, at, which = np.unique(_text.word_hashes(data, st, en, TABLE, BASE | 2), return_index=True, return_inverse=True)
-    size = en[at] - st[at]
-    first = np.cumsum(size) - size
-    flat = data[np.repeat(st[at] - first, size) + np.arange(int(size.sum()))]
-    cum, begin, ln, pid = lattice(flat, first, size, vocab)
-    root = (first + np.arange(len(first)))[which]
-    node, pos = root + (en - st), en.copy()
     salt = mix(keys.astype(np.int64).view(U64), seed)[row] - offs[row].astype(U64) * U64(0x9E3779B97F4A7C15 & MASK)
-    out, live = np.full(len(data), -1, np.int64), np.arange(len(st))
+    out = np.full(len(data), -1, np.int32)
+    short = np.flatnonzero(en - st <= LONG)
+    _, at, which = np.unique(_text.word_hashes(data, st[short], en[short], TABLE, BASE | 2), return_index=True, return_inverse=True)
+    size = (en - st)[short[at]]
+    cum, begin, ln, pid = lattices(data, st[short[at]], size, vocab)
+    root = (np.cumsum(size) - size + np.arange(len(size)))[which]
+    salts, pos = salt[short], en[short]
+    node, live = root + (en - st)[short], np.arange(len(short))
     while len(live):
-        u = (mix(salt[live] + pos[live].astype(U64) * U64(0x9E3779B97F4A7C15)) >> U64(11)).astype(np.float64) / float(1 << 53)
+        u = uniform(salts[live] + pos[live].astype(U64) * U64(0x9E3779B97F4A7C15))
         edge = begin[node[live]]
         below = np.flatnonzero(cum[edge] <= u)
         while len(below):
@@ -181,6 +257,11 @@ def sample(data: np.ndarray, offs: np.ndarray, keys: np.ndarray, vocab: Pieces,
         pos[live] -= ln[edge]
         out[pos[live]] = pid[edge]
         live = live[node[live] > root[live]]
+    same: dict[bytes, list[int]] = {}
+    for k in np.flatnonzero(en - st > LONG).tolist():
+        same.setdefault(data[st[k] : en[k]].tobytes(), []).append(k)
+    for raw, places in same.items():
+        draw_long(np.frombuffer(raw, np.uint8), [(int(st[k]), int(salt[k])) for k in places], vocab, out)
     placed = out >= 0
     return out[placed], np.diff(np.r_[0, np.cumsum(placed)][offs])
 
@@ -188,20 +269,21 @@ def sample(data: np.ndarray, offs: np.ndarray, keys: np.ndarray, vocab: Pieces,
 def _encode(batches: Iterator[pa.RecordBatch], model: bytes, key: str, temperature: float, seed: int, digest: bool) -> Iterator[pa.RecordBatch]:
     vocab = Pieces(model, temperature)
     for b in batches:
-        for i, j, data, offs in _text.slices(b, "text", DIGEST_BYTES if digest else ENCODE_BYTES):
+        for i, j, data, offs in _text.slices(b, "text", TEXT_BYTES):
             part = b.slice(i, j - i)
             keys = part.column(key).cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
             ids, n = sample(data, offs, keys, vocab, seed)
             back = vocab.decode(ids)
             same = np.r_[0, np.cumsum(back == data)] if len(back) == len(data) else np.zeros(len(data) + 1, np.int64)
-            extra = [pa.array(n), pa.array(same[offs[1:]] - same[offs[:-1]] == np.diff(offs))]
             ids, lim = ids.astype("<i4"), np.r_[0, np.cumsum(n)]
+            lists = pa.ListArray.from_arrays(pa.array(lim.astype(np.int32)), pa.array(ids, pa.int32()))
+            extra = [pa.array(n), pa.array(same[offs[1:]] - same[offs[:-1]] == np.diff(offs)), lists]
+            names = ["n_pieces", "lossless", "pieces"]
             if digest:
                 shas = [hashlib.sha256(ids[x:z].tobytes()).hexdigest() for x, z in zip(lim[:-1], lim[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(np.diff(offs)), *extra, pa.array(shas, pa.string())], names=[key, "n_bytes", "n_pieces", "lossless", "pieces_sha256"])
+                yield pa.RecordBatch.from_arrays([part.column(key), pa.array(np.diff(offs)), *extra, pa.array(shas, pa.string())], names=[key, "n_bytes", *names, "pieces_sha256"])
             else:
-                lists = pa.ListArray.from_arrays(pa.array(lim.astype(np.int32)), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, *extra, lists], names=[*part.schema.names, "n_pieces", "lossless", "pieces"])
+                yield pa.RecordBatch.from_arrays([*part.columns, *extra], names=[*part.schema.names, *names])
 
 
 def read_model(path: str) -> bytes:
@@ -236,7 +318,7 @@ def op1_piece_sampling(spark: SparkSession, sf_dir: str, path: str = MODEL) -> D
     docs = _common.columns(_common.table(spark, sf_dir, "documents"), doc_id="long", text="string")
     _common.ship(spark)
     model = read_model(path)
-    return docs.mapInArrow(lambda it: _encode(it, model, "doc_id", TEMPERATURE, SEED, True), "doc_id long, n_bytes long, n_pieces long, lossless boolean, pieces_sha256 string")
+    return docs.mapInArrow(lambda it: _encode(it, model, "doc_id", TEMPERATURE, SEED, True), "doc_id long, n_bytes long, n_pieces long, lossless boolean, pieces array<int>, pieces_sha256 string")
 
 
 QUERIES = {"op1_piece_sampling": op1_piece_sampling}
