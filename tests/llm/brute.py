@@ -84,3 +84,91 @@ def jaccard_components(rows, n=5, num=80):
         r = find(k)
         least[r] = min(least.get(r, i), i)
     return {i: (len(s), least[find(k)]) for k, (i, s) in enumerate(sets)}
+
+
+def spark_hash(*values):
+    """xxhash64 of longs, strings and lists of longs as Spark chains them; a null leaves the hash as it is."""
+    import xxhash
+
+    h = 42
+    for v in values:
+        for x in v if isinstance(v, list) else [v]:
+            if x is not None:
+                h = xxhash.xxh64_intdigest(x.encode() if isinstance(x, str) else (x & MASK).to_bytes(8, "little"), h)
+    return signed(h)
+
+
+MASK = (1 << 64) - 1
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def imatch(rows, subsets, min_share, max_share):
+    """rows: (doc_id, text), distinct; {(doc_id, text): (n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next)}."""
+    from math import ceil
+
+    terms = lambda t: {w for w in re.split(r"[\x20\x09-\x0D]+", t.lower()) if w}
+    order = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is None, -(r[0] or 0), spark_hash(r[1])))
+    df = {}
+    for _, t in order:
+        for w in terms(t):
+            df[w] = df.get(w, 0) + 1
+    n = len(order)
+    lex = {spark_hash(w) for w, c in df.items() if max(2, ceil(n * min_share)) <= c <= ceil(n * max_share)}
+
+    def prints(t):
+        found = sorted(lex & {spark_hash(w) for w in terms(t)})
+        out = []
+        for d, m in subsets:
+            for k in range(m):
+                if not out:
+                    part = found
+                elif d == 1:
+                    part = [x for x in found if (x >> 57) % 8 != k]
+                else:
+                    part = [x for x in found if (x >> (2 * k + 1)) % d == 0]
+                out.append(spark_hash(part) if part else None)
+        out[0] = spark_hash(t) if out[0] is None else out[0]
+        return out
+
+    def likeness(a, b):
+        told = [x == y for x, y in zip(a, b) if x is not None or y is not None]
+        return sum(told) / len(told)
+
+    text = lambda p: ".".join("-" if x is None else f"{x & MASK:x}" for x in p)
+    got = {}
+    for k, (i, t) in enumerate(order):
+        nxt, h = order[(k + 1) % n][1], len(t) // 2
+        edited = t[: len(t) - h] + nxt[:h]
+        a, b, c = prints(t), prints(edited), prints(nxt)
+        got[i, t] = (len(t), sha(edited), text(a), text(b), likeness(a, b), likeness(a, c))
+    return got
+
+
+def mixed(rows, weights, most, block, shards, seed):
+    """rows: (doc_id, source, text) of one stretch; [(doc_id, source, size, target, taken)], blocks laid out and counted one by one."""
+    import numpy as np
+
+    from tipoff.llm import mixing
+
+    rows = sorted(((i, s, len(WORD.findall(t or "")), spark_hash(i, t or "")) for i, s, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[3]))
+    names = sorted({r[1] for r in rows}, key=lambda s: (s is None, s or ""))
+    total = {s: sum(r[2] for r in rows if r[1] == s) for s in names}
+    goal = dict(zip(names, mixing.targets([total[s] for s in names], [weights[k % len(weights)] for k in range(len(names))], most)))
+    blocks = {s: -(-total[s] // block) for s in names}
+    slots = [max(min(round(goal[s] / block), most * blocks[s]), 1) if blocks[s] else 0 for s in names]
+    assert mixing.draw(slots, shards, seed).sum(0).tolist() == slots  # shards deal out all slots
+    out = []
+    for k, s in enumerate(names):
+        words = [(j, w) for j, r in enumerate(rows) if r[1] == s for w in range(r[2])]
+        times = [0] * blocks[s]
+        for i in range(slots[k]):
+            key = mixing.mix(np.array([(k * 0x9E3779B97F4A7C15 + seed & MASK) + i // blocks[s] & MASK], np.uint64))
+            times[int(mixing.permuted(np.array([i % blocks[s]]), np.array([blocks[s]]), key)[0])] += 1
+        taken = {}
+        for at, (j, _) in enumerate(words):
+            taken[j] = taken.get(j, 0) + times[at // block]
+        out += [(r[0], s, r[2], goal[s], taken.get(j, 0)) for j, r in enumerate(rows) if r[1] == s]
+    return out

@@ -1,21 +1,24 @@
 """Toxicity by maximum-scoring segments.
 
 Token log-odds with a Dirichlet prior come from a bounded sample of labelled training rows. Every other text is scanned
-in linear time for all its maximal scoring segments (toxic passages); each segment's score is calibrated by the extreme-
-value law of local scores (lambda from the background distribution of token scores, search space = the text's tokens), and
-a logistic curve fitted on the training rows turns a document's calibrated evidence into a probability.
+in linear time for all its maximal scoring segments (toxic passages). Segment scores S of a text of n tokens are calibrated by
+the extreme-value law P(S >= x) = 1 - exp(-K n exp(-lambda x)), whose lambda and K are fitted by maximum likelihood to the best
+segments of background rows; several passages are judged together by the law of the sum of the r best. A logistic curve
+fitted on the training rows turns that evidence into a probability.
 
-Bounded sample: at most MAX_TRAIN labelled rows, chosen by a hash of doc_id; the model keeps at most MAX_FEATURES
-features. Features of a token are its folded word and the word's leading 4 to 8 bytes; the most significant one scores it.
+Bounded sample: at most MAX_TRAIN labelled doc_ids, chosen by a hash, with one text each. Features of a token are its folded
+word and the word's leading 4 to 8 bytes; the most significant one scores it.
 
 Defined results: null or empty texts have no segment and get the score of no evidence; without usable labels (none, or
 of one kind) every score is the share of toxic labels (0 if none); a doc_id with several labels counts as toxic if any
-says so; repeated rows give repeated results; extra columns are ignored. Tokens are runs of letters A-Z, a-z (folded) and
-of bytes beyond ASCII.
+says so, and one with several texts is learned from the smallest; repeated rows give repeated results; texts of any length
+are scanned whole; equal segments keep the order of the text; extra columns are ignored. Tokens are runs of letters A-Z,
+a-z (folded) and of bytes beyond ASCII.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,12 +28,12 @@ from pyspark.sql import functions as F
 
 from tipoff.llm import _common, _text
 
-MAX_TRAIN, MAX_FEATURES = 20_000, 50_000
+MAX_TRAIN = 20_000
 PREFIXES = (4, 5, 6, 7, 8)
-#: Prior mass, least significance of a feature, bounds of a token's log-odds, what a token without evidence costs.
-PRIOR, MIN_Z, CLIP, DRIFT = 4.0, 3.3, 8.0, 0.25
-#: Karlin-Altschul K, and the least calibrated score of a significant passage (E-value 0.05).
-K, MIN_BITS = 0.1, 3.0
+#: Prior mass, least significance and log-odds of a feature, bound of a token's log-odds, what a token without evidence costs.
+PRIOR, MIN_Z, MIN_ODDS, CLIP, DRIFT = 4.0, 3.3, 1.5, 8.0, 0.25
+#: The least calibrated score of a significant passage (E-value 0.05).
+MIN_BITS = 3.0
 THRESHOLD = 0.3
 
 LETTERS = np.zeros(256, bool)
@@ -59,10 +62,13 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = [], []
         for i, j, data, offs in _text.slices(batch, "text"):
             row, word, f = features(data, offs)
-            pairs = np.unique(np.stack([np.repeat(row, f.shape[1]).astype(np.uint64), f[word].ravel()], 1), axis=0) if len(row) else np.zeros((0, 2), np.uint64)
-            pairs = pairs[pairs[:, 1] != 0]
-            k, inv = np.unique(pairs[:, 1], return_inverse=True)
-            toxic = np.bincount(inv, y[i:j][pairs[:, 0].astype(np.int64)], len(k)) if len(k) else np.zeros(0)
+            rows, keys_of = np.repeat(row, f.shape[1]), f[word].ravel() if len(row) else np.zeros(0, np.uint64)
+            real = keys_of != 0
+            rows, keys_of = rows[real], keys_of[real]
+            once = np.unique(_text.mix(keys_of ^ _text.mix(rows.astype(np.uint64), 1)), return_index=True)[1]  # once for each row
+            rows = rows[once]
+            k, inv = np.unique(keys_of[once], return_inverse=True)
+            toxic = np.bincount(inv, y[i:j][rows], len(k)) if len(k) else np.zeros(0)
             keys.append(k)
             counts.append(np.stack([toxic, np.bincount(inv, minlength=len(k)) - toxic], 1) if len(k) else np.zeros((0, 2)))
         c = np.concatenate(counts) if counts else np.zeros((0, 2))
@@ -71,8 +77,12 @@ def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def maximal_segments(pos: np.ndarray, score: np.ndarray, drift: float) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first token, last token, score) of a row whose tokens cost drift except those at pos."""
-    stack: list[list] = []  # first, last, total before it, total after it
+    """All maximal scoring segments (first token, last token, score) of a row whose tokens cost drift except those at pos.
+
+    Linear: each candidate on the stack knows the nearest earlier one that starts from a smaller total, so a search from the top of
+    the stack passes over all candidates between the two at once.
+    """
+    stack: list[tuple[int, int, float, float, int]] = []  # first, last, total before it, total after it, link
     total, at = 0.0, 0
     for p, x in zip(pos.tolist(), score.tolist(), strict=True):
         total -= drift * (p - at)
@@ -80,17 +90,17 @@ def maximal_segments(pos: np.ndarray, score: np.ndarray, drift: float) -> list[t
         left, total = total, total + x
         if x <= 0:
             continue
-        seg = [p, p, left, total]
+        first, k = p, len(stack) - 1
         while True:
-            k = len(stack) - 1
-            while k >= 0 and stack[k][2] >= seg[2]:
-                k -= 1
-            if k < 0 or stack[k][3] >= seg[3]:
-                stack.append(seg)
+            while k >= 0 and stack[k][2] >= left:
+                k = stack[k][4]
+            if k < 0 or stack[k][3] >= total:
+                stack.append((first, p, left, total, k))
                 break
-            seg = [stack[k][0], seg[1], stack[k][2], seg[3]]
+            first, _, left, _, link = stack[k]
             del stack[k:]
-    return [(a, b, r - l) for a, b, l, r in stack]
+            k = link
+    return [(a, b, r - l) for a, b, l, r, _ in stack]
 
 
 class Model:
@@ -99,7 +109,7 @@ class Model:
     def __init__(self, keys: np.ndarray, odds: np.ndarray, z: np.ndarray, base: float) -> None:
         o = np.argsort(keys)
         self.keys, self.odds, self.z = keys[o], odds[o], z[o]
-        self.base, self.lam, self.a, self.b = base, 1.0, 0.0, 0.0
+        self.base, self.lam, self.k, self.a, self.b = base, 1.0, 0.1, 0.0, 0.0
 
     def word_scores(self, f: np.ndarray) -> np.ndarray:
         """Log-odds of each distinct word by its most significant feature, 0 without one."""
@@ -111,23 +121,36 @@ class Model:
         r = np.arange(len(f))
         return np.where(hit[r, best], self.odds[at[r, best]], 0.0)
 
-    def calibrate(self, background: np.ndarray, counts: np.ndarray) -> None:
-        """lambda solves sum p exp(lambda s) = 1 over the background's token scores, with a smoothed positive tail."""
-        s = np.r_[background, 1.0, CLIP]
-        p = np.r_[counts, 1.0, 0.1] / (counts.sum() + 1.1)
+    def calibrate(self, best: np.ndarray, tokens: np.ndarray) -> None:
+        """lambda and K of the extreme-value law, by maximum likelihood on the best segment scores of background rows (0: none)."""
+        hit, n = best > 0, np.maximum(tokens, 1).astype(float)
+        m, own, rest = best[hit], n[hit], n[~hit].sum()
+        if len(m) < 2 or m.min() == m.max():
+            return
+        k_of = lambda lam: len(m) / ((own * np.exp(-lam * m)).sum() + rest)
         lo, hi = 1e-3, 20.0
-        for _ in range(80):
-            mid = (lo + hi) / 2
-            lo, hi = (mid, hi) if (p * np.exp(np.minimum(mid * s, 600))).sum() < 1 else (lo, mid)
-        self.lam = lo
+        for _ in range(60):
+            lam = (lo + hi) / 2
+            slope = len(m) / lam - m.sum() + k_of(lam) * (own * m * np.exp(-lam * m)).sum()
+            lo, hi = (lam, hi) if slope > 0 else (lo, lam)
+        self.lam, self.k = lo, float(k_of(lo))
 
     def evidence(self, segments: list[tuple[int, int, float]], tokens: int) -> float:
-        """Calibrated scores lambda S - ln(K n) of all significant passages, the largest in full and the others added as they shrink;
-        on a scale that is logarithmic for large evidence."""
-        floor = -np.log(K * tokens + 1.0)
-        x = sorted((self.lam * s + floor for _, _, s in segments), reverse=True)
-        total = max(x[0], floor) + sum(v / (k + 2) for k, v in enumerate(x[1:]) if v > MIN_BITS) if x else floor
-        return float(np.arcsinh(total / 2))
+        """-ln P of the best segment or, where smaller, of the sum of the r best (each more halves the prior), on a scale that is
+        logarithmic for large evidence."""
+        if not segments:
+            return 0.0
+        floor = math.log(self.k * max(tokens, 1))
+        x = sorted((self.lam * s - floor for _, _, s in segments), reverse=True)
+        p = -math.expm1(-math.exp(-x[0])) if x[0] < 30 else math.exp(-x[0])
+        most, t = -math.log(p) if p < 1 else 0.0, x[0]
+        for r, v in enumerate(x[1:], 2):
+            if v <= 0:
+                break
+            t += v
+            if t > r:
+                most = max(most, t - (r - 1) * math.log(t) + math.lgamma(r + 1) + math.lgamma(r) - (r - 1) * math.log(2))
+        return math.asinh(most / 2)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.a * x + self.b, -30, 30))) if self.a else np.full(len(x), self.base)
@@ -171,24 +194,18 @@ def _evidence(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Re
         found = [[]] * b.num_rows
         for r, n, segs in passages(b, model):
             x[r] = model.evidence(segs, n)
-            found[r] = [s for s in segs if model.lam * s[2] - np.log(K * n + 1) > MIN_BITS]
+            found[r] = [s for s in segs if model.lam * s[2] - math.log(model.k * n) > MIN_BITS]
         starts = pa.array([[s[0] for s in f] for f in found], pa.list_(pa.int32()))
         ends = pa.array([[s[1] + 1 for s in f] for f in found], pa.list_(pa.int32()))
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(x), pa.array(model.score(x)), starts, ends], names=["doc_id", "evidence", "score", "starts", "ends"])
 
 
 def _background(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Token scores of rows labelled 0, rounded, with counts."""
+    """Best segment score and number of tokens of rows labelled 0."""
     for b in batches:
-        y = np.asarray(b.column("toxic").to_pylist())
-        got = {}
-        for i, _, data, offs in _text.slices(b, "text"):
-            row, word, f = features(data, offs)
-            if len(row):
-                s = np.round(model.word_scores(f)[word][y[i + row] == 0], 1)
-                for v, c in zip(*np.unique(s, return_counts=True), strict=True):
-                    got[float(v)] = got.get(float(v), 0) + int(c)
-        yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.float64()), pa.array(list(got.values()), pa.int64())], names=["s", "n"])
+        y = b.column("toxic").to_pylist()
+        got = [(max((s for _, _, s in segs), default=0.0), n) for r, n, segs in passages(b, model) if y[r] == 0]
+        yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in got], pa.float64()), pa.array([n for _, n in got], pa.int64())], names=["s", "n"])
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
@@ -196,24 +213,28 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     spark = docs.sparkSession
     _common.ship(spark)
     labels = _common.columns(labels, doc_id="long", toxic="int").filter("doc_id is not null and toxic in (0, 1)").filter(~_common.held_out())
-    ids = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
+    ids = _common.bounded(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), max_train, "doc_id")
     ids = spark.createDataFrame([tuple(r) for r in ids.collect()], "doc_id long, toxic int")  # at most max_train rows
-    rows = docs.filter(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id").select("text", "toxic")
+    scratch = _common.Scratch(spark)
+    rows = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    rows = scratch.keep(rows.select("text", "toxic"), "labelled")
     n1, n0 = (lambda r: (r.a or 0, r.b or 0))(rows.agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b")).collect()[0])
     base = n1 / (n1 + n0) if n1 + n0 else 0.0
     if not n1 or not n0:
+        scratch.close()
         return Model(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0), base)
     seen = rows.mapInArrow(_presence, "f long, y1 double, y0 double").groupBy("f").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")).filter("y1 + y0 >= 2")
     share = PRIOR * (F.col("y1") + F.col("y0") + 0.5) / (n1 + n0 + 1)
     a1, a0 = F.col("y1") + share + 0.5, F.col("y0") + share + 0.5
     odds = F.ln(a1 / (n1 + PRIOR + 1 - a1)) - F.ln(a0 / (n0 + PRIOR + 1 - a0))
     z = odds / F.sqrt(1 / a1 + 1 / a0)
-    top = seen.select("f", odds.alias("odds"), z.alias("z")).filter((F.col("z") > MIN_Z) | (F.col("z") < -4)).orderBy(F.abs("z").desc(), "f").limit(MAX_FEATURES).toPandas()
+    top = seen.select("f", odds.alias("odds"), z.alias("z")).filter((F.col("z") > MIN_Z) & (F.col("odds") > MIN_ODDS) | (F.col("z") < -4)).toPandas()
     model = Model(top.f.to_numpy(np.int64).view(np.uint64), np.clip(top.odds.to_numpy(float), -1.0, CLIP), top.z.to_numpy(float), base)
-    bg = rows.mapInArrow(lambda it: _background(it, model), "s double, n long").groupBy("s").agg(F.sum("n").alias("n")).toPandas()
-    model.calibrate(np.where(bg.s.to_numpy() == 0, -DRIFT, bg.s.to_numpy()), bg.n.to_numpy(float))
+    bg = rows.mapInArrow(lambda it: _background(it, model), "s double, n long").toPandas()
+    model.calibrate(bg.s.to_numpy(float), bg.n.to_numpy(float))
     x = rows.select(F.col("toxic").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: _evidence(it, model), EVIDENCE).select("doc_id", "evidence").toPandas()
     model.fit(x.evidence.to_numpy(float), x.doc_id.to_numpy(float))
+    scratch.close()
     return model
 
 
