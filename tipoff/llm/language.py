@@ -2,14 +2,15 @@
 
 Each language's byte n-gram distribution is learned from a bounded sample of training rows. A document is a mixture: each
 word is drawn from one language with the document's proportions, which expectation-maximisation estimates from the words'
-n-gram likelihoods. The language set is the one of highest likelihood less a penalty for each language in it (BIC).
+n-gram likelihoods. The language set grows from the likeliest language by the one that raises the likelihood most steeply,
+as long as the likelihood less a penalty for each language in the set (BIC) rises; sets of any size can result.
 
-Bounded sample: at most MAX_TRAIN rows outside the held-out fold, chosen by a hash of doc_id, whole texts. Inputs of a
-prediction are the text's bytes alone.
+Bounded sample: at most MAX_TRAIN rows outside the held-out fold, chosen by a hash of doc_id and text, whole texts. Inputs of
+a prediction are the text's bytes alone.
 
 Defined results: a null text, one without any letter, or one met by a model that learned nothing gives `und` with score
-0; ties between languages go to the first in code point order; repeated rows give repeated results; extra columns are
-ignored. Letters A-Z are folded.
+0; ties between languages go to the first in code point order; repeated rows give repeated results; texts of any length
+are read whole; extra columns are ignored. Letters A-Z are folded.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ from pyspark.sql import functions as F
 from tipoff.llm import _common, _text
 from tipoff.llm.toxicity import LETTERS
 
-MAX_TRAIN, BUCKETS, GRAM = 4_000, 1 << 16, 4
-#: Add-one share of the smoothing, rounds of expectation-maximisation, largest language set, tempering of a word's likelihood.
-ALPHA, ROUNDS, MAX_SET, TEMPER = 0.5, 8, 3, 0.7
+MAX_TRAIN, TRAIN_TASKS, BUCKETS, GRAM = 4_000, 16, 1 << 16, 4
+#: Add-one share of the smoothing, rounds of expectation-maximisation, share that a language joins with, tempering of a word's likelihood.
+ALPHA, ROUNDS, JOIN, TEMPER = 0.5, 12, 0.2, 0.7
 UNKNOWN = "und"
 
 _FOLD = np.where(LETTERS, np.arange(256), 0x20).astype(np.uint8)
@@ -41,7 +42,7 @@ def grams(data: np.ndarray) -> np.ndarray:
     for j in range(GRAM):
         h *= np.uint32(0x01000193)
         h += x[j : len(data) + 1 + j]
-    return ((h * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64)
+    return ((h * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,9 +80,8 @@ def train(docs: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     spark = docs.sparkSession
     _common.ship(spark)
     ok = docs.filter("doc_id is not null and lang is not null and text is not null").filter(~_common.held_out())
-    ids = ok.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train).collect()  # at most max_train ids
-    ids = spark.createDataFrame([(r.doc_id,) for r in ids], "doc_id long").distinct()
-    got = ok.join(F.broadcast(ids), "doc_id").select("text", "lang").mapInArrow(_count, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")).toPandas()
+    some = _common.bounded(ok.select("doc_id", "text", "lang"), max_train, "doc_id", "text", "lang")
+    got = some.select("text", "lang").repartition(TRAIN_TASKS).mapInArrow(_count, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(set(got.lang))
     counts = np.zeros((len(langs), BUCKETS))
     counts[[langs.index(x) for x in got.lang], got.g.to_numpy(int)] = got.n.to_numpy(float)
@@ -114,21 +114,39 @@ def infer(data: np.ndarray, offs: np.ndarray, model: Model) -> np.ndarray:
     u = np.stack([np.add.reduceat(ll[g], cut)[::2] for ll in model.ll], 1).astype(np.float64) * TEMPER
     p = np.exp(u - u.max(1, keepdims=True))
     docs, starts, sizes = np.unique(row, return_index=True, return_counts=True)
-    at = np.repeat(np.arange(len(docs)), sizes)
-    pi, _ = em(p, np.full((len(docs), n_lang), 1 / n_lang), at, starts, sizes, 3)
-    order = np.argsort(-pi, axis=1, kind="stable")
-    best, best_pi = np.full(len(docs), -np.inf), np.zeros((len(docs), n_lang))
-    for k in range(1, min(MAX_SET, n_lang) + 1):
-        allowed = np.zeros((len(docs), n_lang), bool)
-        np.put_along_axis(allowed, order[:, :k], True, axis=1)
-        q, lik = em(p, np.where(allowed, np.maximum(pi, 1e-6), 0) / np.where(allowed, np.maximum(pi, 1e-6), 0).sum(1, keepdims=True), at, starts, sizes, ROUNDS if k > 1 else 0)
-        lik = lik - 0.5 * (k - 1) * np.log(sizes + 1.0) - (k - 1)
-        better = lik > best
-        best[better], best_pi[better] = lik[better], q[better]
-    out[docs] = best_pi
+    every = np.add.reduceat(u, starts, axis=0)
+    first = np.argmax(every, 1)
+    pi = np.zeros((len(docs), n_lang))
+    pi[np.arange(len(docs)), first] = 1.0
+    rest = np.add.reduceat(u.max(1), starts)  # no mixture is likelier than each word's best language
+    value = every[np.arange(len(docs)), first]
+    live = np.flatnonzero(rest - value > penalty(sizes))
+    while len(live):
+        word = np.concatenate([np.arange(a, a + n) for a, n in zip(starts[live], sizes[live], strict=True)])
+        n, q, pw = sizes[live], pi[live], p[word]
+        begin = np.cumsum(n) - n
+        at = np.repeat(np.arange(len(live)), n)
+        # how fast the likelihood rises with each language's share
+        slope = np.add.reduceat(pw / ((pw * q[at]).sum(1, keepdims=True) + 1e-300), begin, axis=0) - n[:, None]
+        slope[q > 0] = -np.inf
+        new = np.argmax(slope, 1)
+        q = q * (1 - JOIN)
+        q[np.arange(len(live)), new] = JOIN
+        q, lik = em(pw, q, at, begin, n, ROUNDS)
+        lik = lik + np.add.reduceat(u.max(1)[word], begin)
+        better = (slope.max(1) > 0) & (lik - value[live] > penalty(n))
+        pi[live[better]], value[live[better]] = q[better], lik[better]
+        live = live[better]
+        live = live[rest[live] - value[live] > penalty(sizes[live])]
+    out[docs] = pi
     return out
 
 
+def penalty(words: np.ndarray) -> np.ndarray:
+    """What one more language in a document's set costs in log-likelihood."""
+    return 0.5 * np.log(words + 1.0) + 1
+
+
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
         lang, score = [UNKNOWN] * b.num_rows, np.zeros(b.num_rows)
