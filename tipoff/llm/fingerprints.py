@@ -6,13 +6,17 @@ of those hashes in hexadecimal, an empty subset giving '-'. Likeness of two fing
 among the subsets that either document has terms in; sparse subsets make it graded, dense ones make it strict.
 
 The lexicon is broadcast: a term must be in at least MIN_SHARE of the documents, so at most (mean distinct terms per
-document) / MIN_SHARE terms qualify however large the corpus is. Texts are shuffled once, by ranges of doc_id, which
-puts each document beside the next one; boundary documents are copied into the neighbouring range.
+document) / MIN_SHARE terms qualify however large the corpus is. Texts are shuffled once, by ranges of (doc_id, text hash)
+that hold about equally many rows whatever the ids look like; this puts each document beside the next one; boundary
+documents are copied into the neighbouring range. Cuts are quantiles of a bounded sample of keys. There are at most
+MAX_RANGES ranges; beyond that they grow, and as a range is sorted by Spark's external sort and then streamed, it need not
+fit in memory.
 
 Defined results: null texts are empty texts; a document without lexicon terms is fingerprinted by its whole text, so
 equal texts always have equal fingerprints; likeness of two equal fingerprints is 1; a table of one document has itself
-as the next one; documents without a doc_id come last in order; rows that share a doc_id are ordered by text hash, and
-repeated rows give repeated results; extra columns are ignored.
+as the next one; documents without a doc_id come last in order; any 64-bit ids do; rows that share a doc_id are ordered by
+text hash, and repeated rows give repeated results; texts of any length are taken whole; an empty table gives an empty
+result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,8 +30,8 @@ from tipoff.llm import _common
 MIN_SHARE, MAX_SHARE = 0.005, 0.25
 #: (d, subsets): a term belongs to a subset of density 1/d with that probability; for d = 1 an eighth is left out.
 SUBSETS = ((1, 2), (16, 6), (128, 20), (1024, 12))
-#: Documents in a range of ids, and the most ranges.
-RANGE_DOCS, MAX_RANGES = 2048, 65536
+#: Documents in a range of keys, the most ranges, and sampled keys for each range.
+RANGE_DOCS, MAX_RANGES, PER_CUT = 2048, 65536, 16
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 
@@ -50,22 +54,25 @@ def beside(docs: DataFrame) -> DataFrame:
     Columns: rng, nth (order in the range), copy (1: a neighbour's first document, here only to be next), doc_id, text,
     next_text. The rows of a range are in one partition, in order.
     """
-    ids = docs.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")).collect()[0]
-    lo, hi, n = ids.lo or 0, ids.hi or 0, ids.n
-    ranges = max(1, min(MAX_RANGES, n // RANGE_DOCS, hi - lo + 1))
-    width = (hi - lo) // ranges + 1
-    # range numbers ascend as ids descend; null ids come after all others
-    rng = F.coalesce(F.lit(ranges - 1) - F.floor((F.col("doc_id") - lo) / width), F.lit(ranges)).cast("int")
-    placed = docs.select(rng.alias("rng"), F.lit(0).alias("copy"), "doc_id", "text", F.xxhash64("text").alias("tie"))
-    heads = sorted((r.rng, r.doc_id) for r in placed.groupBy("rng").agg(F.max("doc_id").alias("doc_id")).collect())  # at most MAX_RANGES + 1
-    to = [(a, d, heads[i - 1][0]) for i, (a, d) in enumerate(heads)]
-    to = docs.sparkSession.createDataFrame(to, "at int, head long, dest int")
-    first = Window.partitionBy("dest").orderBy("tie")
-    copies = (
-        placed.join(F.broadcast(to), (F.col("rng") == F.col("at")) & F.col("doc_id").eqNullSafe(F.col("head")))
-        .withColumn("k", F.row_number().over(first)).filter("k = 1")
-        .select(F.col("dest").alias("rng"), F.lit(1).alias("copy"), "doc_id", "text", "tie")
-    )
+    n = docs.count()
+    ranges = max(1, min(MAX_RANGES, n // RANGE_DOCS))
+    # keys ascend as the order of documents descends: doc_id, then the complement of the text's hash
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    keyed = keyed.withColumn("key", F.struct("doc_id", F.bitwise_not("tie").alias("eit")))
+    cuts = _common.bounded(keyed.select("key.*"), ranges * PER_CUT, "doc_id", "eit")  # at most MAX_RANGES * PER_CUT keys
+    nth = F.row_number().over(Window.orderBy("doc_id", "eit"))
+    cuts = cuts.withColumn("nth", nth).filter(F.col("nth") % PER_CUT == 0).agg(F.sort_array(F.collect_list(F.struct("doc_id", "eit"))).alias("cuts"))
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(ranges.bit_length()))))
+    # binary search: how many cuts the key has reached
+    reached = F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= F.size("cuts")) & (F.try_element_at("cuts", at + step) <= F.col("key")), at + step).otherwise(at))
+    placed = keyed.join(F.broadcast(cuts), how="cross").select((F.lit(ranges) - reached).alias("rng"), F.lit(0).alias("copy"), "doc_id", "text", "tie", "key")
+    # each range's first document also stands at the end of the range before it; the first of all, at the end of the last
+    order = Window.orderBy("rng")
+    heads = placed.groupBy("rng").agg(F.max("key").alias("head"))  # at most MAX_RANGES + 1 rows
+    heads = heads.select(F.col("rng").alias("at"), "head", F.coalesce(F.lag("rng").over(order), F.max("rng").over(Window.orderBy(F.lit(0)))).alias("dest"))
+    copies = placed.join(F.broadcast(heads), (F.col("rng") == F.col("at")) & F.col("key").eqNullSafe(F.col("head")))
+    copies = copies.groupBy("dest", "doc_id", "tie").agg(F.first("text").alias("text")).select(F.col("dest").alias("rng"), F.lit(1).alias("copy"), "doc_id", "text", "tie")
+    placed = placed.drop("key")
     w = Window.partitionBy("rng").orderBy("copy", F.col("doc_id").desc_nulls_last(), "tie")
     return placed.unionByName(copies).select(
         "rng", F.row_number().over(w).alias("nth"), "copy", "doc_id", "text", F.lead("text").over(w).alias("next_text")
