@@ -6,7 +6,9 @@ through its source's pseudorandom permutation of block indices (a new permutatio
 slots join blocks by index. Only sizes and indices are shuffled, never texts.
 
 Defined results: a null or empty text has size 0 and is never taken; a null source is a source of its own, last in
-order; rows that share a doc_id are separate documents; an empty table gives an empty result; extra columns are ignored.
+order; rows that share a doc_id are separate documents; equal rows are one document of several rows and may be taken unequally;
+within a source, documents stand by stretch (a hash), doc_id (nulls first) and text hash; an empty table gives an empty
+result; extra columns are ignored. A text of any length is one document of as many blocks as its words fill.
 """
 
 from __future__ import annotations
@@ -15,15 +17,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tipoff.llm import _common
 from tipoff.llm._text import MASK, U64, mix
 
 WEIGHTS, MAX_REPEATS = (5.0, 2.0, 1.0), 3
-#: Words in a block, documents in one stretch of a source's order, output shards.
-BLOCK, STRETCH, SHARDS, SEED = 32, 4096, 64, 20
+#: Words in a block, documents in one stretch of the sources' order, stretches summed together, documents by size in a stretch of copies.
+BLOCK, STRETCH, COARSE, COPY_STRETCH, SEED = 32, 256, 16384, 4096, 20
+#: Slots of one output shard, and the fewest shards (for parallel work on small corpora).
+SHARD_SLOTS, MIN_SHARDS = 1 << 22, 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -88,14 +92,29 @@ def _slots(batches: Iterator[pd.DataFrame], seed: int, piece: int = 1 << 18) ->
                 yield pd.DataFrame({"src": s, "block": got, "times": times})
 
 
-def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_REPEATS, block: int = BLOCK, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """doc_id, size, source, source_size, target and taken (words of the document in the mix, repeats counted)."""
+def offsets(rows: DataFrame, by: str, value: str) -> DataFrame:
+    """by, stretch and base: the sum of value over the earlier stretches of each `by`, in two levels so that no task takes over COARSE of them."""
+    sums = rows.groupBy(by, "stretch").agg(F.sum(value).alias("s")).withColumn("coarse", F.floor(F.col("stretch") / COARSE))
+    low = sums.groupBy(by, "coarse").agg(F.sum("s").alias("s"))
+    before = lambda *keys: F.coalesce(F.sum("s").over(Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    low = low.select(by, "coarse", before(by, "coarse").alias("low"))
+    inside = sums.select(by, "coarse", "stretch", before(by, "coarse", "stretch").alias("inside"))
+    return inside.join(low, [by, "coarse"]).select(by, "stretch", (F.col("low") + F.col("inside")).alias("base"))
+
+
+def row_tie() -> Column:
+    """The hash that, with doc_id and source, tells rows of documents apart."""
+    return F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit("")))
+
+
+def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MAX_REPEATS, block: int = BLOCK, shards: int | None = None, seed: int = SEED) -> DataFrame:
+    """doc_id, size, source, source_size, target, taken (words of the document in the mix, repeats counted) and tie (hash of the row)."""
     spark = docs.sparkSession
     _common.ship(spark)
     scratch = _common.Scratch(spark)
     text = F.coalesce(F.col("text"), F.lit(""))
     sizes = _common.columns(docs, doc_id="long", source="string", text="string").select(
-        "doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.xxhash64("doc_id", text).alias("tie")
+        "doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), row_tie().alias("tie")
     )
     sizes = scratch.keep(sizes, "sizes")
     per = sizes.groupBy("source").agg(F.sum("size").alias("w")).collect()  # a row per source
@@ -104,6 +123,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
     blocks = [-(-r.w // block) for r in per]
     slots = [min(round(g / block), most * b) for g, b in zip(goal, blocks, strict=True)]
     slots = [max(n, 1) if b else 0 for n, b in zip(slots, blocks, strict=True)]
+    shards = shards or max(MIN_SHARDS, -(-sum(slots) // SHARD_SLOTS))
     counts = draw(slots, shards, seed) if per else np.zeros((shards, 0), np.int64)
     first = np.cumsum(counts, 0) - counts
     plan = [(s, int(first[t, s]), int(counts[t, s]), blocks[s]) for t in range(shards) for s in range(len(per)) if counts[t, s]]
@@ -114,12 +134,10 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
         .groupBy("src", "block").agg(F.sum("times").alias("times"))
     )
     # Each document's place in its source: stretches by a hash of the id, summed first, so no source is gathered in a task.
-    known = sizes.join(F.broadcast(sources), sizes["source"].eqNullSafe(sources["source"])).select("doc_id", "tie", "size", sizes["source"], "src", "source_size", "target")
+    known = sizes.join(sources, sizes["source"].eqNullSafe(sources["source"])).select("doc_id", "tie", "size", sizes["source"], "src", "source_size", "target")
     n_stretches = max(1, sizes.count() // STRETCH)
-    known = known.withColumn("stretch", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(n_stretches)).cast("int"))
-    starts = known.groupBy("src", "stretch").agg(F.sum("size").alias("s")).withColumn(
-        "base", F.sum("s").over(Window.partitionBy("src").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1))
-    ).select("src", "stretch", F.coalesce("base", F.lit(0)).alias("base"))
+    known = known.withColumn("stretch", F.pmod(F.xxhash64("doc_id", "tie"), F.lit(n_stretches)))
+    starts = offsets(known, "src", "size")
     place = Window.partitionBy("src", "stretch").orderBy("doc_id", "tie").rowsBetween(Window.unboundedPreceding, 0)
     placed = known.withColumn("to", F.sum("size").over(place)).withColumn("nth", F.count(F.lit(1)).over(place))
     placed = placed.join(starts, ["src", "stretch"]).withColumn("to", F.col("to") + F.col("base")).withColumn("from", F.col("to") - F.col("size"))
@@ -127,27 +145,29 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int
     here = F.least(F.col("to"), (F.col("block") + 1) * block) - F.greatest(F.col("from"), F.col("block") * block)
     return (
         pieces.join(taken_blocks.hint("merge"), ["src", "block"], "left")
-        .groupBy("src", "stretch", "nth", "doc_id", "size", "source", "source_size", "target")
+        .groupBy("src", "stretch", "nth", "doc_id", "tie", "size", "source", "source_size", "target")
         .agg(F.sum(F.coalesce(here * F.col("times"), F.lit(0))).cast("long").alias("taken"))
-        .select("doc_id", "size", "source", "source_size", "target", "taken")
+        .select("doc_id", "size", "source", "source_size", "target", "taken", "tie")
     )
 
 
 def copies(taken: DataFrame, n_docs: int, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size and copies: how many whole copies stand for the words that mix_sources took.
+    """The rows' key (doc_id, source, size, tie) and copies: how many whole copies stand for the words that mix_sources took.
 
-    copies is taken / size, rounded up or down by systematic draws along the sizes of a stretch: a document's copies are taken / size
-    on average, and a stretch's words differ from those taken by less than its largest document. Rows that share doc_id, source and
-    size share their taken words and count as one draw.
+    copies is taken / size, rounded up or down by systematic draws along a source's documents in order of size (by quarters of a power
+    of two): a document's copies are taken / size on average, and a source's words stay near those taken. Rows of one key share
+    their taken words and count as one draw.
     """
-    key = ["doc_id", "source", "size"]
+    key = [c for c in ("doc_id", "source", "size", "tie") if c in taken.columns]
     per = taken.filter("size > 0").groupBy(*key).agg(F.count(F.lit(1)).alias("rows"), (F.sum("taken") / F.sum("size")).alias("share"))
-    per = per.withColumn("stretch", F.pmod(F.xxhash64(*key), F.lit(max(1, n_docs // STRETCH))).cast("int"))
-    order = Window.partitionBy("source", "stretch").orderBy(F.col("rows") * F.col("size"), "doc_id", "size")
-    part = F.col("share") - F.floor("share")
-    before = F.coalesce(F.sum(part).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    start = F.pmod(F.xxhash64("source", "stretch", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    more = F.floor(F.sum(part).over(order.rowsBetween(Window.unboundedPreceding, 0)) + start) - F.floor(before + start)
+    n, one = max(1, n_docs // COPY_STRETCH), 1 << 30
+    weight = F.col("rows") * F.col("size")
+    per = per.withColumn("stretch", F.floor(F.log2(weight) * 4) * n + F.pmod(F.xxhash64(*key), F.lit(n))).withColumn("of", F.xxhash64("source"))
+    per = per.withColumn("part", F.floor((F.col("share") - F.floor("share")) * one))  # fixed point: sums don't depend on their order
+    order = Window.partitionBy("of", "stretch").orderBy(weight, *key).rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumn("to", F.sum("part").over(order)).join(offsets(per, "of", "part"), ["of", "stretch"])
+    start = F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(one)) + F.col("base")
+    more = F.floor((F.col("to") + start) / one) - F.floor((F.col("to") - F.col("part") + start) / one)
     return per.select(*key, (F.floor("share") + more).cast("int").alias("copies"))
 
 
