@@ -1,16 +1,21 @@
 """Approximate nearest neighbours by projections, a kd-tree and a chi-square stopping test.
 
-Vectors are extended by one coordinate so that the largest inner product is the smallest Euclidean distance, projected to
-DIMS Gaussian (2-stable) coordinates, and indexed by a kd-tree in each data block. A query takes projected neighbours in
-increasing order, a leaf at a time, verifies them on the original vectors, and stops when the chi-square test says that a
-nearer vector than its current k-th would by now have shown up with probability CONFIDENCE: for a true squared distance d2 the
-projected squared distance is d2 times a chi-square variable of DIMS degrees of freedom.
+Vectors are extended by one coordinate so that the largest inner product is the smallest Euclidean distance, and projected to
+DIMS Gaussian (2-stable) coordinates. One kd-tree indexes them all: its upper levels cut the projections into cells that are
+spread over the cluster (their cuts are medians of a bounded sample, every row is indexed), its lower levels are built inside
+a cell. A query takes projected neighbours in increasing order, a leaf at a time, verifies them on the original vectors, and
+stops when the chi-square test says that a nearer vector than its current k-th would by now have shown up with probability
+CONFIDENCE: for a true squared distance d2 the projected squared distance is d2 times a chi-square variable of DIMS degrees of
+freedom. So a query goes to the nearest cell first, then only to those cells whose box the test does not rule out at the k-th
+distance found so far; queries travel to cells, not vectors to queries.
 
-Every row is indexed. Query blocks meet data blocks, both of bounded size, so no task gathers more than one block of each.
+Bounded sample: the upper cuts are fitted on at most SAMPLE rows, chosen by a hash of vec_id. A cell of more than CELL rows (a
+vector that a third of all rows repeat) is dealt into parts by a hash, a cell that more than ASKS queries come to is copied
+for each further ASKS of them: no task gathers more than CELL vectors and ASKS queries.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part; with fewer than k candidates all are returned; ties go to the smaller vec_id; repeated vec_ids keep one vector (the
-first in order); extra columns are ignored.
+first in order); an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,14 +23,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tipoff.llm import _common
+from tipoff.llm import _common, _text
 
 DIMS, CONFIDENCE, LEAF, SEED = 8, 0.95, 64, 8
-DATA_BLOCK, QUERY_BLOCK, TOP, QUERY_STEP = 8192, 512, 20, 20
+CELL, ASKS, SAMPLE, TOP, QUERY_STEP = 8192, 4096, 1 << 17, 20, 20
+#: Nearest cells that a query has been to after each round, and queries searched together.
+ROUNDS, TOGETHER = (1, 9, 1 << 30), 256
+FOUND = "query_id long, vec_id long, score double"
 
 
 def chi_square_cdf(x: np.ndarray, dof: int) -> np.ndarray:
@@ -38,6 +46,62 @@ def chi_square_cdf(x: np.ndarray, dof: int) -> np.ndarray:
     return 1 - np.exp(-h) * total
 
 
+def matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+
+
+class Space:
+    """The projection, the kd-tree's upper cuts and the boxes of its cells."""
+
+    def __init__(self, dim: int, bound: float) -> None:
+        self.dim, self.bound = dim, bound
+        self.proj = np.random.default_rng(SEED).standard_normal((dim + 1, DIMS))
+        self.depth, self.axis, self.cut = 0, np.zeros(0, np.int64), np.zeros(0)
+        self.low = self.high = np.zeros((0, DIMS))
+        self.parts = np.zeros(0, np.int64)
+
+    def points(self, x: np.ndarray) -> np.ndarray:
+        """Projections of data, extended to the largest norm."""
+        return np.c_[x, np.sqrt(np.maximum(self.bound - (x * x).sum(1), 0))] @ self.proj
+
+    def queries(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Projections of queries at the largest norm (scaling a query keeps its ranking), and the scales."""
+        scale = np.sqrt(self.bound / (v * v).sum(1))
+        return (v * scale[:, None]) @ self.proj[: self.dim], scale
+
+    def fit(self, sample: np.ndarray, cells: int) -> None:
+        """Cuts at medians of the widest coordinate, level by level, to at least `cells` cells."""
+        self.depth = max(0, cells - 1).bit_length()
+        self.axis, self.cut = np.zeros((1 << self.depth) - 1, np.int64), np.full((1 << self.depth) - 1, np.inf)
+        node = np.zeros(len(sample), np.int64)
+        for level in range(self.depth):
+            for t in range((1 << level) - 1, (2 << level) - 1):
+                part = sample[node == t]
+                if len(part):
+                    self.axis[t] = np.argmax(np.ptp(part, axis=0))
+                    self.cut[t] = np.median(part[:, self.axis[t]])
+            node = self.below(node, sample)
+
+    def below(self, node: np.ndarray, x: np.ndarray) -> np.ndarray:
+        return 2 * node + 1 + (x[np.arange(len(x)), self.axis[node]] > self.cut[node])
+
+    def cell(self, x: np.ndarray) -> np.ndarray:
+        node = np.zeros(len(x), np.int64)
+        for _ in range(self.depth):
+            node = self.below(node, x)
+        return node - ((1 << self.depth) - 1)
+
+
+def box_distance(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Squared distance of each query to each box."""
+    d = np.zeros((len(q), len(low)))
+    for k in range(q.shape[1]):
+        x = q[:, k, None]
+        gap = np.maximum(low[:, k] - x, 0) + np.maximum(x - high[:, k], 0)
+        d += gap * gap
+    return d
+
+
 class KdTree:
     """Leaves of at most LEAF points with their bounding boxes, split at medians of the widest coordinate."""
 
@@ -57,11 +121,7 @@ class KdTree:
 
     def order(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each query, leaves by distance of their box, and those squared distances."""
-        d = np.zeros((len(q), len(self.leaves)))
-        for k in range(q.shape[1]):
-            x = q[:, k, None]
-            gap = np.maximum(self.low[:, k] - x, 0) + np.maximum(x - self.high[:, k], 0)
-            d += gap * gap
+        d = box_distance(q, self.low, self.high)
         o = np.argsort(d, axis=1, kind="stable")
         return o, np.take_along_axis(d, o, 1)
 
@@ -74,20 +134,23 @@ def usable(vecs: DataFrame) -> DataFrame:
     return v.groupBy("vec_id").agg(F.min("embedding").alias("v"))
 
 
-def _search(key: tuple, q: pd.DataFrame, d: pd.DataFrame, dim: int, bound: float, k: int) -> pd.DataFrame:
-    """The k best of one data block for each query of one query block."""
-    empty = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-    if not len(q) or not len(d):
-        return empty
-    d = d.sort_values("vec_id")
-    x, ids = np.stack(d.v.to_list()), d.vec_id.to_numpy(np.int64)
-    extra = np.sqrt(np.maximum(bound - (x * x).sum(1), 0))
-    proj = np.random.default_rng(SEED).standard_normal((dim + 1, DIMS))
-    tree = KdTree(np.c_[x, extra] @ proj)
-    qids, v = q.vec_id.to_numpy(np.int64), np.stack(q.v.to_list())
-    # scaling a query keeps its ranking; at the data's largest norm, distances and inner products agree best
-    scale = np.sqrt(bound / (v * v).sum(1))
-    order, far = tree.order((v * scale[:, None]) @ proj[:dim])
+def search(x: np.ndarray, ids: np.ndarray, v: np.ndarray, qids: np.ndarray, least: np.ndarray, space: Space, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Queries, data rows and scores: the k best of one cell part for each query, none below the k-th score that it has already (least).
+
+    ids ascend.
+    """
+    tree = KdTree(space.points(x))
+    out = []
+    for a in range(0, len(v), TOGETHER):
+        out.append(_some(tree, x, ids, v[a : a + TOGETHER], qids[a : a + TOGETHER], least[a : a + TOGETHER], space, k))
+        out[-1] = (out[-1][0] + a, *out[-1][1:])
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
+
+
+def _some(tree: KdTree, x: np.ndarray, ids: np.ndarray, v: np.ndarray, qids: np.ndarray, least: np.ndarray, space: Space, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    # at the data's largest norm, distances and inner products agree best
+    at, scale = space.queries(v)
+    order, far = tree.order(at)
     best_s, best_at = np.full((len(v), k), -np.inf), np.full((len(v), k), -1)
     live, at, step = np.arange(len(v)), 0, 4
     while len(live) and at < order.shape[1]:
@@ -104,7 +167,7 @@ def _search(key: tuple, q: pd.DataFrame, d: pd.DataFrame, dim: int, bound: float
         s[(rows >= 0) & (ids[rows] == qids[live][:, None])] = -np.inf
         top = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(live), -np.inf)
         # near-ties are settled on inner products that are summed alike, then by id
-        who, col = np.nonzero((s >= top[:, None] - 1e-9) & (s > -np.inf))
+        who, col = np.nonzero((s >= np.maximum(top, least[live])[:, None] - 1e-9) & (s > -np.inf))
         cand = rows[who, col]
         exact = (x[cand] * v[live[who]]).sum(1)
         o = np.lexsort((ids[cand], -exact, who))
@@ -113,16 +176,76 @@ def _search(key: tuple, q: pd.DataFrame, d: pd.DataFrame, dim: int, bound: float
         o = rank < k
         best_s[live], best_at[live] = -np.inf, -1
         best_s[live[who[o]], rank[o]], best_at[live[who[o]], rank[o]] = exact[o], cand[o]
-        at, step = at + step, step * 2
+        at, step = at + step, min(step * 2, 32)
         if at < order.shape[1]:
-            kth = np.maximum(2 * bound - 2 * scale[live] * best_s[live, k - 1], 1e-12)
+            kth = np.maximum(2 * space.bound - 2 * scale[live] * np.maximum(best_s[live, k - 1], least[live]), 1e-12)
             live = live[~(chi_square_cdf(far[live, at] / kth, DIMS) >= CONFIDENCE)]
     who, rank = np.nonzero(best_at >= 0)
-    return pd.DataFrame({"query_id": qids[who], "vec_id": ids[best_at[who, rank]], "score": best_s[who, rank]})
+    return who, best_at[who, rank], best_s[who, rank]
+
+
+def _meet(key: tuple, q: pa.Table, d: pa.Table, space: Space, k: int) -> pa.Table:
+    if not q.num_rows or not d.num_rows:
+        who = row = np.zeros(0, np.int64)
+        ids, qids, score = who, who, np.zeros(0)
+    else:
+        q, d = q.combine_chunks(), d.combine_chunks()
+        ids, qids = d.column("vec_id").to_numpy(), q.column("vec_id").to_numpy()
+        o = np.argsort(ids, kind="stable")
+        x, v = (matrix(t.column("v").chunk(0), space.dim) for t in (d, q))
+        ids, x = ids[o], x[o]
+        who, row, score = search(x, ids, v, qids, q.column("least").to_numpy(), space, k)
+    return pa.table({"query_id": pa.array(qids[who], pa.int64()), "vec_id": pa.array(ids[row], pa.int64()), "score": pa.array(score, pa.float64())})
+
+
+def _points(batches: Iterator[pa.RecordBatch], space: Space) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        p = space.points(matrix(b.column("v"), space.dim))
+        yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(list(p), pa.list_(pa.float64()))], names=["vec_id", "p"])
+
+
+def _boxes(batches: Iterator[pa.RecordBatch], space: Space) -> Iterator[pa.RecordBatch]:
+    """Rows, lowest and highest coordinates of each cell in a batch."""
+    for b in batches:
+        p = space.points(matrix(b.column("v"), space.dim))
+        c = space.cell(p)
+        cells, n = np.unique(c, return_counts=True)
+        low, high = (np.array([f(p[c == x], axis=0) for x in cells]).reshape(-1, DIMS) for f in (np.min, np.max))
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n), *(pa.array(z[:, i]) for z in (low, high) for i in range(DIMS))], names=["cell", "n", *(f"{z}{i}" for z in "lh" for i in range(DIMS))])
 
 
-def nearest(vecs: DataFrame, queries: DataFrame, k: int = TOP, data_block: int = DATA_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score: the k vectors of largest inner product found for each query."""
+def _place(batches: Iterator[pa.RecordBatch], space: Space, copies: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The vectors by cell, part and the block of queries that they meet; cells that no query comes to are left out."""
+    for b in batches:
+        ids = b.column("vec_id").to_numpy()
+        c = space.cell(space.points(matrix(b.column("v"), space.dim)))
+        n = copies[c]
+        row = np.repeat(np.arange(len(c)), n)
+        block = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        part = _text.mix(ids.view(np.uint64)) % space.parts[c].astype(np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(c[row]), pa.array(part[row].astype(np.int64)), pa.array(block), b.column("vec_id").take(pa.array(row)), b.column("v").take(pa.array(row))], names=["cell", "part", "block", "vec_id", "v"])
+
+
+def _route(batches: Iterator[pa.RecordBatch], space: Space, first: int, last: int) -> Iterator[pa.RecordBatch]:
+    """The cells that each query still has to go to among its first to last - 1 nearest: those that the chi-square test leaves open."""
+    for b in batches:
+        for a in range(0, b.num_rows, TOGETHER):
+            some = b.slice(a, TOGETHER)
+            p, scale = space.queries(matrix(some.column("v"), space.dim))
+            least = some.column("least").to_numpy(zero_copy_only=False)
+            d = box_distance(p, space.low, space.high)
+            o = np.argsort(d, axis=1, kind="stable")[:, first:last]
+            kth = np.maximum(2 * space.bound - 2 * scale * least, 1e-12)
+            row, col = np.nonzero(chi_square_cdf(np.take_along_axis(d, o, 1) / kth[:, None], DIMS) < CONFIDENCE)
+            yield pa.RecordBatch.from_arrays([some.column(c).take(pa.array(row)) for c in ("vec_id", "v", "least")] + [pa.array(o[row, col])], names=["vec_id", "v", "least", "cell"])
+
+
+def nearest(vecs: DataFrame, queries: DataFrame, k: int = TOP, data_block: int = CELL, query_block: int = ASKS) -> DataFrame:
+    """query_id, rank, vec_id, score: the k vectors of largest inner product found for each query.
+
+    No task gathers more than data_block vectors, nor (on average over hash blocks) more than query_block queries.
+    """
+    cell = data_block
     spark = vecs.sparkSession
     _common.ship(spark)
     scratch = _common.Scratch(spark)
@@ -131,19 +254,49 @@ def nearest(vecs: DataFrame, queries: DataFrame, k: int = TOP, data_block: int =
     if not dims:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     dim = dims[0].dim
-    v, q = v.filter(F.size("v") == dim), q.filter(F.size("v") == dim)
+    v, q = v.filter(F.size("v") == dim), scratch.keep(q.filter(F.size("v") == dim), "queries")
     n, bound = v.agg(F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).collect()[0]
-    blocks, q_blocks = max(1, -(-n // data_block)), max(1, -(-q.count() // query_block))
-    of = lambda b: F.pmod(F.xxhash64("vec_id"), F.lit(b)).cast("int")
-    sides = [
-        q.select("vec_id", "v", of(q_blocks).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("db")),
-        v.select("vec_id", "v", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"), of(blocks).alias("db")),
-    ]
-    found = sides[0].groupBy("qb", "db").cogroup(sides[1].groupBy("qb", "db")).applyInPandas(
-        lambda key, a, b: _search(key, a, b, dim, float(bound), k), "query_id long, vec_id long, score double"
-    )
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    space = Space(dim, float(bound))
+    if n > cell:
+        sample = _common.bounded(v.mapInArrow(lambda it: _points(it, space), "vec_id long, p array<double>"), SAMPLE, "vec_id").toPandas()
+        space.fit(np.stack(sample.p.to_list()), min(-(-n // cell), SAMPLE // 16))
+    sides = [f"{z}{i}" for z in "lh" for i in range(DIMS)]
+    boxes = v.mapInArrow(lambda it: _boxes(it, space), "cell long, n long, " + ", ".join(f"{c} double" for c in sides))
+    boxes = boxes.groupBy("cell").agg(F.sum("n").alias("n"), *((F.min if c[0] == "l" else F.max)(c).alias(c) for c in sides)).toPandas()  # at most SAMPLE / 16 rows, or n / cell
+    space.low, space.high = np.full((1 << space.depth, DIMS), np.inf), np.full((1 << space.depth, DIMS), -np.inf)
+    space.parts = np.ones(1 << space.depth, np.int64)
+    at = boxes.cell.to_numpy(np.int64)
+    space.low[at], space.high[at] = boxes[sides[:DIMS]].to_numpy(float), boxes[sides[DIMS:]].to_numpy(float)
+    space.parts[at] = -(-boxes.n.to_numpy(np.int64) // cell)
+    found, first = None, 0
+    of_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    for last in ROUNDS:
+        if first >= 1 << space.depth:
+            break
+        have = q.withColumn("least", F.lit(float("-inf")))
+        if found is not None:
+            kth = found.withColumn("rank", F.row_number().over(of_query)).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("least"))
+            have = q.join(kth, "vec_id", "left").select("vec_id", "v", F.coalesce("least", F.lit(float("-inf"))).alias("least"))
+        asks = scratch.keep(have.mapInArrow(lambda it, a=first, b=last: _route(it, space, a, b), "vec_id long, v array<double>, least double, cell long"), "asks")
+        first = last
+        copies = np.zeros(1 << space.depth, np.int64)
+        for r in asks.groupBy("cell").count().collect():  # a row for each cell
+            copies[r.cell] = -(-r["count"] // query_block)
+        if not copies.any():
+            break
+        parts, blocks = (spark.createDataFrame([(i, int(x)) for i, x in enumerate(z)], f"cell long, {name} long") for name, z in (("parts", space.parts), ("blocks", copies)))
+        left = asks.join(F.broadcast(parts), "cell").join(F.broadcast(blocks), "cell")  # a row for each cell
+        left = left.select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("vec_id"), "blocks").alias("block"), "vec_id", "v", "least")
+        right = v.mapInArrow(lambda it, c=copies: _place(it, space, c), "cell long, part long, block long, vec_id long, v array<double>")
+        key = ["cell", "part", "block"]
+        got = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(lambda x, a, b: _meet(x, a, b, space, k), FOUND)
+        got = scratch.keep(got, "found")
+        # the k best so far go on
+        found = (got if found is None else found.unionByName(got)).withColumn("rank", F.row_number().over(of_query)).filter(F.col("rank") <= k).drop("rank")
+        scratch.drop(asks)
+    if found is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return found.withColumn("rank", F.row_number().over(of_query)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
