@@ -9,32 +9,41 @@ from tipoff.llm import _common, mixing, ngram_join, pieces, secrets, toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go; labels train it on this stage's documents."""
+    """Documents that the toxicity model rejects go; labels train it on this stage's documents.
+
+    Null and empty texts are scored as having no evidence; rows that share a doc_id are judged each; an empty table stays empty.
+    """
     return toxicity.drop_toxic(docs, _common.table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of documents linked by five-word shingles stays."""
+    """The smallest doc_id of each group of documents linked by five-word shingles stays, once.
+
+    Documents without words are linked with nothing and stay; rows without doc_id stay; an empty table stays empty.
+    """
     return ngram_join.one_of_each(docs)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets give way to their kind in brackets; n_chars follows the text."""
+    """Secrets give way to their kind in brackets; n_chars follows the text. All rows stay; null texts stay null."""
     return secrets.redact_secrets(docs).withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: words taken over its size, its fraction one more copy or none (see mixing.copies)."""
+    """Each document as often as the mix takes it: words taken over its size, its fraction one more copy or none (see mixing.copies).
+
+    Rows meet their copies by a hash of doc_id and text, so a row is repeated for its own words only and rows without doc_id don't meet
+    in one task; rows without words go; equal rows are repeated alike.
+    """
     times = mixing.copies(mixing.mix_sources(docs), docs.count()).filter("copies > 0")
-    times = times.select(*(F.col(k).alias(f"_{k}") for k in times.columns))
-    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)).cast("long")
-    same = docs["doc_id"].eqNullSafe(times["_doc_id"]) & docs["source"].eqNullSafe(times["_source"]) & (size == times["_size"])
+    times = times.select(*(F.col(k).alias(f"_mixed_{k}") for k in times.columns))
+    same = (mixing.row_tie() == times["_mixed_tie"]) & docs["doc_id"].eqNullSafe(times["_mixed_doc_id"]) & docs["source"].eqNullSafe(times["_mixed_source"])
     kept = docs.join(times.hint("merge"), same)
-    return kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    return kept.withColumn("_mixed_copy", F.explode(F.sequence(F.lit(1), F.col("_mixed_copies")))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their sampled pieces."""
+    """The documents with their sampled pieces; null and empty texts have none, repeated rows get one segmentation."""
     return pieces.encode(docs)
 
 
