@@ -142,8 +142,8 @@ class Model:
             return 0.0
         floor = math.log(self.k * max(tokens, 1))
         x = sorted((self.lam * s - floor for _, _, s in segments), reverse=True)
-        p = -math.expm1(-math.exp(-x[0])) if x[0] < 30 else math.exp(-x[0])
-        most, t = -math.log(p) if p < 1 else 0.0, x[0]
+        p = -math.expm1(-math.exp(-x[0])) if x[0] < 30 else None  # beyond, -ln P is x
+        most, t = x[0] if p is None else -math.log(p) if p < 1 else 0.0, x[0]
         for r, v in enumerate(x[1:], 2):
             if v <= 0:
                 break
