@@ -325,6 +325,62 @@ def test_secret_runs_do_not_hide_across_texts(spark):
     assert {r.doc_id: list(r.kinds) for r in secrets.find_secrets(df).collect()} == {1: ["hex"], 2: ["hex"], 3: [], 4: []}
 
 
+def der(tag, *parts):
+    body = b"".join(parts)
+    n = len(body)
+    return bytes([tag]) + (bytes([n]) if n < 128 else bytes([0x82]) + n.to_bytes(2, "big")) + body
+
+
+INT = der(2, b"\x11" * 40)
+PKCS1 = der(0x30, der(2, b"\0"), *[INT] * 8)
+RSA = der(0x30, der(2, b"\0"), der(0x30, der(6, bytes.fromhex("2a864886f70d010101")), der(5)), der(4, PKCS1))
+SEC1 = der(0x30, der(2, b"\1"), der(4, bytes(range(32))))
+SSH = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) + b"\0\0\0\1" + bytes(40)
+LOCKED = der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")), der(0x30)), der(4, bytes(48)))
+code = lambda b: base64.b64encode(b).decode()
+block = lambda label, body: f"-----BEGIN {label}-----\n{body}\n-----END {label}-----"
+ADDED_CASES = [  # text, kinds and the text of each added span
+    (f"see {block('RSA PRIVATE KEY', code(PKCS1))}.", [("pem", block("RSA PRIVATE KEY", code(PKCS1)))]),
+    (block("PRIVATE KEY", "\n".join(code(RSA)[k : k + 64] for k in range(0, len(code(RSA)), 64))), ["pem"]),
+    (block("OPENSSH PRIVATE KEY", code(SSH)), ["pem"]),
+    (block("ENCRYPTED PRIVATE KEY", code(LOCKED)), ["pem"]),
+    (block("RSA PRIVATE KEY", "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n" + code(bytes(64))), ["pem"]),
+    ("-----BEGIN PRIVATE KEY-----see docs-----END PRIVATE KEY-----", []),
+    (block("PRIVATE KEY", code(b"no key in here, only text")), []),
+    (block("PRIVATE KEY", code(RSA[:-3])), []),
+    ("-----BEGIN PRIVATE KEY-----\n" + block("EC PRIVATE KEY", code(SEC1)), [("pem", block("EC PRIVATE KEY", code(SEC1)))]),
+    (f"raw {code(RSA)}", [("der", code(RSA))]),
+    (f"raw {code(SEC1)} and {code(SSH)}", [("der", code(SEC1)), ("ssh", code(SSH))]),
+    (f"broken {code(der(0x30, der(2, bytes(1)), der(0x30, der(6, bytes.fromhex('2a864886f70d010101'))), der(4, PKCS1[:-1])))}", []),
+    (f"HEX {SEC1.hex().upper()}", [("der", SEC1.hex().upper())]),
+    (f"HEX {SSH.hex().upper()}", [("ssh", SSH.hex().upper())]),
+    (f"a.{JWT}", [("jwt", JWT)]),
+    (f"x{JWT} {JWT}", [("jwt", JWT), ("jwt", JWT)]),
+    (".".join(JWT.split(".")[:2]) + ".", [("jwt", ".".join(JWT.split(".")[:2]) + ".")]),
+    (".".join(JWT.split(".")[:2]), []),
+    ("eyJub3QiOiJhIGhlYWRlciJ9.e30.sig", []),
+    (code(code(b"secret=hunter2hunter2").encode()), ["encoded"]),
+]
+
+
+@pytest.mark.parametrize("k", range(len(ADDED_CASES)))
+def test_added_spans(k):
+    text, want = ADDED_CASES[k]
+    got = [(kind, text[a:b]) for a, b, kind in secrets.find(text) if kind not in secrets.BASE]
+    assert [x[0] for x in got] == [w if isinstance(w, str) else w[0] for w in want]
+    assert all(isinstance(w, str) or g == w for g, w in zip(got, want))
+
+
+@pytest.mark.parametrize("unit", ["eyJ", "eyJ.", "eyJhbGciOiJub25lIn0.", "-----BEGIN PRIVATE KEY-----\n", "-----BEGIN PRIVATE KEY-----\n-----END ", "AKIA", "password ", "deadbeefdeadbeefdeadbeefdeadbeef ", "a: b\n", f"{HIDDEN} ", "-----END PRIVATE KEY-----"])
+def test_hostile_texts_take_linear_time(unit):
+    import time
+
+    text = unit * (1_000_000 // len(unit))
+    began = time.perf_counter()
+    secrets.find(text)
+    assert time.perf_counter() - began < 10
+
+
 # --- pipeline
 
 

@@ -1,11 +1,13 @@
 """Secret scans with structural confirmation.
 
 Patterns give candidates; base64 and hex candidates are decoded and reported only when what they hold parses: key
-encodings (DER with consistent nested lengths, OpenSSH key blobs), signed-token headers, or text that itself holds an
-assigned secret or access key.
+encodings (DER with consistent nested lengths, OpenSSH key blobs), key blocks whose body decodes to such an encoding,
+signed-token headers, or text that itself holds an assigned secret or access key. Candidates are delimited first and then
+parsed once each, so the time is linear in the text, whatever it holds.
 
 Defined results: null and empty texts have no spans; repeated rows give repeated results; extra columns are ignored.
-Offsets are code points, end exclusive. Whole texts are scanned; a text without any trigger byte sequence is passed
+Offsets are code points, end exclusive; spans of one start are listed by kind, then end. Whole texts of any length are
+scanned; a text without any trigger byte sequence is passed
 over by vectorised search, which can't miss a match because each pattern contains a trigger.
 """
 
@@ -13,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -35,32 +38,36 @@ MIN_VALUE, MIN_ACCESS, MIN_HEX, MIN_CODE = 6, 20, 24, 24
 #: What the method adds, in the order in which ties at one start are listed after the base kinds.
 ADDED = ("pem", "jwt", "der", "ssh", "encoded")
 KINDS = BASE + ADDED
-PEM = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----(?:[A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
-JWT = re.compile(r"(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+#: The marks of a key block, lines before its body, and runs that can be parts of a signed token.
+MARK = re.compile(r"-----(BEGIN|END) ([A-Z ]{0,40}PRIVATE KEY)-----")
+HEADER = re.compile(r"\s*([A-Za-z0-9-]+:[^\n]*)\n")
+DOTTED = re.compile(r"[A-Za-z0-9_.-]+")
+#: Object identifiers of RSA and elliptic-curve keys, whose octet string holds one more sequence.
+NESTED_OIDS = (bytes.fromhex("2a864886f70d010101"), bytes.fromhex("2a8648ce3d0201"))
 CODE = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_CODE)
-HEX_CODE = re.compile(r"(?:[0-9a-f]{2}){%d,}|(?:[0-9A-F]{2}){%d,}" % (MIN_CODE // 2, MIN_CODE // 2))
+HEX_CODE = re.compile(r"(?:[0-9A-Fa-f]{2}){%d,}" % (MIN_CODE // 2))
 WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
 SPANS = "doc_id long, kinds array<string>, starts array<int>, ends array<int>"
 
 
-def tlv(data: bytes, at: int) -> tuple[int, int, int] | None:
-    """Tag, start and end of the value at an offset, if its length fits in the data."""
-    if at + 2 > len(data):
+def tlv(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
+    """Tag, start and end of the value at an offset, if its length fits before end."""
+    if at + 2 > end:
         return None
     tag, n, at = data[at], data[at + 1], at + 2
     if n & 0x80:
         k = n & 0x7F
-        if not 1 <= k <= 4 or at + k > len(data):
+        if not 1 <= k <= 4 or at + k > end:
             return None
         n, at = int.from_bytes(data[at : at + k], "big"), at + k
-    return (tag, at, at + n) if at + n <= len(data) else None
+    return (tag, at, at + n) if at + n <= end else None
 
 
 def children(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] | None:
     out = []
     while start < end:
-        x = tlv(data[:end], start)
+        x = tlv(data, start, end)
         if x is None:
             return None
         out.append(x)
@@ -68,21 +75,83 @@ def children(data: bytes, start: int, end: int) -> list[tuple[int, int, int]] |
     return out
 
 
-def is_der_key(data: bytes) -> bool:
-    """A private key: one sequence that fills the data, whose nested lengths agree, shaped as PKCS#1, PKCS#8 or SEC1."""
-    top = tlv(data, 0)
+def is_der_key(data: bytes, encrypted: bool = False) -> bool:
+    """A private key: one sequence that fills the data, whose nested lengths agree, shaped as PKCS#1, PKCS#8 or SEC1.
+
+    The octet string of a PKCS#8 key of RSA or an elliptic curve must hold a PKCS#1 or SEC1 key. encrypted: PKCS#8's encrypted form.
+    """
+    top = tlv(data, 0, len(data))
     if top is None or top[0] != 0x30 or len(data) - top[2] > 2:
         return False
     inner = children(data, top[1], top[2])
-    if not inner or inner[0][0] != 0x02:
+    if not inner:
         return False
     tags = [x[0] for x in inner]
+    if encrypted:
+        oid = children(data, *inner[0][1:]) if tags == [0x30, 0x04] else None
+        return bool(oid) and oid[0][0] == 0x06
+    if tags[0] != 0x02:
+        return False
     if tags[:3] == [0x02, 0x30, 0x04]:
         oid = children(data, inner[1][1], inner[1][2])
-        return bool(oid) and oid[0][0] == 0x06
+        if not oid or oid[0][0] != 0x06:
+            return False
+        return data[oid[0][1] : oid[0][2]] not in NESTED_OIDS or is_plain_key(data, *inner[2][1:])
+    return is_plain_key(data, 0, top[2])
+
+
+def is_plain_key(data: bytes, start: int, end: int) -> bool:
+    """A PKCS#1 key (nine integers, at least six) or a SEC1 key (version 1, octet string) that fills the stretch."""
+    top = tlv(data, start, end)
+    inner = children(data, top[1], top[2]) if top and top[0] == 0x30 and top[2] == end else None
+    if not inner or inner[0][0] != 0x02:
+        return False
+    tags = [x[0] for x in inner]
     return len(tags) >= 6 and all(t == 0x02 for t in tags[:6]) or tags[:2] == [0x02, 0x04] and inner[1][2] - inner[1][1] >= 16
 
 
+def key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of key blocks: an END mark with the nearest BEGIN mark before it, of one label, whose body decodes and parses."""
+    opened = None
+    for m in MARK.finditer(text):
+        if m[1] == "BEGIN":
+            opened = m
+            continue
+        if opened and opened[2] == m[2] and is_key_body(text[opened.end() : m.start()], m[2]):
+            yield opened.start(), m.end()
+        opened = None
+
+
+def is_key_body(body: str, label: str) -> bool:
+    headers, at = [], 0
+    while h := HEADER.match(body, at):
+        headers.append(h[1])
+        at = h.end()
+    data = decode64("".join(body[at:].split()))
+    if not data:
+        return False
+    if any("ENCRYPTED" in h for h in headers):  # the older form: the ciphertext has no structure of its own
+        return any(h.startswith("DEK-Info:") for h in headers) and len(data) % 8 == 0
+    return is_ssh_key(data) or is_der_key(data, label.startswith("ENCRYPTED"))
+
+
+def signed_tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of three parts joined by dots, the first from its first eyJ on, when that parses as a header; the last may be empty."""
+    for m in DOTTED.finditer(text):
+        if "eyJ" not in m[0]:
+            continue
+        parts, at, k = m[0].split("."), [m.start()], 0
+        for p in parts:
+            at.append(at[-1] + len(p) + 1)
+        while k + 2 < len(parts):
+            e = parts[k].find("eyJ")
+            if e >= 0 and parts[k + 1] and is_jwt_header(parts[k][e:]):
+                yield at[k] + e, at[k + 3] - 1
+                k += 3
+            else:
+                k += 1
+
+
 def is_ssh_key(data: bytes) -> bool:
     """An OpenSSH private key blob: magic, then length-prefixed cipher and kdf names inside the data."""
     magic = b"openssh-key-v1\0"
@@ -128,7 +197,7 @@ def confirmed(data: bytes, depth: int = 2) -> str | None:
         return None
     if not text.isprintable() and not all(c.isprintable() or c in "\t\r\n" for c in text):
         return None
-    if any(len(m[2]) >= MIN_VALUE for m in ASSIGN.finditer(text)) or any(len(m[0]) >= MIN_ACCESS for m in ACCESS.finditer(text)) or PEM.search(text):
+    if any(len(m[2]) >= MIN_VALUE for m in ASSIGN.finditer(text)) or any(len(m[0]) >= MIN_ACCESS for m in ACCESS.finditer(text)) or any(True for _ in key_blocks(text)):
         return "encoded"
     if depth > 1:
         for m in CODE.finditer(text):
@@ -144,15 +213,17 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def added_spans(text: str) -> list[tuple[int, int, str]]:
-    out = [(m.start(), m.end(), "pem") for m in PEM.finditer(text)]
-    out += [(m.start(), m.end(), "jwt") for m in JWT.finditer(text) if is_jwt_header(m[1])]
-    seen = list(out)
+    out = [(a, b, "pem") for a, b in key_blocks(text)] + [(a, b, "jwt") for a, b in signed_tokens(text)]
     for m in HEX_CODE.finditer(text):
         if kind := confirmed(bytes.fromhex(m[0])):
             out.append((m.start(), m.end(), kind))
-            seen.append(out[-1])
+    start, reach = [], []  # starts of the spans so far, and the furthest end up to each
+    for a, b, _ in sorted(out):
+        start.append(a)
+        reach.append(max(b, reach[-1] if reach else 0))
     for m in CODE.finditer(text):
-        if not any(a <= m.start() < b for a, b, _ in seen) and (kind := confirmed(decode64(m[0]))):
+        k = bisect.bisect_right(start, m.start()) - 1
+        if (k < 0 or reach[k] <= m.start()) and (kind := confirmed(decode64(m[0]))):
             out.append((m.start(), m.end(), kind))
     return out
 
