@@ -2,16 +2,16 @@
 
 Documents come in batches of ascending doc_id. A batch's window hashes are sorted into runs and merge-joined, bucket by
 bucket, with the index: sorted immutable runs of the windows of earlier batches. Windows found there, or in a smaller
-doc_id of the batch, are repeated. The batch then becomes a run of the index; when there are FAN_OUT runs they are
-compacted into one.
+doc_id of the batch, are repeated. The windows that are new become a run of the index; FAN_OUT runs of one tier are compacted
+into one of the next tier, so that an entry is rewritten a logarithmic number of times.
 
 Verification: each match contributes the difference of a second, independent 64-bit digest of the two windows' words (for
 matches inside a chunk the digests are compared at once). The differences of all matches must sum to zero; if not, some hashes
 collided and the job is repeated with other hash functions.
 
 Defined results: null and empty texts have no words; a document without doc_id takes no part and keeps its words; rows that
-share a doc_id don't repeat each other; texts shorter than a window lose nothing; an empty table gives an empty result;
-extra columns are ignored.
+share a doc_id don't repeat each other; any 64-bit ids do; texts shorter than a window lose nothing, texts of any length are
+read whole; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ from tipoff.llm import _common, _text, runs
 from tipoff.llm._text import MASK, U64
 
 WINDOW, FAN_OUT = 13, 4
-#: Share of the ids in each batch of the query: a history, and the documents that arrive after it.
-BATCHES = (0.25, 0.75)
+#: Share of the documents, by ascending doc_id, in each batch of the query: a history in four batches, and those that arrive after it.
+BATCHES = (0.125, 0.125, 0.125, 0.125, 0.5)
 MULT, CHECK_MULT, BASE = 0x9FB21C651E98DF25, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 
 
@@ -114,28 +114,27 @@ def _merge(key: tuple, index: pd.DataFrame, new: pd.DataFrame, groups: int, keep
     Out, packed by group of documents: kind 0: documents, hashes, weights: 1 for a repeated window, -k for one that k others
     repeat; kind 1: documents, first words, ends of spans settled in chunks; kind 2: the bucket's new run (hashes, documents).
     """
-    old_h, old_d = (np.concatenate(x) for x in zip(*[(runs.unpack_sorted(a), runs.unpack(b, np.int64)) for a, b in zip(index.x, index.y, strict=True)], strict=True)) if len(index) else (np.zeros(0, U64), np.zeros(0, np.int64))
     part, local = new[new.kind == 0], new[new.kind == 1]
-    h, d = np.zeros(0, U64), np.zeros(0, np.int64)
+    out = []
     if len(part):
         h, d, _ = (np.concatenate(x) for x in zip(*[runs.entries(*x) for x in zip(part.docs, part.hashes, part.who, strict=True)], strict=True))
-    all_h, all_d = np.r_[old_h, h], np.r_[old_d, d]
-    o = np.lexsort((all_d, all_h))
-    all_h, all_d, fresh = all_h[o], all_d[o], o >= len(old_h)
-    out = []
-    if len(all_h):
-        first = np.flatnonzero(np.r_[True, all_h[1:] != all_h[:-1]])
-        size = np.diff(np.r_[first, len(all_h)])
-        source = np.repeat(all_d[first], size)
-        hit = fresh & (all_d > source)
+        o = np.lexsort((d, h))
+        h, d = h[o], d[o]
+        first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+        one, source, fresh = h[first], d[first].copy(), np.ones(len(first), bool)
+        for x, y in zip(index.x, index.y, strict=True):  # a run after the other, both sides sorted
+            old_h, old_d = runs.unpack_sorted(x), runs.unpack(y, np.int64)
+            at = np.minimum(np.searchsorted(old_h, one), len(old_h) - 1)
+            same = np.flatnonzero(old_h[at] == one)
+            source[same] = np.minimum(source[same], old_d[at[same]])
+            fresh[same] = False
+        hit = d > np.repeat(source, np.diff(np.r_[first, len(h)]))
         k = np.add.reduceat(hit.astype(np.int64), first)
-        used = first[k > 0]
-        if len(used):
-            out += _by_group(0, groups, np.r_[all_d[hit], all_d[used]], np.r_[all_h[hit], all_h[used]], np.r_[np.ones(int(hit.sum()), np.int32), -k[k > 0].astype(np.int32)])
-        if keep_run:
-            mine = first[fresh[first]]
-            if len(mine):
-                out.append((key[0], 2, -1, b"", runs.pack_sorted(all_h[mine]), runs.pack(all_d[mine])))
+        used = k > 0
+        if used.any():
+            out += _by_group(0, groups, np.r_[d[hit], source[used]], np.r_[h[hit], one[used]], np.r_[np.ones(int(hit.sum()), np.int32), -k[used].astype(np.int32)])
+        if keep_run and fresh.any():
+            out.append((key[0], 2, -1, b"", runs.pack_sorted(one[fresh]), runs.pack(d[first][fresh])))
     if len(local):
         out += _by_group(1, groups, *(np.concatenate([runs.unpack(v, t) for v in local[c]]) for c, t in (("docs", np.int64), ("hashes", np.int32), ("who", np.int32))))
     return pd.DataFrame(out, columns=["bucket", "kind", "g", "docs", "x", "y"])
@@ -160,29 +159,37 @@ class FingerprintIndex:
     def __init__(self, spark: SparkSession, buckets: int, seed: int = 0, scratch: _common.Scratch | None = None) -> None:
         self.spark, self.buckets, self.groups, self.seed = spark, buckets, runs.groups_of(buckets), seed
         self.scratch = scratch or _common.Scratch(spark)
-        self.runs: list[DataFrame] = []
+        self.runs: list[tuple[int, DataFrame]] = []  # with their tiers
+        self.compactions = 0
 
     def add(self, docs: DataFrame, keep_run: bool = True) -> DataFrame:
         """Matches of a batch (see _merge); with keep_run, the batch joins the index."""
         buckets, groups, seed = self.buckets, self.groups, self.seed
         new = docs.filter("doc_id is not null").mapInArrow(lambda it: _map(it, buckets, seed), runs.PIECE)
         index = self.spark.createDataFrame([], RUN)
-        for r in self.runs:
+        for _, r in self.runs:
             index = index.unionByName(r)
         got = index.groupBy("bucket").cogroup(new.groupBy("bucket")).applyInPandas(lambda k, a, b: _merge(k, a, b, groups, keep_run), FOUND)
         got = self.scratch.keep(got, "matches")
         self.scratch.free()
         if keep_run:
-            self.runs.append(got.filter("kind = 2").select("bucket", "x", "y"))
-            if len(self.runs) >= FAN_OUT:
-                self.compact()
+            self.runs.append((0, got.filter("kind = 2").select("bucket", "x", "y")))
+            self.compact()
         return got.filter("kind < 2").drop("bucket")
 
     def compact(self) -> None:
-        every = self.runs[0]
-        for r in self.runs[1:]:
-            every = every.unionByName(r)
-        self.runs = [self.scratch.keep(every.groupBy("bucket").applyInPandas(_compact, RUN), "run")]
+        """Merge the runs of a tier into one of the next as long as a tier has FAN_OUT runs."""
+        tier = 0
+        while any(t >= tier for t, _ in self.runs):
+            same = [r for t, r in self.runs if t == tier]
+            if len(same) >= FAN_OUT:
+                every = same[0]
+                for r in same[1:]:
+                    every = every.unionByName(r)
+                merged = self.scratch.keep(every.groupBy("bucket").applyInPandas(_compact, RUN), "run")
+                self.runs = [(t, r) for t, r in self.runs if t != tier] + [(tier + 1, merged)]
+                self.compactions += 1
+            tier += 1
 
 
 def _removed(docs: list[tuple[int, bytes]], found: pd.DataFrame, seed: int) -> tuple[dict[int, np.ndarray], int]:
@@ -263,17 +270,17 @@ def remove_repeats(docs: DataFrame, batches: tuple[float, ...] = BATCHES, texts:
     spark = docs.sparkSession
     _common.ship(spark)
     docs = _common.columns(docs, doc_id="long", text="string")
-    span = docs.agg(F.min("doc_id"), F.max("doc_id")).collect()[0]
-    lo, hi = span[0] or 0, span[1] or 0
     buckets = runs.n_buckets(docs)
-    ends = np.cumsum(batches) / sum(batches)
-    cuts = [lo, *(lo + int((hi + 1 - lo) * x) for x in ends[:-1]), hi + 1]
+    ends = (np.cumsum(batches) / sum(batches))[:-1].tolist()
+    cuts = docs.agg(F.percentile_approx("doc_id", F.array(*map(F.lit, ends)), 10_000)).collect()[0][0] if ends else []
+    cuts = [None, *(cuts or [0] * len(ends)), None]  # batch k: after cut k up to cut k + 1
     for seed in range(8):
         scratch = _common.Scratch(spark)
         index, found = FingerprintIndex(spark, buckets, seed, scratch), None
         for k in range(len(batches)):
-            part = docs.filter((F.col("doc_id") >= cuts[k]) & (F.col("doc_id") < cuts[k + 1]))
-            got = index.add(part, keep_run=k < len(batches) - 1)
+            after = F.lit(True) if cuts[k] is None else F.col("doc_id") > cuts[k]
+            upto = F.lit(True) if cuts[k + 1] is None else F.col("doc_id") <= cuts[k + 1]
+            got = index.add(docs.filter(after & upto))
             found = got if found is None else found.unionByName(got)
         # a null id has a group of its own by hash of the text, so such rows don't meet in one task
         g = F.coalesce(F.pmod("doc_id", F.lit(index.groups)), F.pmod(F.xxhash64("text"), F.lit(index.groups)))
