@@ -12,8 +12,8 @@ A byte goes if a string of LENGTH bytes that covers it also starts anywhere else
    matched by digest as rows, after a test on the CORE bytes that windows of neighbouring offsets share.
 
 Defined results: null texts are empty texts; texts shorter than LENGTH lose nothing; documents without doc_id and rows that
-share one are separate documents; repeated rows repeat each other's strings; an empty table gives an empty result; extra
-columns are ignored. Texts are UTF-8 bytes; matches never cross documents.
+share one are separate documents; repeated rows repeat each other's strings; texts of any length are taken whole; an empty
+table gives an empty result; extra columns are ignored. Texts are UTF-8 bytes; matches never cross documents.
 """
 
 from __future__ import annotations
@@ -265,10 +265,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     hot = scratch.keep(hot, "hot")
     cores = scratch.keep(hot.mapInArrow(lambda it: _windows(it, True), WINDOW), "cores")
     shared = cores.filter("whole").groupBy("w1", "w2", "t").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    ask = cores.join(shared.hint("merge"), ["w1", "w2", "t"], "left").filter("c > 1 or not whole").groupBy("e1", "e2").agg(F.collect_set("t").alias("ts"))
+    shared = scratch.keep(shared, "shared")  # a table of its own: Spark can split a join on a busy key
+    ask = cores.hint("merge").join(shared.hint("merge"), ["w1", "w2", "t"], "left").filter("c > 1 or not whole").groupBy("e1", "e2").agg(F.collect_set("t").alias("ts"))
     spots = scratch.keep(hot.join(ask.hint("merge"), ["e1", "e2"]).mapInArrow(lambda it: _windows(it, False), WINDOW), "windows")
-    twice = spots.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    wide = spots.join(twice.hint("merge"), ["w1", "w2"]).groupBy("e1", "e2").agg(F.sort_array(F.collect_set("t")).alias("starts"))
+    twice = scratch.keep(spots.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "twice")
+    wide = spots.hint("merge").join(twice.hint("merge"), ["w1", "w2"]).groupBy("e1", "e2").agg(F.sort_array(F.collect_set("t")).alias("starts"))
     wide = wide.select("e1", "e2", "starts", F.transform("starts", lambda s: s + 1).alias("ends"))
     alone = few.unionByName(wide)
     copied = distinct.filter("n > 1").select("e1", "e2", F.array(F.lit(0)).alias("starts"), F.array(F.col("at.hi") - F.col("at.lo") + 1).alias("ends"))
