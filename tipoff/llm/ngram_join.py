@@ -7,15 +7,16 @@
 3. What is left is ordered by document frequency, rarest first; shingles of one document drop out, which shortens the prefix
    that must be shared. Pairs come from shared prefix shingles: first each holder with the shingle's most central holder;
    then, between different components only, those of one centre in bounded blocks that emit nothing but links, and the other
-   pairs one by one. A group of near copies is so joined by few rows.
+   pairs one by one, or in such blocks too where many documents hold a shingle. A group of near copies is so joined by few rows.
 4. Verification: the global order of n-grams is cut into fragments by ranges of the hash; each pair's overlaps are counted
    fragment by fragment and summed.
 
 Similarity is at least MIN_PERCENT / 100: 100 |x and y| >= MIN_PERCENT |x or y|. Shingles are compared by 64-bit hashes.
 
 Defined results: without words the set is empty and linked with nothing; with fewer words than a shingle, the whole
-sequence is one; a document without doc_id has no component; rows that share a doc_id are separate documents; an empty
-table gives an empty result; extra columns are ignored. Letters A-Z are folded.
+sequence is one; a document without doc_id has no component; rows that share a doc_id are separate documents of one
+component; texts of any length are taken whole; an empty table gives an empty result; extra columns are ignored. Letters A-Z
+are folded.
 """
 
 from __future__ import annotations
@@ -35,6 +36,8 @@ from tipoff.llm.components import components
 SIZE, MIN_PERCENT, SLACK, FRAGMENTS = 5, 80, 10, 8
 #: Documents in a block of those apart from their centre's component, of those that they meet, and shingles counted at a time.
 NEAR_BLOCK, FAR_BLOCK, SLAB = 256, 1024, 4096
+#: Holders of a leading shingle from which their pairs are found in blocks rather than as rows.
+MANY_HOLDERS = 512
 TABLES = _text.byte_table(90, fold_case=True), _text.byte_table(91, fold_case=True)
 BASE, MULT = 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
 
@@ -221,14 +224,15 @@ def _block_links(u: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
     return got.drop_duplicates(["u", "c"])[["u", "v"]]
 
 
-def same_centre_links(members: DataFrame) -> DataFrame:
+def same_centre_links(members: DataFrame, scratch: _common.Scratch) -> DataFrame:
     """Links between components among documents of one centre: those apart from the centre's component meet all others in bounded blocks.
 
-    members: rep, n, e, toks, component, primary, apart.
+    members: rep, n, e, toks, component, primary, apart. The block numbers are a table of their own, so that a join on a busy centre is
+    one that Spark can split.
     """
     sizes = members.groupBy("primary").agg(F.count_if("apart").alias("f"), F.count(F.lit(1)).alias("m")).filter("f > 0 and m > 1")
-    sizes = sizes.select("primary", F.ceil(F.col("f") / NEAR_BLOCK).cast("int").alias("fb"), F.ceil(F.col("m") / FAR_BLOCK).cast("int").alias("mb"))
-    d = members.join(sizes.hint("merge"), "primary")
+    sizes = scratch.keep(sizes.select("primary", F.ceil(F.col("f") / NEAR_BLOCK).cast("int").alias("fb"), F.ceil(F.col("m") / FAR_BLOCK).cast("int").alias("mb")), "sizes")
+    d = members.hint("merge").join(sizes.hint("merge"), "primary")
     cols = ["primary", "rep", "n", "e", "toks", "component"]
     here = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -276,14 +280,26 @@ def similar_components(docs: DataFrame) -> DataFrame:
     # a document's primary centre is the one that most documents share; a centre of more than its own centres have is its own
     reach = star.groupBy("c").agg(F.count(F.lit(1)).alias("reach"))
     best = star.join(reach.hint("merge"), "c").groupBy("rep").agg(F.max(F.struct("reach", (-F.col("c")).alias("c"))).alias("m"))
-    members = kept.join(comps.select(F.col("node").alias("rep"), "component").hint("merge"), "rep", "left").join(best.hint("merge"), "rep", "left")
-    members = members.join(reach.withColumnRenamed("reach", "own").withColumnRenamed("c", "rep").hint("merge"), "rep", "left")
+    place = kept.select("rep").join(comps.select(F.col("node").alias("rep"), "component").hint("merge"), "rep", "left").join(best.hint("merge"), "rep", "left")
+    place = place.join(reach.withColumnRenamed("reach", "own").withColumnRenamed("c", "rep").hint("merge"), "rep", "left")
     primary = F.when(F.coalesce("m.reach", F.lit(0)) > F.coalesce("own", F.lit(0)), -F.col("m.c")).otherwise(F.col("rep"))
-    members = scratch.keep(members.select("rep", "n", "e", "toks", F.coalesce("component", "rep").alias("component"), primary.alias("primary")), "members")
-    at = members.select(F.col("rep").alias("primary"), F.col("component").alias("pc"))
-    members = members.join(at.hint("merge"), "primary", "left").withColumn("apart", F.col("component") != F.coalesce("pc", "primary")).drop("pc")
-    near = scratch.keep(same_centre_links(members), "links")
-    held = scratch.keep(sig.join(members.select("rep", "component", "primary").hint("merge"), "rep"), "held")
+    place = scratch.keep(place.select("rep", F.coalesce("component", "rep").alias("component"), primary.alias("primary")), "places")
+    at = place.select(F.col("rep").alias("primary"), F.col("component").alias("pc"))
+    place = scratch.keep(place.hint("merge").join(at.hint("merge"), "primary", "left").select("rep", "component", "primary", (F.col("component") != F.coalesce("pc", "primary")).alias("apart")), "places")
+    members = scratch.keep(kept.join(place.hint("merge"), "rep"), "members")
+    near = scratch.keep(same_centre_links(members, scratch), "links")
+    held = scratch.keep(sig.join(place.drop("apart").hint("merge"), "rep"), "held")
+    # shingles that documents of different components and centres hold
+    mixed = held.groupBy("tok").agg(F.count(F.lit(1)).alias("m"), *(f(c).alias(f"{k}_{c}") for c in ("component", "primary") for k, f in (("lo", F.min), ("hi", F.max))))
+    mixed = scratch.keep(mixed.filter("lo_component <> hi_component and lo_primary <> hi_primary").select("tok", "m"), "mixed")
+    held = scratch.keep(held.hint("merge").join(mixed.hint("merge"), "tok"), "held")
+    busy = held.filter(F.col("m") > MANY_HOLDERS)
+    if not busy.isEmpty():
+        main = busy.groupBy("tok", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("tok").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
+        main = scratch.keep(main, "main")
+        busy = busy.hint("merge").join(main.hint("merge"), "tok").select("rep", F.col("tok").alias("primary"), "component", (F.col("component") != F.col("main")).alias("apart"))
+        near = near.unionByName(scratch.keep(same_centre_links(scratch.keep(kept.join(busy.hint("merge"), "rep"), "members"), scratch), "links"))
+    held = held.filter(F.col("m") <= MANY_HOLDERS)
     x, y = held.alias("x"), held.alias("y")
     rest = x.hint("merge").join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.primary") != F.col("y.primary")) & may_link(F.col("x.n"), F.col("y.n"), F.col("x.e"), F.col("y.e")))
     rest = rest.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(first.hint("merge"), ["a", "b"], "left_anti")
@@ -301,9 +317,17 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that are the smallest doc_id of their component, all columns kept; those without doc_id stay."""
-    found = similar_components(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(found.hint("merge"), docs["doc_id"] == found["gone"], "left_anti")
+    """One row of the smallest doc_id of each component, all columns kept; rows without doc_id stay.
+
+    Of several rows with the smallest doc_id, the one of the smallest text hash stays; they are combined before they are shuffled.
+    """
+    found = similar_components(docs)
+    marks = found.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") != F.col("component_id")).alias("gone"), F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n"))
+    marks = marks.filter("gone or rows > 1 and n > 0").select(F.col("doc_id").alias("_one_id"), F.col("gone").alias("_one_gone"))
+    marked = docs.join(marks.hint("merge"), docs["doc_id"] == F.col("_one_id"), "left")
+    row = F.struct(*(docs[c] for c in docs.columns))
+    several = marked.filter("not _one_gone").groupBy("_one_id").agg(F.min_by(row, F.xxhash64(docs["text"])).alias("_one_row"))
+    return marked.filter("_one_id is null").select(*docs.columns).unionByName(several.select("_one_row.*"))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
