@@ -133,3 +133,85 @@ def test_block_links(monkeypatch):
     u, v = block(20, 0), block(30, 100)
     want = {(a.rep, b.rep) for a in u.itertuples() for b in v.itertuples() if 100 * len(np.intersect1d(a.toks, b.toks)) >= 80 * len(np.union1d(a.toks, b.toks))}
     assert want and {tuple(x) for x in ngram_join._block_links(u, v).values.tolist()} == want
+
+
+WIDE = {"wide": lambda k: (k * 0x9E3779B97F4A7C15 + 5) % (1 << 64) - (1 << 63), "far": lambda k: k if k != 30 else (1 << 63) - 1, "low": lambda k: k if k != 6 else -(1 << 63)}
+
+
+@pytest.mark.parametrize("kind", WIDE)
+def test_substrings_with_any_ids(spark, fixture_rows, monkeypatch, kind):
+    monkeypatch.setattr(runs, "BUCKET_BYTES", 50_000)
+    rows = [(WIDE[kind](i), t) for i, t in fixture_rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(substrings.remove_repeats(df), "n_words", "n_removed", "kept_sha256") == brute.substring_dedup(rows)
+
+
+def test_suffixes_and_ngrams_with_any_ids(spark, fixture_rows):
+    rows = [(WIDE["wide"](i), t) for i, t in fixture_rows]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(suffixes.remove_repeats(df), "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.byte_dedup(rows)
+    assert got(ngram_join.similar_components(df), "n_shingles", "component_id") == brute.jaccard_components(rows)
+
+
+def test_index_compacts_by_tiers(spark, docs, fixture_rows, monkeypatch):
+    """Nine batches, the last indexed too: eight runs of tier 0 became two of tier 1 by two compactions; matches are those of brute force."""
+    monkeypatch.setattr(runs, "BUCKET_BYTES", 50_000)
+    index = substrings.FingerprintIndex(spark, 3)
+    rows = sorted({(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect() if r.doc_id is not None})
+    for k in range(9):
+        index.add(spark.createDataFrame(rows[k * len(rows) // 9 : (k + 1) * len(rows) // 9], "doc_id long, text string"))
+    assert index.compactions == 2 and sorted(t for t, _ in index.runs) == [0, 1, 1]
+    held = [h for _, r in index.runs for x in r.collect() for h in runs.unpack_sorted(x.x).tolist()]
+    windows = {tuple(w[k : k + 13]) for _, t in fixture_rows for w in [brute.WORD.findall(t or "")] for k in range(len(w) - 12)}
+    assert len(held) == len(set(held)) == len(windows)
+
+
+def test_the_query_compacts(spark, docs, monkeypatch):
+    seen = []
+    real = substrings.FingerprintIndex.compact
+    monkeypatch.setattr(substrings.FingerprintIndex, "compact", lambda self: (real(self), seen.append(self.compactions)))
+    substrings.remove_repeats(docs, texts=False)
+    assert len(seen) == len(substrings.BATCHES) and seen[-1] == 1
+
+
+@pytest.mark.parametrize("most", [0, 3])
+def test_busy_shingles_in_blocks(spark, fixture_rows, monkeypatch, most):
+    """Shingles of many holders are joined in blocks: the components stay those of brute force."""
+    import random
+
+    monkeypatch.setattr(ngram_join, "MANY_HOLDERS", most)
+    from conftest import prose
+
+    rows, common = [], prose(5, 100)
+    for k in range(120):
+        r = random.Random(k // 3)
+        w = common + prose(200 + k // 6, 18) + [f"u{k}"]
+        for p in r.sample(range(100), 2 + k % 4):
+            w[p] = f"c{k // 3}"
+        rows.append((k, " ".join(w)))
+    rows += [(500 + i, t) for i, t in fixture_rows]
+    out = ngram_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert got(out, "n_shingles", "component_id") == brute.jaccard_components(rows)
+
+
+def test_one_row_of_each(spark):
+    """Rows that share a doc_id and a component leave one; those without words or doc_id stay."""
+    from conftest import prose
+
+    text = " ".join(prose(8, 50))
+    rows = [(5, text, "x"), (5, text, "x"), (5, text + " tail", "y"), (7, text, "z"), (9, None, "n"), (9, "", "n"), (None, text, "i"), (None, text, "i"), (11, "short", "s")]
+    kept = ngram_join.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted((str(r.doc_id), r.source) for r in kept if r.doc_id != 5) == [("11", "s"), ("9", "n"), ("9", "n"), ("None", "i"), ("None", "i")]
+    assert sum(r.doc_id == 5 for r in kept) == 1
+
+
+@pytest.mark.parametrize("n_bytes", [395, 399, 400, 401, 450])
+def test_passages_about_the_length(spark, n_bytes):
+    """Planted passages of 395 to 450 bytes in two documents, whatever their number of words: those under 400 bytes stay."""
+    from conftest import prose
+
+    passage = " ".join(prose(77, 90))[:n_bytes]
+    rows = [(k, " ".join(prose(300 + k, 60)) + f"<{k} " + passage + f" {k}>" + " ".join(prose(400 + k, 60))) for k in range(2)] + [(9, " ".join(prose(500, 90)))]
+    out = got(suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert out == brute.byte_dedup(rows)
+    assert [out[k][1] for k in (0, 1, 9)] == ([n_bytes + 2] * 2 if n_bytes + 2 >= 400 else [0, 0]) + [0]
