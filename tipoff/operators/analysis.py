@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from statistics import NormalDist
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,10 +51,10 @@ def welch(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
 
 
 def rank_sum(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
-    """Mann-Whitney U of group a. Average ranks come from counts of each distinct value, so equal values meet once, already summed."""
+    """Mann-Whitney U of group a. Average ranks come from counts of each distinct value, added up over ranges of values."""
     n = df.filter(F.col(group).isin(a, b)).groupBy(value).agg(F.count_if(F.col(group) == a).alias("na"), F.count_if(F.col(group) == b).alias("nb"))
-    below = W.running_total(n.withColumn("_all", F.lit(0)).withColumn("c", F.col("na") + F.col("nb")), ["_all"], [F.col(value)], "c")
-    r = below.withColumn("rank", F.col("c_running") - (F.col("c") - 1) / 2)
+    below = W.global_running(n.withColumn("c", F.col("na") + F.col("nb")), [value], F.col("c"), "upto")
+    r = below.withColumn("rank", F.col("upto") - (F.col("c") - 1) / 2)
     return r.agg((F.sum(F.col("na") * F.col("rank")) - F.sum("na") * (F.sum("na") + 1) / 2).alias("u"), F.sum("na").alias("na"), F.sum("nb").alias("nb"))
 
 
@@ -74,14 +77,58 @@ def similar_to(df: DataFrame, id_col: str, vec: str, target, n: int = 10) -> Dat
     return got.select(id_col, "cosine").orderBy(F.desc("cosine"), id_col).limit(n)
 
 
-def similarity_edges(df: DataFrame, id_col: str, vec: str, group: str, blocks: int = 4, n: int = 3) -> DataFrame:
-    """Top n neighbours by cosine inside groups; the pairs of a group are made block by block, not in one task."""
-    v = df.select(id_col, group, F.col(vec).cast("array<double>").alias("v")).withColumn("v", F.transform("v", lambda x: x))
-    v = v.withColumn("len", F.sqrt(dot(F.col("v"), F.col("v")))).withColumn("blk", F.pmod(F.xxhash64(id_col), F.lit(blocks)))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    a = v.select(F.col(id_col).alias("src"), group, F.col("v").alias("va"), F.col("len").alias("la"), F.col("blk").alias("ba"), every.alias("bb"))
-    b = v.select(F.col(id_col).alias("dst"), group, F.col("v").alias("vb"), F.col("len").alias("lb"), F.col("blk").alias("bb"), every.alias("ba"))
-    pairs = a.join(b, [group, "ba", "bb"]).filter("src <> dst").select("src", "dst", F.try_divide(dot(F.col("va"), F.col("vb")), F.col("la") * F.col("lb")).alias("cosine"))
+def similar_by_distance(df: DataFrame, id_col: str, metrics: list[str], target, n: int = 10, position: str | None = None) -> DataFrame:
+    """The n rows of largest 1 / (1 + d) to one row, d over z-scores of the metrics: Euclidean, or, with a position, the sum of
+    absolute differences with the position as a one-hot of weight 0.5. One row of means and deviations and the target go to all."""
+    m = df.agg(*(f(x).alias(f"_{k}{i}") for i, x in enumerate(metrics) for k, f in (("m", F.avg), ("s", F.stddev_samp))))
+    z = [F.coalesce(F.try_divide(F.col(x) - F.col(f"_m{i}"), F.col(f"_s{i}")), F.lit(0.0)) for i, x in enumerate(metrics)]
+    zs = df.join(F.broadcast(m)).select(id_col, F.array(*z).alias("z"), (F.col(position) if position else F.lit(None)).alias("pos"))
+    one = zs.filter(F.col(id_col) == target).select(F.col("z").alias("t"), F.col("pos").alias("tpos")).limit(1)
+    gap = F.zip_with("z", "t", lambda x, y: x - y)
+    if position:
+        d = F.aggregate(gap, F.lit(0.0), lambda s, x: s + F.abs(x)) + F.when(F.col("pos").eqNullSafe(F.col("tpos")), 0.0).otherwise(1.0)
+    else:
+        d = F.sqrt(F.aggregate(gap, F.lit(0.0), lambda s, x: s + x * x))
+    got = zs.filter(F.col(id_col) != target).join(F.broadcast(one)).select(id_col, (1 / (1 + d)).alias("similarity"))
+    return got.orderBy(F.desc("similarity"), id_col).limit(n)
+
+
+def _best_edges(a: pd.DataFrame, b: pd.DataFrame, n: int) -> pd.DataFrame:
+    """The n best cosines of each vector of a block with those of another; near-ties are settled on sums in one order, then by id."""
+    if not len(a) or not len(b):
+        return pd.DataFrame({"src": a.id[:0], "dst": b.id[:0], "cosine": np.zeros(0)})
+    b = b.sort_values("id")
+    unit = []
+    for part in (a, b):
+        x = np.stack(part.v.to_list()).astype(float)
+        size = np.sqrt((x * x).sum(1, keepdims=True))
+        unit.append(np.where(size > 0, x / np.where(size > 0, size, 1), np.nan))
+    x, y = unit
+    src, dst = a.id.to_numpy(), b.id.to_numpy()
+    cos = np.where(np.isnan(c := x @ y.T), -2.0, c)  # without a direction: last
+    cos[src[:, None] == dst[None, :]] = -np.inf
+    limit = np.partition(cos, -n, axis=1)[:, -n] if cos.shape[1] > n else np.full(len(src), -np.inf)
+    i, j = np.nonzero((cos >= limit[:, None] - 1e-9) & (cos > -np.inf))
+    exact = (x[i] * y[j]).sum(1)
+    o = np.lexsort((dst[j], np.where(np.isnan(exact), 2.0, -exact), i))
+    i, j, exact = i[o], j[o], exact[o]
+    first = np.arange(len(i)) - np.searchsorted(i, i) < n
+    return pd.DataFrame({"src": src[i[first]], "dst": dst[j[first]], "cosine": exact[first]})
+
+
+def similarity_edges(df: DataFrame, id_col: str, vec: str, group: str, block: int = 2048, n: int = 3) -> DataFrame:
+    """Top n neighbours by cosine inside groups: blocks of about `block` vectors are multiplied, and each pair of blocks emits its n best
+    for each vector, so no task gathers a group and no pair of vectors is a row. Vectors without a direction have null cosines."""
+    v = df.select(F.col(id_col).alias("id"), F.col(group).alias("g"), F.col(vec).cast("array<double>").alias("v")).filter(F.col("v").isNotNull() & F.col("g").isNotNull())
+    blocks = v.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    v = v.join(blocks, "g").withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    a = v.select("id", "v", "g", F.col("own").alias("ba"), every.alias("bb"))
+    b = v.select("id", "v", "g", every.alias("ba"), F.col("own").alias("bb")).toDF("id_", "v_", "g_", "ba_", "bb_").toDF("id", "v", "g", "ba", "bb")
+    kind = df.schema[id_col].dataType.simpleString()
+    key = ["g", "ba", "bb"]
+    pairs = a.groupBy(*key).cogroup(b.groupBy(*key)).applyInPandas(lambda x, y: _best_edges(x, y, n), f"src {kind}, dst {kind}, cosine double")
+    pairs = pairs.withColumn("cosine", F.nullif("cosine", F.lit(float("nan"))))
     return W.first_of(pairs, ["src"], F.desc("cosine"), F.col("dst"), n=n)
 
 
@@ -107,6 +154,29 @@ def clusters(df: DataFrame, vec: str, ks: list[int], seed: int = 7) -> tuple[Dat
     return found[max(score, key=score.get)].drop("_v", "_x"), score
 
 
+def mixtures(df: DataFrame, vec: str, ks: list[int], seed: int = 7) -> tuple[DataFrame, dict[int, tuple[float, float]]]:
+    """Gaussian mixtures on standardised vectors for several k; the assignment of the least BIC, and BIC and silhouette of each k.
+
+    BIC is -2 log likelihood + p ln n with p free parameters: weights, means and full covariances.
+    """
+    from pyspark.ml.clustering import GaussianMixture
+    from pyspark.ml.evaluation import ClusteringEvaluator
+    from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.functions import array_to_vector
+
+    x = df.withColumn("_v", array_to_vector(F.col(vec).cast("array<double>")))
+    x = StandardScaler(inputCol="_v", outputCol="_x", withMean=True).fit(x).transform(x)
+    found, score = {}, {}
+    n, d = x.agg(F.count(F.lit(1)), F.max(F.size(vec))).collect()[0]
+    for k in ks:
+        model = GaussianMixture(k=k, seed=seed, featuresCol="_x", predictionCol="cluster", maxIter=50, tol=1e-3).fit(x)
+        found[k] = model.transform(x)
+        p = k - 1 + k * d + k * d * (d + 1) / 2
+        sil = ClusteringEvaluator(featuresCol="_x", predictionCol="cluster").evaluate(found[k]) if found[k].select("cluster").distinct().count() > 1 else 0.0
+        score[k] = (-2 * model.summary.logLikelihood + p * math.log(n), sil)
+    return found[min(score, key=lambda k: score[k][0])].drop("_v", "_x", "probability"), score
+
+
 def components_profile(df: DataFrame, vec: str, weights: tuple[float, ...] = (0.35, 0.35, 0.3)) -> DataFrame:
     """Principal components, each scaled to 0-100 with its sign fixed by the largest loading, and their weighted sum."""
     from pyspark.ml.feature import PCA, StandardScaler

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tipoff.operators.reshape import typed
@@ -94,3 +94,52 @@ def status_matrix(expected: DataFrame, actual: DataFrame, journal: DataFrame, ke
         .when(e & (s == "running"), "running").when(e & (s == "skipped"), "skipped").when(e, "missing").otherwise("unexpected")
     )
     return all_.select(*keys, r.alias("rows"), rule.alias("coverage"))
+
+
+def parity(source: DataFrame, outputs: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each output beside its source's, and whether they agree: the outputs that should keep every row once."""
+    n = source.agg(F.count(F.lit(1)).alias("source_rows"))
+    out = None
+    for name, df in outputs.items():
+        one = df.agg(F.count(F.lit(1)).alias("output_rows")).join(F.broadcast(n)).select(F.lit(name).alias("output"), "source_rows", "output_rows", (F.col("source_rows") == F.col("output_rows")).alias("ok"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def quality_scores(results: DataFrame) -> DataFrame:
+    """Each table's checks, failures by layer and score (share of passed checks x 100).
+
+    results: table, layer, check, passed.
+    """
+    bad = F.col("bad")
+    by_layer = results.groupBy("table", "layer").agg(F.count(F.lit(1)).alias("checks"), F.count_if(~F.coalesce("passed", F.lit(False))).alias("bad"), F.sort_array(F.collect_list(F.when(~F.coalesce("passed", F.lit(False)), F.col("check")))).alias("names"))
+    return by_layer.groupBy("table").agg(
+        F.sum("checks").alias("checks"), F.sum("bad").alias("failed"), (F.try_divide(F.sum(F.col("checks") - bad) * 100, F.sum("checks"))).alias("score"),
+        F.concat_ws(",", F.sort_array(F.collect_list(F.when(bad > 0, F.concat_ws(":", "layer", F.concat_ws("+", "names")))))).alias("failures"),
+    )
+
+
+def anchors(counts: DataFrame, domains: DataFrame) -> DataFrame:
+    """Whether each domain has one of its anchor tables: ok if any has rows, empty if some are there without rows, else missing.
+
+    counts: name, n (a row for each table that is there); domains: domain, name.
+    """
+    x = domains.join(counts, "name", "left").groupBy("domain").agg(F.count("name").alias("anchors"), F.count("n").alias("present"), F.coalesce(F.max("n"), F.lit(0)).alias("most"))
+    return x.select("domain", "anchors", "present", F.when(F.col("most") > 0, "ok").when(F.col("present") > 0, "empty").otherwise("missing").alias("status"))
+
+
+def schema_versions(columns: DataFrame, keys: list[str], at: str, allowed: Column | None = None) -> DataFrame:
+    """The history of each table's schema: a row for each observation, its hash, version, and the columns added and removed since the
+    last one; refused where some were removed that are not allowed to go.
+
+    columns: keys, at, column, type (a row for each column of an observed schema). allowed: a condition on the row.
+    """
+    one = columns.groupBy(*keys, at).agg(F.sort_array(F.collect_set(F.concat_ws(":", "column", "type"))).alias("cols"))
+    w = Window.partitionBy(*keys).orderBy(at)
+    x = one.withColumn("hash", F.sha2(F.concat_ws("|", "cols"), 256)).withColumn("was", F.lag("cols").over(w)).withColumn("old", F.lag("hash").over(w))
+    x = x.withColumn("changed", F.col("old").isNull() | (F.col("old") != F.col("hash")))
+    x = x.withColumn("version", F.count_if("changed").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    x = x.withColumn("drifted", F.col("hash") != F.first("hash").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    x = x.withColumn("added", F.when(F.col("was").isNotNull(), F.array_except("cols", "was"))).withColumn("removed", F.when(F.col("was").isNotNull(), F.array_except("was", "cols")))
+    gone = F.coalesce(F.size("removed") > 0, F.lit(False))
+    return x.withColumn("refused", gone & ~(allowed if allowed is not None else F.lit(False))).drop("was", "old")

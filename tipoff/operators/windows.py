@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tipoff.sources import sinks
+
 START, HERE = Window.unboundedPreceding, Window.currentRow
 
 
@@ -49,13 +51,26 @@ def scd2(df: DataFrame, keys: list[str], order: list[Column], attrs: list[str],
     return validity(changes(df, keys, order, attrs), keys, valid_from)
 
 
-def dense_key(df: DataFrame, order: list[str], name: str, partitions: int | None = None) -> DataFrame:
-    """1..n in a global order without gathering the rows: a range sort, numbers inside partitions, and each partition's offset."""
+def by_ranges(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
+    """The rows with _p, the number of their range in a global order: written once, so that all later passes see the same ranges."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()).persist()
-    sizes = placed.groupBy("_p").count()
-    before = sizes.select("_p", (F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(START, -1)), F.lit(0))).alias("_b"))  # a row per partition
-    return placed.join(F.broadcast(before), "_p").withColumn(name, F.row_number().over(by(["_p"], *(F.col(c) for c in order))) + F.col("_b")).drop("_p", "_b")
+    path = sinks.work_dir(df.sparkSession) + "/ranges"
+    df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.schema(df.withColumn("_p", F.lit(0)).schema).parquet(path)
+
+
+def global_running(df: DataFrame, order: list[str], value: Column, name: str) -> DataFrame:
+    """Running total in a global order without gathering the rows: sums inside ranges, and each range's offset (a row per range)."""
+    placed = by_ranges(df, order)
+    sums = placed.groupBy("_p").agg(F.sum(value).alias("_s"))
+    before = sums.select("_p", F.coalesce(F.sum("_s").over(Window.orderBy("_p").rowsBetween(START, -1)), F.lit(0)).alias("_b"))
+    inside = F.sum(value).over(by(["_p"], *(F.col(c) for c in order)).rowsBetween(START, HERE))
+    return placed.join(F.broadcast(before), "_p").withColumn(name, inside + F.col("_b")).drop("_p", "_b")
+
+
+def dense_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """1..n in a global order without gathering the rows."""
+    return global_running(df, order, F.lit(1), name)
 
 
 def islands(df: DataFrame, keys: list[str], order: list[Column], value: str) -> DataFrame:

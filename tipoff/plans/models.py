@@ -7,9 +7,12 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from graphlib import CycleError, TopologicalSorter
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tipoff.operators.reshape import tagged_union
+from tipoff.operators.windows import first_of
 
 
 @dataclass
@@ -62,6 +65,63 @@ def run_models(models: list[Model], staging: dict[str, DataFrame], keep: Callabl
     return frames, report
 
 
+class RunStore:
+    """Model outputs as tables of a run, and a log of all runs beside them, from which a run that was cut short resumes."""
+
+    LOG = "run_id string, seq long, model string, status string, rows long, columns int, seconds double, error string"
+
+    def __init__(self, spark: SparkSession, path: str, run_id: str) -> None:
+        self.spark, self.path, self.run_id = spark, path, run_id
+        self.sizes: dict[str, tuple[int, int]] = {}
+
+    def log(self) -> DataFrame:
+        """All entries of all runs."""
+        try:
+            return self.spark.read.schema(self.LOG).parquet(f"{self.path}/_runs")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+            return self.spark.createDataFrame([], self.LOG)
+
+    def latest(self) -> DataFrame:
+        """The last entry of each model of this run (a row for each model)."""
+        mine = self.log().filter(F.col("run_id") == self.run_id)
+        return mine.groupBy("model").agg(F.max_by(F.struct(*mine.columns), "seq").alias("e")).select("e.*")
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        seen, path = Observation(), f"{self.path}/{self.run_id}/{name}"
+        df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+        self.sizes[name] = (seen.get["n"], len(df.columns))
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def run(self, models: list[Model], staging: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], Report]:
+        """run_models with every output written and logged; models that the log has as ok in this run are read, not run."""
+        wanted = {m.name for m in models}
+        before = {r.model: r for r in self.latest().collect()}
+        done = {n for n, r in before.items() if r.status == "ok" and n in wanted}
+        frames = {n: self.spark.read.parquet(f"{self.path}/{self.run_id}/{n}") for n in done}
+        frames, report = run_models(models, staging | frames, self.keep, done)
+        seq = 1 + max((r.seq for r in before.values()), default=-1)
+        rows = [(self.run_id, seq, n, st, *self.sizes.get(n, (None, None)), report.seconds.get(n), report.errors.get(n)) for n, st in report.status.items() if st != "resumed"]
+        self.spark.createDataFrame(rows, self.LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/_runs")
+        return frames, report
+
+    def clear(self) -> None:
+        """Forget what this run finished: the next one starts anew."""
+        last = self.latest().select("run_id", (F.col("seq") + 1).alias("seq"), "model", F.lit("cleared").alias("status"), "rows", "columns", "seconds", "error")
+        last.coalesce(1).write.mode("append").parquet(f"{self.path}/_runs")
+
+
+def run_summary(log: DataFrame) -> DataFrame:
+    """Models by status, rows and seconds of each run."""
+    return log.groupBy("run_id").agg(*(F.count_if(F.col("status") == s).alias(s) for s in ("ok", "failed", "skipped")), F.sum("rows").alias("rows"), F.sum("seconds").alias("seconds"))
+
+
+def slowest(log: DataFrame, n: int = 5) -> DataFrame:
+    """Each run's n slowest models."""
+    return first_of(log, ["run_id"], F.desc_nulls_last("seconds"), F.col("model"), n=n).select("run_id", "model", "seconds")
+
+
 def passthrough(output: str, source: str) -> Model:
     return Model(output, [source], lambda f: f[source])
 

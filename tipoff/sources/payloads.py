@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tipoff.functions.scalars import snake_names
+from tipoff.sources import sinks
 
 ENVELOPE = "resultSets array<struct<name: string, headers: array<string>, rowSet: array<array<string>>>>"
 
@@ -36,15 +37,23 @@ def flatten_nested(df: DataFrame, array: str, keys: list[str]) -> DataFrame:
     return df.select(*keys, F.explode(array).alias("_x")).select(*keys, "_x.*")
 
 
-def discover_sets(df: DataFrame, payload: str, depth: int = 4) -> DataFrame:
-    """(path, row) of every array element in JSON texts, down to a depth: a row for each element, its path without indices."""
-    level = df.select(F.lit("$").alias("path"), F.try_parse_json(payload).alias("v"))
-    out = None
-    for _ in range(depth):
-        kids = level.lateralJoin(df.sparkSession.tvf.variant_explode_outer(F.col("v").outer())).select(
-            F.when(F.col("key").isNull(), F.col("path")).otherwise(F.concat_ws(".", "path", "key")).alias("p"), F.col("key").isNull().alias("item"), F.col("value").alias("v")
-        ).filter(F.col("v").isNotNull())
-        rows = kids.filter("item").select(F.col("p").alias("path"), F.to_json("v").alias("row"))
+def discover_sets(df: DataFrame, payload: str) -> DataFrame:
+    """(path, row) of every array element in JSON texts at any depth: a row for each element, its path without indices.
+
+    One pass over a level of nesting at a time, until a level is empty; each level is written, so it is parsed once.
+    """
+    spark = df.sparkSession
+    base, k, out = sinks.work_dir(spark), 0, None
+    level = df.select(F.lit("$").alias("path"), F.try_parse_json(payload).alias("v")).filter(F.col("v").isNotNull())
+    while True:
+        kids = level.lateralJoin(spark.tvf.variant_explode_outer(F.col("v").outer())).select(
+            F.when(F.col("key").isNull(), F.col("path")).otherwise(F.concat_ws(".", "path", "key")).alias("path"), F.col("key").isNull().alias("item"), F.to_json("value").alias("row")
+        ).filter(F.col("row").isNotNull())
+        kids.write.parquet(f"{base}/{k}")
+        kids = spark.read.schema(kids.schema).parquet(f"{base}/{k}")
+        rows = kids.filter("item").select("path", "row")
         out = rows if out is None else out.unionByName(rows)
-        level = kids.select(F.col("p").alias("path"), "v")
-    return out
+        level = kids.filter(F.col("row").rlike(r"^[\[{]")).select("path", F.parse_json("row").alias("v"))
+        if level.isEmpty():
+            return out
+        k += 1

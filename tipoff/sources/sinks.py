@@ -5,14 +5,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared folder (spark.checkpoint.dir), or a local one where that is unset."""
+    """A new folder in the cluster's shared folder (spark.checkpoint.dir); in local mode, a local one where that is unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{base.rstrip('/')}/tipoff-{uuid.uuid4().hex}" if base else "file://" + tempfile.mkdtemp(prefix="tipoff-")
+    if not base:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        return "file://" + tempfile.mkdtemp(prefix="tipoff-")
+    return f"{base.rstrip('/')}/tipoff-{uuid.uuid4().hex}"
 
 
 def write_parquet(df: DataFrame, path: str, by: str | None = None) -> None:
@@ -55,25 +60,45 @@ def content_hash(df: DataFrame) -> DataFrame:
 
 
 class ChunkStore:
-    """Idempotent chunk appends: a folder for each chunk id, and a journal of the content hash that each has."""
+    """Idempotent chunk appends: a folder for each chunk's content, and a journal table beside them that says which are valid.
+
+    A chunk is written first and then entered in the journal, so one that was cut short is not seen, and any process that opens the
+    path sees what earlier ones wrote.
+    """
+
+    JOURNAL = "chunk_id string, seq long, rows long, hash string, folder string"
 
     def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path, self.journal = spark, path, {}
+        self.spark, self.path = spark, path
+
+    def journal(self) -> DataFrame:
+        """The latest entry of each chunk (a row for each chunk)."""
+        j = self.spark.createDataFrame([], self.JOURNAL)
+        try:
+            j = self.spark.read.schema(self.JOURNAL).parquet(f"{self.path}/_journal")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+        return j.groupBy("chunk_id").agg(F.max_by(F.struct("seq", "rows", "hash", "folder"), "seq").alias("e")).select("chunk_id", "e.*")
 
     def append(self, chunk_id: str, df: DataFrame, replace: bool = False) -> bool:
         """False for a replay of the same content; another content under a known id is an error unless replaced."""
-        h = tuple(content_hash(df).collect()[0])
-        if self.journal.get(chunk_id) == h:
+        h = content_hash(df).collect()[0]
+        mark = f"{h.rows}-{h.xor}-{h.sum}"
+        known = self.journal().filter(F.col("chunk_id") == chunk_id).collect()
+        if known and known[0].hash == mark:
             return False
-        if chunk_id in self.journal and not replace:
+        if known and not replace:
             raise ValueError(f"chunk {chunk_id} was written with other content")
-        df.write.mode("overwrite").parquet(f"{self.path}/chunk_id={chunk_id}")
-        self.journal[chunk_id] = h
+        folder = f"chunk-{uuid.uuid4().hex}"
+        df.write.parquet(f"{self.path}/{folder}")
+        self.spark.createDataFrame([(chunk_id, known[0].seq + 1 if known else 0, h.rows, mark, folder)], self.JOURNAL).coalesce(1).write.mode("append").parquet(f"{self.path}/_journal")
         return True
 
     def materialize(self) -> DataFrame:
-        """All chunks by column name, missing columns null, without bookkeeping columns."""
-        return self.spark.read.option("mergeSchema", True).parquet(self.path).drop("chunk_id")
+        """The valid chunks by column name, missing columns null, without bookkeeping columns."""
+        folders = [f"{self.path}/{r.folder}" for r in self.journal().select("folder").collect()]  # one for each chunk
+        return self.spark.read.option("mergeSchema", True).parquet(*folders)
 
 
 def manifest(tables: dict[str, DataFrame]) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tipoff.functions.scalars import EVENT_NAMES
 
-#: Season phases in playing order.
-PHASES = ("preseason", "regular", "all_star", "in_season_tournament", "play_in", "playoffs", "conference_finals", "finals")
+#: Season phases by id.
+PHASES = ("Preseason", "Regular", "Play-In", "Playoffs R1", "Playoffs R2", "Conference Finals", "Finals", "All-Star")
 
 
 def load_staging(spark: SparkSession, base: str, keys: list[str], prefix: str | None = None) -> dict[str, DataFrame]:
@@ -31,4 +31,4 @@ def event_types(spark: SparkSession) -> DataFrame:
 
 
 def phases(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(PHASES, 1)), "phase_order int, phase string")
+    return spark.createDataFrame([(k, n, k) for k, n in enumerate(PHASES, 1)], "phase_id int, phase_name string, phase_order int")

@@ -11,17 +11,16 @@ def replay_snapshots(spark: SparkSession, landing: str, out: str, state: str, ke
     """Append landed files to a snapshot table: all that is new since the last run, each batch once.
 
     A batch writes its own folder, so a batch that is run again after a failure replaces what it wrote. Rows without a
-    natural key are refused, exact duplicates are removed.
+    natural key are refused, exact duplicates are removed: a row whose key and row hash an earlier batch holds. Only those two
+    columns of the history are read.
     """
+    stamp = F.xxhash64(*(F.col(c) for c in schema.names)).alias("row_hash")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.dropna(subset=keys).dropDuplicates()
+        rows = batch.dropna(subset=keys).dropDuplicates().select("*", stamp)
         if batch_id:  # rows that earlier batches hold
-            seen = batch.sparkSession.read.parquet(out).filter(F.col("batch_id") < batch_id).select(*(F.col(c).alias(f"_{c}") for c in batch.columns))
-            same = F.lit(True)
-            for c in batch.columns:
-                same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-            rows = rows.join(seen, same, "left_anti")
+            seen = batch.sparkSession.read.parquet(out).filter(F.col("batch_id") < batch_id).select(*keys, "row_hash")
+            rows = rows.join(seen, [*keys, "row_hash"], "left_anti").select(*batch.columns, "row_hash")
         rows = rows.withColumn("source_endpoint", F.lit(source)).withColumn("snapshot_at", F.current_timestamp())
         rows.withColumn("snapshot_date", F.to_date("snapshot_at")).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
@@ -46,6 +45,20 @@ def attempt_status(log: DataFrame, keys: list[str], order: str, failed: Column,
     return log.groupBy(*keys).agg(F.when(n > cap, "abandoned").when(last, "failed").otherwise("done").alias("status"), F.least(n, F.lit(cap)).alias("retries"))
 
 
+def attempt_states(log: DataFrame, keys: list[str], order: str, at: str, kind: Column, cap: int, now: Column, stale: str) -> DataFrame:
+    """The state that a log of starts, successes and failures leaves, without updates in place.
+
+    kind is 'start', 'success' or 'failure' (others are ignored). The last attempt decides: done after a success; failed after a
+    failure, or abandoned with cap failures or more; running after a start, or pending again (stale reset) where the start is more
+    than the interval `stale` before now.
+    """
+    x = log.withColumn("_k", kind).filter(F.col("_k").isin("start", "success", "failure"))
+    s = x.groupBy(*keys).agg(F.count_if(F.col("_k") == "failure").alias("retries"), F.max_by("_k", order).alias("_last"), F.max_by(at, order).alias("_at"), F.max(now).alias("_now"))
+    old = F.col("_at") < F.col("_now") - F.expr(f"interval {stale}")
+    status = F.when(F.col("_last") == "success", "done").when(F.col("_last") == "start", F.when(old, "pending").otherwise("running")).when(F.col("retries") >= cap, "abandoned").otherwise("failed")
+    return s.select(*keys, status.alias("status"), F.least("retries", F.lit(cap)).alias("retries"))
+
+
 def stateful_attempts(stream: DataFrame, cap: int = 5) -> DataFrame:
     """The streaming form: per key, a state of failures and the last outcome, one row for each key and batch (key, ok: boolean)."""
     import pandas as pd
