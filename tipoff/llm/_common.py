@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,10 +36,46 @@ def ship(spark: SparkSession) -> None:
     sc._tipoff_shipped = True
 
 
+def release() -> None:
+    """Give freed memory back to the system: Python workers stay for later tasks, beside the executor's JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has one
+    if trim:
+        trim(0)
+
+
+def tidy(rows: Callable) -> Callable:
+    """A function from batches to batches that releases memory at the end of its task."""
+
+    @functools.wraps(rows)
+    def run(*args, **named):
+        try:
+            yield from rows(*args, **named)
+        finally:
+            release()
+
+    return run
+
+
+def tidied(group: Callable) -> Callable:
+    """A function of groups that releases memory after each."""
+
+    @functools.wraps(group)
+    def run(*args):
+        try:
+            return group(*args)
+        finally:
+            release()
+
+    return run
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where it is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode a new local one where it is unset (tests)."""
     there = spark.conf.get("spark.checkpoint.dir", None)
     if not there:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         there = getattr(spark.sparkContext, "_tipoff_dir", None)
         if there is None:
             there = spark.sparkContext._tipoff_dir = "file://" + tempfile.mkdtemp(prefix="tipoff-shared-")

@@ -45,6 +45,7 @@ def grams(data: np.ndarray) -> np.ndarray:
     return ((h * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
 
 
+@_common.tidy
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch.column("lang").to_pylist()
@@ -147,6 +148,7 @@ def penalty(words: np.ndarray) -> np.ndarray:
     return 0.5 * np.log(words + 1.0) + 1
 
 
+@_common.tidy
 def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
         lang, score = [UNKNOWN] * b.num_rows, np.zeros(b.num_rows)

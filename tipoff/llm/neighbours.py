@@ -184,6 +184,7 @@ def _some(tree: KdTree, x: np.ndarray, ids: np.ndarray, v: np.ndarray, qids: np.
     return who, best_at[who, rank], best_s[who, rank]
 
 
+@_common.tidied
 def _meet(key: tuple, q: pa.Table, d: pa.Table, space: Space, k: int) -> pa.Table:
     if not q.num_rows or not d.num_rows:
         who = row = np.zeros(0, np.int64)
@@ -198,12 +199,14 @@ def _meet(key: tuple, q: pa.Table, d: pa.Table, space: Space, k: int) -> pa.Tabl
     return pa.table({"query_id": pa.array(qids[who], pa.int64()), "vec_id": pa.array(ids[row], pa.int64()), "score": pa.array(score, pa.float64())})
 
 
+@_common.tidy
 def _points(batches: Iterator[pa.RecordBatch], space: Space) -> Iterator[pa.RecordBatch]:
     for b in batches:
         p = space.points(matrix(b.column("v"), space.dim))
         yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array(list(p), pa.list_(pa.float64()))], names=["vec_id", "p"])
 
 
+@_common.tidy
 def _boxes(batches: Iterator[pa.RecordBatch], space: Space) -> Iterator[pa.RecordBatch]:
     """Rows, lowest and highest coordinates of each cell in a batch."""
     for b in batches:
@@ -214,6 +217,7 @@ def _boxes(batches: Iterator[pa.RecordBatch], space: Space) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(n), *(pa.array(z[:, i]) for z in (low, high) for i in range(DIMS))], names=["cell", "n", *(f"{z}{i}" for z in "lh" for i in range(DIMS))])
 
 
+@_common.tidy
 def _place(batches: Iterator[pa.RecordBatch], space: Space, copies: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The vectors by cell, part and the block of queries that they meet; cells that no query comes to are left out."""
     for b in batches:
@@ -226,6 +230,7 @@ def _place(batches: Iterator[pa.RecordBatch], space: Space, copies: np.ndarray)
         yield pa.RecordBatch.from_arrays([pa.array(c[row]), pa.array(part[row].astype(np.int64)), pa.array(block), b.column("vec_id").take(pa.array(row)), b.column("v").take(pa.array(row))], names=["cell", "part", "block", "vec_id", "v"])
 
 
+@_common.tidy
 def _route(batches: Iterator[pa.RecordBatch], space: Space, first: int, last: int) -> Iterator[pa.RecordBatch]:
     """The cells that each query still has to go to among its first to last - 1 nearest: those that the chi-square test leaves open."""
     for b in batches:

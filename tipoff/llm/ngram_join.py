@@ -37,7 +37,7 @@ SIZE, MIN_PERCENT, SLACK, FRAGMENTS = 5, 80, 10, 8
 #: Documents in a block of those apart from their centre's component, of those that they meet, and shingles counted at a time.
 NEAR_BLOCK, FAR_BLOCK, SLAB = 256, 1024, 4096
 #: Holders of a leading shingle from which their pairs are found in blocks rather than as rows.
-MANY_HOLDERS = 512
+MANY_HOLDERS = 4096
 TABLES = _text.byte_table(90, fold_case=True), _text.byte_table(91, fold_case=True)
 BASE, MULT = 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
 
@@ -66,6 +66,7 @@ def shingles(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return h[one], r[one]
 
 
+@_common.tidy
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, a 128-bit hash of the folded word sequence and the number of shingles."""
     for b in batches:
@@ -88,6 +89,7 @@ def at_least(n, percent: int = MIN_PERCENT):
     return (n * percent + 99) // 100
 
 
+@_common.tidy
 def _map(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Runs of leading shingles; kind 1 rows count, for documents of one chunk, those that another of them has too."""
     held, n = [], 0
@@ -126,6 +128,7 @@ def _map(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordB
         yield flush()
 
 
+@_common.tidied
 def _reduce(key: tuple, pdf: pd.DataFrame, groups: int) -> pd.DataFrame:
     """How many of each document's leading shingles in this bucket occur in other documents, packed by group of documents."""
     docs, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -156,11 +159,13 @@ def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return u, np.bincount(inv, values, len(u)).astype(np.int64)
 
 
+@_common.tidied
 def _gather(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     u, n = summed(*(np.concatenate([runs.unpack(x, np.int64) for x in pdf[c]]) for c in ("docs", "counts")))
     return pd.DataFrame({"doc_id": u, "shared": n})
 
 
+@_common.tidy
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i, j, data, offs in _text.slices(b, "text"):
@@ -191,6 +196,7 @@ def verified(pairs: DataFrame, kept: DataFrame) -> DataFrame:
     return got.filter(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * MIN_PERCENT).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+@_common.tidied
 def _block_links(u: pd.DataFrame, v: pd.DataFrame) -> pd.DataFrame:
     """Links of two blocks of documents with one centre: for each document of u, one with each other component that it is similar to."""
     none = pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
@@ -239,7 +245,7 @@ def same_centre_links(members: DataFrame, scratch: _common.Scratch) -> DataFrame
     u = d.filter("apart").select(*cols, here("fb").alias("ub"), every("mb").alias("vb"))
     v = d.select(*cols, here("mb").alias("vb"), every("fb").alias("ub")).toDF(*(f"{c}_" for c in [*cols, "vb", "ub"])).select(*(F.col(f"{c}_").alias(c) for c in [*cols, "vb", "ub"]))
     key = ["primary", "ub", "vb"]
-    return u.groupBy(*key).cogroup(v.groupBy(*key)).applyInPandas(_block_links, "u long, v long")
+    return u.groupBy(*key).cogroup(v.groupBy(*key)).applyInPandas(lambda a, b: _block_links(a, b), "u long, v long")
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
@@ -254,7 +260,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     real = seen.filter("doc_id is not null and n_shingles > 0")
     classes = scratch.keep(real.groupBy("w1", "w2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")), "classes")
     counted = docs.filter("doc_id is not null").mapInArrow(lambda it: _map(it, buckets), runs.PIECE).groupBy("bucket").applyInPandas(lambda k, p: _reduce(k, p, groups), "g long, docs binary, counts binary")
-    counted = counted.groupBy("g").applyInPandas(_gather, "doc_id long, shared long")
+    counted = counted.groupBy("g").applyInPandas(lambda k, p: _gather(k, p), "doc_id long, shared long")
     n = F.col("n_shingles")
     # of the leading shingles, at least 1 + floor(SLACK% of the smallest similar size) must occur elsewhere
     cand = classes.join(counted.hint("merge"), classes["rep"] == counted["doc_id"]).filter(F.col("shared") >= 1 + F.floor(ceil_percent(n) * SLACK / 100)).select("rep")

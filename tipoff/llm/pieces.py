@@ -266,6 +266,7 @@ def sample(data: np.ndarray, offs: np.ndarray, keys: np.ndarray, vocab: Pieces,
     return out[placed], np.diff(np.r_[0, np.cumsum(placed)][offs])
 
 
+@_common.tidy
 def _encode(batches: Iterator[pa.RecordBatch], model: bytes, key: str, temperature: float, seed: int, digest: bool) -> Iterator[pa.RecordBatch]:
     vocab = Pieces(model, temperature)
     for b in batches:
@@ -300,6 +301,7 @@ def encode(docs: DataFrame, path: str = MODEL, temperature: float = TEMPERATURE,
     return docs.mapInArrow(lambda it: _encode(it, model, "doc_id", temperature, seed, False), schema)
 
 
+@_common.tidy
 def _decode(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:
     vocab = Pieces(model)
     for b in batches:

@@ -252,6 +252,7 @@ def suspects(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.unique(np.array(found, np.int64))
 
 
+@_common.tidy
 def _scan(batches: Iterator[pa.RecordBatch], redact: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = batch.num_rows
@@ -297,6 +298,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(lambda it: _scan(it, redact=True), docs.schema)
 
 
+@_common.tidy
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out: dict[str, list] = {k: [] for k in ("n_assign", "n_access", "n_hex", "base_sha256", "spans")}

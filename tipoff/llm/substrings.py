@@ -75,6 +75,7 @@ def _chunk_rows(h, v, doc, pos, buckets: int):
             yield int(b), 1, runs.pack(d[new][k]), runs.pack(p[new][k].astype(np.int32)), runs.pack((p[last][k] + 1).astype(np.int32))
 
 
+@_common.tidy
 def _map(batches: Iterator[pa.RecordBatch], buckets: int, seed: int) -> Iterator[pa.RecordBatch]:
     win, held, n = Windows(seed), [], 0
 
@@ -108,6 +109,7 @@ def _by_group(kind: int, groups: int, doc, x, y) -> list[tuple]:
     return [(-1, kind, int(g[a]), runs.pack(np.diff(doc[a:b], prepend=0)), runs.pack(x[a:b]), runs.pack(y[a:b])) for a, b in zip(lim[:-1], lim[1:], strict=True)]
 
 
+@_common.tidied
 def _merge(key: tuple, index: pd.DataFrame, new: pd.DataFrame, groups: int, keep_run: bool) -> pd.DataFrame:
     """Merge-join one bucket of a batch with the index.
 
@@ -140,6 +142,7 @@ def _merge(key: tuple, index: pd.DataFrame, new: pd.DataFrame, groups: int, keep
     return pd.DataFrame(out, columns=["bucket", "kind", "g", "docs", "x", "y"])
 
 
+@_common.tidied
 def _compact(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     """One run of a bucket from several: the smallest document of each hash stays."""
     h = np.concatenate([runs.unpack_sorted(x) for x in pdf.x])
@@ -186,7 +189,7 @@ class FingerprintIndex:
                 every = same[0]
                 for r in same[1:]:
                     every = every.unionByName(r)
-                merged = self.scratch.keep(every.groupBy("bucket").applyInPandas(_compact, RUN), "run")
+                merged = self.scratch.keep(every.groupBy("bucket").applyInPandas(lambda k, p: _compact(k, p), RUN), "run")
                 self.runs = [(t, r) for t, r in self.runs if t != tier] + [(tier + 1, merged)]
                 self.compactions += 1
             tier += 1
@@ -241,6 +244,7 @@ def _removed(docs: list[tuple[int, bytes]], found: pd.DataFrame, seed: int) -> t
     return out, balance
 
 
+@_common.tidied
 def _finish(docs: pd.DataFrame, found: pd.DataFrame, seed: int, texts: bool) -> pd.DataFrame:
     """Removed words and the kept words' digest of a group of documents; its first row has the verification sum."""
     rows = [(None if pd.isna(i) else int(i), (t or "").encode()) for i, t in zip(docs.doc_id, docs.text, strict=True)]

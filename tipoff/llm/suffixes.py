@@ -80,6 +80,7 @@ def stretches(data: np.ndarray, offs: np.ndarray):
     return row[first], g[place[first]], ok[first], ok[last], place[first]
 
 
+@_common.tidy
 def _map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         k1, k2 = (b.column(c).to_numpy(zero_copy_only=False) for c in ("k1", "k2"))
@@ -95,6 +96,7 @@ def _map(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+@_common.tidy
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of the wanted stretches of each text."""
     for b in batches:
@@ -178,6 +180,7 @@ def group_matches(group: list[tuple]) -> list[tuple]:
     return out
 
 
+@_common.tidy
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups of one anchor follow each other; each is at most MAX_GROUP stretches."""
     held, now, out = [], None, []
@@ -200,6 +203,7 @@ def _matches(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["e1", "e2", "starts", "ends"])
 
 
+@_common.tidy
 def _windows(batches: Iterator[pa.RecordBatch], cores: bool) -> Iterator[pa.RecordBatch]:
     """Digests of the cores of stretches (t: group of offsets before the anchor), or of the windows in the groups listed in `ts`."""
     for b in batches:
@@ -224,6 +228,7 @@ def _windows(batches: Iterator[pa.RecordBatch], cores: bool) -> Iterator[pa.Reco
 WINDOW = "w1 long, w2 long, e1 long, e2 long, t int, whole boolean"
 
 
+@_common.tidy
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out: dict[str, list] = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": [], "kept": []}

@@ -55,6 +55,7 @@ def features(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return row, word, np.stack(cols, 1)
 
 
+@_common.tidy
 def _presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct features of each training row, summed by label within the batch."""
     for batch in batches:
@@ -188,6 +189,7 @@ def passages(batch: pa.RecordBatch, model: Model) -> Iterator[tuple[int, int, li
             yield i + r, int(lim[r + 1] - lim[r]), maximal_segments(p - lim[r], score[p], DRIFT) if len(p) and (score[p] > 0).any() else []
 
 
+@_common.tidy
 def _evidence(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
         x = np.zeros(b.num_rows)
@@ -200,6 +202,7 @@ def _evidence(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(x), pa.array(model.score(x)), starts, ends], names=["doc_id", "evidence", "score", "starts", "ends"])
 
 
+@_common.tidy
 def _background(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Best segment score and number of tokens of rows labelled 0."""
     for b in batches:
@@ -249,6 +252,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAI
     return docs.mapInArrow(lambda it: _evidence(it, model), EVIDENCE)
 
 
+@_common.tidy
 def _keep_clean(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     for b in batches:
         x = np.array([model.evidence(s, n) for _, n, s in passages(b, model)])
