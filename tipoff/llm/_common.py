@@ -93,13 +93,14 @@ class Scratch:
         self.base = f"{shared_dir(spark)}/tipoff-{uuid.uuid4().hex}"
         self.n, self.tables = 0, []
 
-    def keep(self, df: DataFrame, name: str = "t") -> DataFrame:
+    def keep(self, df: DataFrame, name: str = "t", by: str | None = None) -> DataFrame:
+        """The frame as a written table; with `by`, a folder for each of that column's few values, which can be dropped by itself."""
         self.n += 1
         path = f"{self.base}/{self.n}-{name}"
         was = self.spark.conf.get(CLEAN, None)
         self.spark.conf.set(CLEAN, "true")  # the job's shuffle files have no reader after the table is written
         try:
-            df.write.parquet(path)
+            (df.write.partitionBy(by) if by else df.write).parquet(path)
         finally:
             self.spark.conf.unset(CLEAN) if was is None else self.spark.conf.set(CLEAN, was)
         out = self.spark.read.schema(df.schema).parquet(path)
@@ -117,11 +118,11 @@ class Scratch:
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
-    def drop(self, *tables: DataFrame) -> None:
-        """Delete tables that nothing reads any more."""
+    def drop(self, *tables: DataFrame, folder: str = "") -> None:
+        """Delete tables, or one folder of each, that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm
         for t in tables:
-            p = jvm.org.apache.hadoop.fs.Path(t._tipoff_path)
+            p = jvm.org.apache.hadoop.fs.Path(t._tipoff_path + folder)
             p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 

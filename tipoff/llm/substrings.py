@@ -163,6 +163,7 @@ class FingerprintIndex:
         self.spark, self.buckets, self.groups, self.seed = spark, buckets, runs.groups_of(buckets), seed
         self.scratch = scratch or _common.Scratch(spark)
         self.runs: list[tuple[int, DataFrame]] = []  # with their tiers
+        self.folders: list[tuple[DataFrame, str]] = []  # where each run is
         self.compactions = 0
 
     def add(self, docs: DataFrame, keep_run: bool = True) -> DataFrame:
@@ -173,27 +174,38 @@ class FingerprintIndex:
         for _, r in self.runs:
             index = index.unionByName(r)
         got = index.groupBy("bucket").cogroup(new.groupBy("bucket")).applyInPandas(lambda k, a, b: _merge(k, a, b, groups, keep_run), FOUND)
-        got = self.scratch.keep(got, "matches")
+        got = self.scratch.keep(got, "matches", by="kind")
         self.scratch.free()
         if keep_run:
             self.runs.append((0, got.filter("kind = 2").select("bucket", "x", "y")))
+            self.folders.append((got, "/kind=2"))
             self.compact()
-        return got.filter("kind < 2").drop("bucket")
+        return got.filter("kind < 2").select("kind", "g", "docs", "x", "y")
 
     def compact(self) -> None:
         """Merge the runs of a tier into one of the next as long as a tier has FAN_OUT runs."""
         tier = 0
         while any(t >= tier for t, _ in self.runs):
-            same = [r for t, r in self.runs if t == tier]
+            same = [k for k, (t, _) in enumerate(self.runs) if t == tier]
             if len(same) >= FAN_OUT:
-                every = same[0]
-                for r in same[1:]:
-                    every = every.unionByName(r)
+                every = self.runs[same[0]][1]
+                for k in same[1:]:
+                    every = every.unionByName(self.runs[k][1])
                 merged = self.scratch.keep(every.groupBy("bucket").applyInPandas(lambda k, p: _compact(k, p), RUN), "run")
-                self.runs = [(t, r) for t, r in self.runs if t != tier] + [(tier + 1, merged)]
+                for k in same:  # the runs that it replaces go
+                    self.scratch.drop(self.folders[k][0], folder=self.folders[k][1])
+                rest = [k for k in range(len(self.runs)) if k not in same]
+                self.folders = [self.folders[k] for k in rest] + [(merged, "")]
+                self.runs = [self.runs[k] for k in rest] + [(tier + 1, merged)]
                 self.compactions += 1
             tier += 1
 
+    def close(self) -> None:
+        """Delete the runs; what add() returned stays."""
+        for table, folder in self.folders:
+            self.scratch.drop(table, folder=folder)
+        self.runs, self.folders = [], []
+
 
 def _removed(docs: list[tuple[int, bytes]], found: pd.DataFrame, seed: int) -> tuple[dict[int, np.ndarray], int]:
     """Mask of removed words by place in docs, for documents with matches; and the sum that verifies the matches."""
@@ -286,6 +298,7 @@ def remove_repeats(docs: DataFrame, batches: tuple[float, ...] = BATCHES, texts:
             upto = F.lit(True) if cuts[k + 1] is None else F.col("doc_id") <= cuts[k + 1]
             got = index.add(docs.filter(after & upto))
             found = got if found is None else found.unionByName(got)
+        index.close()  # the query needs its matches only
         # a null id has a group of its own by hash of the text, so such rows don't meet in one task
         g = F.coalesce(F.pmod("doc_id", F.lit(index.groups)), F.pmod(F.xxhash64("text"), F.lit(index.groups)))
         done = docs.withColumn("g", g).groupBy("g").cogroup(found.groupBy("g")).applyInPandas(_finisher(seed, texts), APPLIED)
