@@ -126,11 +126,11 @@ def _(t):
 
 
 @recipe("24_rolling_form", """WITH top AS (SELECT l_suppkey AS p FROM lineitem GROUP BY 1 ORDER BY sum(l_quantity) DESC, 1 LIMIT 1)
-SELECT l_orderkey AS game_id, l_linenumber AS line, l_quantity AS pts, round(avg(l_quantity) OVER (ORDER BY o_orderdate, l_orderkey, l_linenumber ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 5) AS form FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN top ON l_suppkey = p""")
+SELECT l_orderkey AS game_id, l_linenumber AS line, l_quantity AS pts, round(avg(l_quantity) OVER (ORDER BY o_orderdate, l_orderkey, l_linenumber, l_quantity ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 5) AS form FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN top ON l_suppkey = p""")
 def _(t):
     top = t.lineitem.groupBy("l_suppkey").agg(F.sum("l_quantity").alias("q")).orderBy(F.desc("q"), "l_suppkey").limit(1).select(c("l_suppkey").alias("p"))
     g = lines(t).join(F.broadcast(top), c("l_suppkey") == c("p"))  # one row: the top scorer
-    g = W.trailing_mean(g, ["l_suppkey"], [c("o_orderdate"), c("l_orderkey"), c("l_linenumber")], "l_quantity", [5])
+    g = W.trailing_mean(g, ["l_suppkey"], [c("o_orderdate"), c("l_orderkey"), c("l_linenumber"), c("l_quantity")], "l_quantity", [5])
     return g.select(c("l_orderkey").alias("game_id"), c("l_linenumber").alias("line"), c("l_quantity").alias("pts"), F.round("l_quantity_avg_5", 5).alias("form"))
 
 
