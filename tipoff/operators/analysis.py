@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tipoff.operators import windows as W
+from tipoff.sources import sinks
 
 
 def with_average(df: DataFrame, name: str, metrics: list[str], label: str = "average") -> DataFrame:
@@ -220,7 +221,14 @@ def walk_forward(df: DataFrame, season: str, features: list[str], label: str, se
     from pyspark.ml.functions import vector_to_array
 
     two = {"ml_attr": {"type": "nominal", "vals": ["0", "1"]}}  # also where the earlier seasons have one label only
-    df = df.select(season, *features, F.col(label).cast("double").alias(label, metadata=two)).cache()
+    base_path = sinks.work_dir(df.sparkSession)
+
+    def keep(frame: DataFrame, name: str) -> DataFrame:
+        """Written, as every later season reads it; the label's kinds are told again."""
+        frame.write.parquet(f"{base_path}/{name}")
+        return frame.sparkSession.read.schema(frame.schema).parquet(f"{base_path}/{name}").withColumn(label, F.col(label).alias(label, metadata=two))
+
+    df = keep(df.select(season, *features, F.col(label).cast("double").alias(label)), "games")
     sizes = {r[0]: r[1] for r in df.filter(F.col(season).isNotNull()).groupBy(season).count().orderBy(season).collect()}  # a row per season
     known = list(sizes)
     wanted = known[3:] if seasons is None else seasons
@@ -231,7 +239,8 @@ def walk_forward(df: DataFrame, season: str, features: list[str], label: str, se
         past, here = df.filter(F.col(season) < s), df.filter(F.col(season) == s)
         steps = [Imputer(strategy="median", inputCols=features, outputCols=filled), VectorAssembler(inputCols=filled, outputCol="_x", handleInvalid="keep")]
         steps += [m(featuresCol="_x", labelCol=label, seed=42).setProbabilityCol(f"_p{k}").setRawPredictionCol(f"_r{k}").setPredictionCol(f"_c{k}") for k, m in enumerate((GBTClassifier, RandomForestClassifier))]
-        got = Pipeline(stages=steps).fit(past).transform(here).select(season, label, *(vector_to_array(f"_p{k}")[1].alias(f"_b{k}") for k in (0, 1))).cache()
+        got = Pipeline(stages=steps).fit(past).transform(here).select(season, label, *(vector_to_array(f"_p{k}")[1].alias(f"_b{k}") for k in (0, 1)))
+        got = keep(got, f"predicted-{len(base)}")
         before = [x for x in base if x < s]
         if s in wanted:
             if sum(sizes[x] for x in before) < least:
@@ -241,7 +250,7 @@ def walk_forward(df: DataFrame, season: str, features: list[str], label: str, se
                 for x in before[1:]:
                     learned = learned.unionByName(base[x])
                 steps = [VectorAssembler(inputCols=["_b0", "_b1"], outputCol="_x"), LogisticRegression(featuresCol="_x", labelCol=label, probabilityCol="_pr", maxIter=1000)]
-                learned = learned.withColumn(label, F.col(label).alias(label, metadata=two))
+                learned = learned.withColumn(label, F.col(label).alias(label, metadata=two))  # a union drops it
                 blend = Pipeline(stages=steps).fit(learned).transform(got).select(season, label, vector_to_array("_pr")[1].alias("probability"))
             out = out.unionByName(blend)
         base[s] = got
