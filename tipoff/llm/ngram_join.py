@@ -284,8 +284,8 @@ def similar_components(docs: DataFrame) -> DataFrame:
     links = scratch.keep(verified(first, kept), "links")
     comps = components(links, scratch)
     # a document's primary centre is the one that most documents share; a centre of more than its own centres have is its own
-    reach = star.groupBy("c").agg(F.count(F.lit(1)).alias("reach"))
-    best = star.join(reach.hint("merge"), "c").groupBy("rep").agg(F.max(F.struct("reach", (-F.col("c")).alias("c"))).alias("m"))
+    reach = scratch.keep(star.groupBy("c").agg(F.count(F.lit(1)).alias("reach")), "reach")
+    best = star.hint("merge").join(reach.hint("merge"), "c").groupBy("rep").agg(F.max(F.struct("reach", (-F.col("c")).alias("c"))).alias("m"))
     place = kept.select("rep").join(comps.select(F.col("node").alias("rep"), "component").hint("merge"), "rep", "left").join(best.hint("merge"), "rep", "left")
     place = place.join(reach.withColumnRenamed("reach", "own").withColumnRenamed("c", "rep").hint("merge"), "rep", "left")
     primary = F.when(F.coalesce("m.reach", F.lit(0)) > F.coalesce("own", F.lit(0)), -F.col("m.c")).otherwise(F.col("rep"))
