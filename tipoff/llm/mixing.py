@@ -164,6 +164,7 @@ def copies(taken: DataFrame, n_docs: int, seed: int = SEED) -> DataFrame:
     weight = F.col("rows") * F.col("size")
     per = per.withColumn("stretch", F.floor(F.log2(weight) * 4) * n + F.pmod(F.xxhash64(*key), F.lit(n))).withColumn("of", F.xxhash64("source"))
     per = per.withColumn("part", F.floor((F.col("share") - F.floor("share")) * one))  # fixed point: sums don't depend on their order
+    per = _common.Scratch(taken.sparkSession).keep(per, "shares")  # read twice below
     order = Window.partitionBy("of", "stretch").orderBy(weight, *key).rowsBetween(Window.unboundedPreceding, 0)
     per = per.withColumn("to", F.sum("part").over(order)).join(offsets(per, "of", "part"), ["of", "stretch"])
     start = F.pmod(F.xxhash64("source", F.lit(seed)), F.lit(one)) + F.col("base")
