@@ -172,3 +172,35 @@ def mixed(rows, weights, most, block, shards, seed):
             taken[j] = taken.get(j, 0) + times[at // block]
         out += [(r[0], s, r[2], goal[s], taken.get(j, 0)) for j, r in enumerate(rows) if r[1] == s]
     return out
+
+
+def contamination(rows, items, window=10, near_terms=4, within=20):
+    """rows: texts; items: (item_id, text); [(n_words, n_hit, sorted item_ids, near item_ids)] in the order of rows."""
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    find = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(low))
+    windows, bags = {}, {}
+    for i, t in items:
+        w = find(t)
+        for k in range(max(1, len(w) - window + 1) if w else 0):
+            windows.setdefault(tuple(w[k : k + window]), set()).add(i)
+        if w and i is not None:
+            bags.setdefault(str(i), set()).update(w)
+    texts = [find(t) for t in rows]
+    count = {}
+    for w in texts:
+        for x in w:
+            count[x] = count.get(x, 0) + 1
+    rare = {i: sorted(b, key=lambda x: (count.get(x, 0), x.encode()))[:near_terms] for i, b in bags.items()}
+    sizes = {len(g) for g in windows}
+    out = []
+    for w in texts:
+        hit, named = set(), set()
+        for n in sizes:
+            for k in range(len(w) - n + 1):
+                g = tuple(w[k : k + n])
+                if g in windows:
+                    hit.update(range(k, k + n))
+                    named |= {str(i) for i in windows[g] if i is not None}
+        near = {i for i, terms in rare.items() if any(set(terms) <= set(w[k : k + within]) for k in range(len(w)))}
+        out.append((len(w), len(hit), sorted(named), sorted(near)))
+    return out
