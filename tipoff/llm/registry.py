@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tipoff.llm import contamination, fingerprints, language, mixing, neighbours, ngram_join, pieces, secrets, substrings, suffixes, toxicity
+from tipoff.llm import centroids, codes, contamination, fingerprints, language, mixing, neighbours, ngram_join, pieces, secrets, substrings, suffixes, toxicity
 
-MODULES = (contamination, fingerprints, language, mixing, neighbours, ngram_join, pieces, secrets, substrings, suffixes, toxicity)
+MODULES = (centroids, codes, contamination, fingerprints, language, mixing, neighbours, ngram_join, pieces, secrets, substrings, suffixes, toxicity)
 
 
 def queries() -> dict:
