@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tipoff.sources.commits import Conflict, Folder
+
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder in the cluster's shared folder (spark.checkpoint.dir); in local mode, a local one where that is unset."""
@@ -21,9 +23,29 @@ def work_dir(spark: SparkSession) -> str:
 
 
 def write_parquet(df: DataFrame, path: str, by: str | None = None) -> None:
-    """Replace a Parquet table (zstd); with `by`, one folder a value, rows dealt so that a task writes few folders."""
-    w = (df.repartition(by) if by else df).write.mode("overwrite").option("compression", "zstd")
-    (w.partitionBy(by) if by else w).parquet(path)
+    """Replace a Parquet table (zstd); with `by`, one folder a value.
+
+    Rows are dealt by value and split by size (Spark's rebalancing, files of spark.sql.adaptive.advisoryPartitionSizeInBytes): a value with most
+    of the rows is written by many tasks, small values share one. The table is written beside the path and then renamed into
+    place, so what is there stays readable until the new one is whole.
+    """
+    whole, name = path.rstrip("/").rsplit("/", 1)
+    folder, new, old = Folder(df.sparkSession, whole), f".new-{name}-{uuid.uuid4().hex}", f".old-{name}-{uuid.uuid4().hex}"
+    w = (df.hint("rebalance", by) if by else df).write.option("compression", "zstd")
+    (w.partitionBy(by) if by else w).parquet(f"{whole}/{new}")
+    try:
+        folder.rename(new, name)
+    except Conflict:
+        folder.rename(name, old)
+        folder.rename(new, name)
+        folder.delete(old)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame as it is now, as a written table."""
+    path = work_dir(df.sparkSession) + "/t"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

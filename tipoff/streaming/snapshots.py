@@ -2,30 +2,52 @@
 
 from __future__ import annotations
 
+import json
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def replay_snapshots(spark: SparkSession, landing: str, out: str, state: str, keys: list[str], source: str, schema: StructType) -> None:
-    """Append landed files to a snapshot table: all that is new since the last run, each batch once.
+STORE = "spark.sql.streaming.stateStore"
+#: A state store on local disk with a log of changes: a batch reads and writes its own keys, whatever the history's size.
+ROCKS = {f"{STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", f"{STORE}.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for a while."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
 
-    A batch writes its own folder, so a batch that is run again after a failure replaces what it wrote. Rows without a
-    natural key are refused, exact duplicates are removed: a row whose key and row hash an earlier batch holds. Only those two
-    columns of the history are read.
+def replay_snapshots(spark: SparkSession, landing: str, out: str, state: str, keys: list[str], source: str, schema: StructType, at: str | None = None, delay: str | None = None) -> list[dict]:
+    """Append landed files to a snapshot table: all that is new since the last run, each batch once. The progress of each batch.
+
+    Rows without a natural key are refused. Exact duplicates (same key and row hash) are removed by streaming state: the query keeps
+    the keys and hashes that it has seen in its state store, so a batch looks up its own rows and reads none of the table. With a time column
+    `at` and a `delay`, duplicates count within the watermark only and older state is dropped. A batch writes its own folder, so one that is
+    run again after a failure replaces what it wrote, from the same state.
     """
-    stamp = F.xxhash64(*(F.col(c) for c in schema.names)).alias("row_hash")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).option("recursiveFileLookup", True).parquet(landing)
+    rows = stream.dropna(subset=keys).withColumn("row_hash", F.xxhash64(*(F.col(c) for c in schema.names)))
+    rows = rows.withWatermark(at, delay).dropDuplicatesWithinWatermark([*keys, "row_hash"]) if at and delay else rows.dropDuplicates([*keys, "row_hash"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.dropna(subset=keys).dropDuplicates().select("*", stamp)
-        if batch_id:  # rows that earlier batches hold
-            seen = batch.sparkSession.read.parquet(out).filter(F.col("batch_id") < batch_id).select(*keys, "row_hash")
-            rows = rows.join(seen, [*keys, "row_hash"], "left_anti").select(*batch.columns, "row_hash")
-        rows = rows.withColumn("source_endpoint", F.lit(source)).withColumn("snapshot_at", F.current_timestamp())
-        rows.withColumn("snapshot_date", F.to_date("snapshot_at")).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        stamped = batch.withColumn("source_endpoint", F.lit(source)).withColumn("snapshot_at", F.current_timestamp())
+        stamped.withColumn("snapshot_date", F.to_date("snapshot_at")).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).option("recursiveFileLookup", True).parquet(landing)
-    stream.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
+    with settings(spark, ROCKS):
+        query = rows.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
+        query.awaitTermination()
+    return [json.loads(p.json) for p in query.recentProgress]
 
 
 def merge_marks(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -34,8 +56,8 @@ def merge_marks(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def refresh_partitions(df: DataFrame, path: str, by: str) -> None:
-    """Replace only the partitions that a frame holds."""
-    df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    """Replace only the partitions that a frame holds; a large one is written by several tasks."""
+    df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
 def attempt_status(log: DataFrame, keys: list[str], order: str, failed: Column, cap: int) -> DataFrame:
