@@ -40,11 +40,15 @@ def wilson(makes: Column, attempts: Column, confidence: float = 0.95) -> tuple[C
     return mid - half, mid + half
 
 
+def moments(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
+    """One row: size, mean and sample variance of two groups (na, ma, va, nb, mb, vb)."""
+    of = lambda f, g: f(F.when(F.col(group) == g, F.col(value)))
+    return df.agg(*(of(f, g).alias(n + k) for k, g in (("a", a), ("b", b)) for n, f in (("n", F.count), ("m", F.avg), ("v", F.var_samp))))
+
+
 def welch(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
     """Welch's t, its degrees of freedom, and Cohen's d of two groups, from moments."""
-    m = lambda g: (F.count(F.when(F.col(group) == g, F.col(value))), F.avg(F.when(F.col(group) == g, F.col(value))), F.var_samp(F.when(F.col(group) == g, F.col(value))))
-    (na, ma, va), (nb, mb, vb) = m(a), m(b)
-    s = df.agg(na.alias("na"), ma.alias("ma"), va.alias("va"), nb.alias("nb"), mb.alias("mb"), vb.alias("vb"))
+    s = moments(df, group, a, b, value)
     ea, eb = F.col("va") / F.col("na"), F.col("vb") / F.col("nb")
     pooled = F.sqrt(((F.col("na") - 1) * F.col("va") + (F.col("nb") - 1) * F.col("vb")) / (F.col("na") + F.col("nb") - 2))
     diff = F.col("ma") - F.col("mb")
@@ -52,11 +56,12 @@ def welch(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
 
 
 def rank_sum(df: DataFrame, group: str, a: str, b: str, value: str) -> DataFrame:
-    """Mann-Whitney U of group a. Average ranks come from counts of each distinct value, added up over ranges of values."""
+    """Mann-Whitney U of group a, sizes, and the tie term (sum of t^3 - t). Average ranks come from counts of each distinct value, added up over ranges of values."""
     n = df.filter(F.col(group).isin(a, b)).groupBy(value).agg(F.count_if(F.col(group) == a).alias("na"), F.count_if(F.col(group) == b).alias("nb"))
     below = W.global_running(n.withColumn("c", F.col("na") + F.col("nb")), [value], F.col("c"), "upto")
     r = below.withColumn("rank", F.col("upto") - (F.col("c") - 1) / 2)
-    return r.agg((F.sum(F.col("na") * F.col("rank")) - F.sum("na") * (F.sum("na") + 1) / 2).alias("u"), F.sum("na").alias("na"), F.sum("nb").alias("nb"))
+    t = F.col("c").cast("double")
+    return r.agg((F.sum(F.col("na") * F.col("rank")) - F.sum("na") * (F.sum("na") + 1) / 2).alias("u"), F.sum("na").alias("na"), F.sum("nb").alias("nb"), F.sum(t * t * t - t).alias("ties"))
 
 
 def streaks(df: DataFrame, keys: list[str], order: list[Column], outcome: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tipoff.operators.reshape import typed
+from tipoff.operators.windows import dense_key
 
 
 def conform(df: DataFrame, schema: dict[str, str], optional: set[str] = frozenset()) -> DataFrame:
@@ -78,14 +79,15 @@ def gaps(expected: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     return expected.select(*keys).distinct().join(done.select(*keys).distinct(), keys, "left_anti")
 
 
-def status_matrix(expected: DataFrame, actual: DataFrame, journal: DataFrame, keys: list[str]) -> DataFrame:
+def status_matrix(expected: DataFrame, actual: DataFrame, journal: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
     """Each scope's status from what was expected, found and journalled; the first rule that holds names it.
 
-    expected: keys; actual: keys, rows; journal: keys, status (done, failed, abandoned, running, skipped).
+    expected: keys; actual: keys, rows; journal: keys, status (done, failed, abandoned, running, skipped), and the column that orders a scope's
+    entries if it may have several: the last one counts.
     """
     x = expected.select(*keys, F.lit(True).alias("e")).distinct()
     a = actual.groupBy(*keys).agg(F.sum("rows").alias("rows"))
-    j = journal.groupBy(*keys).agg(F.max("status").alias("status"))
+    j = journal.groupBy(*keys).agg((F.max_by("status", order) if order else F.max("status")).alias("status"))
     all_ = x.join(a, keys, "full").join(j, keys, "full")
     e, r, s = F.coalesce("e", F.lit(False)), F.coalesce("rows", F.lit(0)), F.col("status")
     rule = (
@@ -143,3 +145,94 @@ def schema_versions(columns: DataFrame, keys: list[str], at: str, allowed: Colum
     x = x.withColumn("added", F.when(F.col("was").isNotNull(), F.array_except("cols", "was"))).withColumn("removed", F.when(F.col("was").isNotNull(), F.array_except("was", "cols")))
     gone = F.coalesce(F.size("removed") > 0, F.lit(False))
     return x.withColumn("refused", gone & ~(allowed if allowed is not None else F.lit(False))).drop("was", "old")
+
+
+def inferred_keys(columns: list[str], named: tuple[str, ...] = ("game_id", "player_id", "team_id", "event_num"), suffixes: tuple[str, ...] = ("_id",), most: int = 4) -> list[str]:
+    """A table's likely key by convention: the named columns that it has, else its first columns with a key suffix."""
+    return ([c for c in named if c in columns] or [c for c in columns if c.endswith(suffixes)])[:most]
+
+
+def stat_columns(df: DataFrame, suffixes: tuple[str, ...] = ("_id",), most: int = 15) -> list[str]:
+    """The first numeric columns that aren't keys."""
+    numeric = [c for c, t in df.dtypes if t in ("tinyint", "smallint", "int", "bigint", "float", "double") or t.startswith("decimal")]
+    return [c for c in numeric if not c.endswith(suffixes)][:most]
+
+
+def schema_checks(tables: dict[str, DataFrame], critical: set[str], facts: set[str], suffixes: tuple[str, ...] = ("_id",), named: tuple[str, ...] = (), zero_share: float = 0.05, least_stats: int = 5) -> DataFrame:
+    """Checks made from each table's schema, one aggregation a table: nulls in critical columns, rows beyond the first of each inferred key, and, for fact tables with
+    at least five statistics, rows in which the first 15 of them are all zero or null.
+
+    table, check, columns, n (rows that break it), total, severity: error for over 1 % null keys, warning for fewer and for repeated
+    keys, info for over zero_share of all-zero rows; null where there is nothing to report.
+    """
+    out = None
+    for name, df in tables.items():
+        total, checks = F.count(F.lit(1)), []
+        for col in sorted(critical & set(df.columns)):
+            n = F.count_if(F.col(col).isNull())
+            checks.append(("null_key_column", col, n, F.when(n > 0.01 * total, "error").when(n > 0, "warning")))
+        keys = inferred_keys(df.columns, named, suffixes)
+        if keys:
+            n = total - F.count_distinct(F.struct(*keys))
+            checks.append(("duplicate_keys", ",".join(keys), n, F.when(n > 0, "warning")))
+        stats = stat_columns(df, suffixes)
+        if name in facts and len(stats) >= least_stats:
+            zero = F.lit(True)
+            for col in stats:
+                zero = zero & (F.coalesce(F.col(col), F.lit(0)) == 0)
+            n = F.count_if(zero)
+            checks.append(("zero_stat_rows", ",".join(stats), n, F.when(n > zero_share * total, "info")))
+        if not checks:
+            continue
+        one = df.agg(total.alias("total"), *(F.struct(F.lit(check).alias("check"), F.lit(cols).alias("columns"), n.cast("long").alias("n"), severity.alias("severity")).alias(f"c{k}") for k, (check, cols, n, severity) in enumerate(checks)))
+        one = one.select("total", F.explode(F.array(*(f"c{k}" for k in range(len(checks))))).alias("c")).select(F.lit(name).alias("table"), "c.check", "c.columns", "c.n", "total", "c.severity")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def coverage_status(expected: DataFrame, actual: DataFrame, journal: DataFrame, tables: DataFrame) -> DataFrame:
+    """What is there of each expected table, season and type, by the first rule that holds.
+
+    expected: table, endpoint, season, type (null: any), staged; actual: table, season, type, rows; journal: endpoint, season, type, item, attempt, status, rows (the last
+    attempt of an item counts); tables: table, has_season, has_type, rows, a row for each table that is there. A typed scope that has no
+    journal entry takes its season's entries, and a table without a type column its season's rows.
+    """
+    last = journal.groupBy("endpoint", "season", "type", "item").agg(F.max_by(F.struct("status", "rows"), "attempt").alias("e")).select("endpoint", "season", "type", "e.*")
+    marks = ("done", "failed", "running", "abandoned")
+    count = [F.count_if(F.col("status") == m).alias(m) for m in marks] + [F.sum("rows").alias("extracted")]
+    both = lambda p: [F.col(m).alias(f"{p}_{m}") for m in (*marks, "extracted")]
+    exact_j = last.groupBy("endpoint", "season", F.col("type").alias("t")).agg(*count).select("endpoint", "season", F.col("t").alias("type"), *both("x"))
+    any_j = last.groupBy("endpoint", "season").agg(*count).select("endpoint", "season", *both("s"))
+    exact_a = actual.groupBy("table", "season", "type").agg(F.sum("rows").alias("x_rows"))
+    any_a = actual.groupBy("table", "season").agg(F.sum("rows").alias("s_rows"))
+    x = expected.join(exact_a, ["table", "season", "type"], "left").join(any_a, ["table", "season"], "left")
+    x = x.join(exact_j, ["endpoint", "season", "type"], "left").join(any_j, ["endpoint", "season"], "left")
+    x = x.join(tables.withColumnRenamed("rows", "table_rows").withColumn("exists", F.lit(True)), "table", "left")
+    typed, season_rows = F.col("type").isNotNull(), F.coalesce("s_rows", F.lit(0))
+    own = typed & F.col("x_done").isNotNull()
+    of = {m: F.coalesce(F.when(own, F.col(f"x_{m}")).otherwise(F.col(f"s_{m}")), F.lit(0)) for m in (*marks, "extracted")}
+    rows = F.when(typed, F.coalesce("x_rows", F.lit(0))).otherwise(season_rows)
+    untyped = typed & ~F.coalesce("has_type", F.lit(False)) & (season_rows > 0)
+    guessed = ~F.coalesce("has_season", F.lit(False)) & (F.coalesce("table_rows", F.lit(0)) > 0) & (of["done"] > 0) & (of["extracted"] > 0)
+    status = (
+        F.when(~F.coalesce("staged", F.lit(False)), "contract_gap").when(F.col("exists").isNull(), "missing_table").when(rows > 0, "present").when(untyped, "present_untyped").when(guessed, "present_inferred")
+        .when(of["done"] > 0, "empty_valid").when(of["failed"] > 0, "failed").when(of["running"] > 0, "running").when(of["abandoned"] > 0, "abandoned").otherwise("missing")
+    )
+    found = F.when(status == "present_untyped", season_rows).when(status == "present_inferred", of["extracted"]).otherwise(rows)
+    scope = F.when(status == "present_untyped", "season_without_type").when(status == "present_inferred", "journal").when(typed, "season_type").otherwise("season")
+    return x.select("table", "season", "type", status.alias("status"), found.alias("rows"), scope.alias("scope"))
+
+
+def work_plan(pairs: DataFrame, item: str, season: str, kind: str, shards: int) -> DataFrame:
+    """Work of each item (for example a player): seasons that need exactly the same types go together, and items are dealt into shards of near-equal load.
+
+    item, types and seasons (comma-separated), load (pairs of the group), shard. Items are numbered by load (largest first, then by item) without
+    a one-task sort, and dealt there and back over the shards, so that loads differ by at most one item's.
+    """
+    by_season = pairs.select(item, season, kind).dropna().groupBy(item, season).agg(F.array_join(F.sort_array(F.collect_set(F.col(kind).cast("string"))), ",").alias("types"), F.count_distinct(kind).alias("n"))
+    groups = by_season.groupBy(item, "types").agg(F.array_join(F.transform(F.sort_array(F.collect_list(season)), lambda s: s.cast("string")), ",").alias("seasons"), F.sum("n").alias("load"))
+    loads = groups.groupBy(item).agg((-F.sum("load")).alias("_less"))
+    k = dense_key(loads, ["_less", item], "_k").select(item, (F.col("_k") - 1).alias("_k"))
+    lap, spot = F.floor(F.col("_k") / shards), F.col("_k") % shards
+    shard = F.when(lap % 2 == 0, spot).otherwise(shards - 1 - spot)
+    return groups.join(k.select(item, shard.cast("int").alias("shard")), item)
