@@ -7,6 +7,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,6 +139,93 @@ def similarity_edges(df: DataFrame, id_col: str, vec: str, group: str, block: in
     return W.first_of(pairs, ["src"], F.desc("cosine"), F.col("dst"), n=n)
 
 
+#: Rows among which pivots are chosen.
+SAMPLE = 2048
+
+
+def _far_apart(x: np.ndarray, n: int) -> np.ndarray:
+    """Up to n directions, each the farthest from those before it."""
+    x = x / np.sqrt((x * x).sum(1, keepdims=True))
+    chosen, nearest = [0], x @ x[0]
+    while len(chosen) < min(n, len(x)) and nearest.min() < 1 - 1e-9:
+        chosen.append(int(nearest.argmin()))
+        nearest = np.maximum(nearest, x @ x[chosen[-1]])
+    return x[chosen]
+
+
+def _angles(batches, pivots: np.ndarray, kind: pa.DataType):
+    """Unit vectors with their nearest pivot and the angle to it; rows without a direction have neither."""
+    for b in batches:
+        x = np.array(b.column("v").to_pylist(), float).reshape(b.num_rows, -1)
+        size = np.sqrt((x * x).sum(1, keepdims=True))
+        unit = x / np.where(size > 0, size, 1)
+        cos = np.clip(unit @ pivots.T, -1, 1)
+        p = cos.argmax(1)
+        yield pa.RecordBatch.from_arrays([b.column("g"), b.column("id"), b.column("v"), pa.array(p.astype(np.int32)), pa.array(np.where(size[:, 0] > 0, np.arccos(cos[np.arange(len(p)), p]), np.nan))], names=["g", "id", "v", "p", "angle"])
+
+
+def pruned_edges(df: DataFrame, id_col: str, vec: str, group: str, block: int = 2048, n: int = 3, pivots: int = 64) -> tuple[DataFrame, DataFrame]:
+    """Top n neighbours by cosine inside groups, exactly as similarity_edges finds them, and the pairs of blocks (g, a, b, bound, looked).
+
+    Vectors are dealt to their nearest pivot (directions that lie far apart, among at most SAMPLE rows of smallest hash), ordered by their angle to it and cut into
+    blocks, so that a block is a ring around its pivot. A block is first joined with itself; the largest angle that one of its vectors has
+    to its n-th neighbour so far is the block's reach. By the triangle inequality of angles, the rings of two blocks bound the angle of any
+    of their vectors from below: pairs of blocks whose bound lies beyond the reach hold no top n and are never joined. Vectors without
+    a direction form blocks of their own, which every block of the group meets.
+    """
+    spark, kind = df.sparkSession, df.schema[id_col].dataType.simpleString()
+    v = df.select(F.col(group).alias("g"), F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v")).filter(F.col("v").isNotNull() & F.col("g").isNotNull())
+    directed = v.filter(F.exists("v", lambda x: x != 0))
+    some = [r.v for r in directed.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()]
+    if not some:
+        return similarity_edges(df, id_col, vec, group, block, n), spark.createDataFrame([], f"g {df.schema[group].dataType.simpleString()}, a long, b long, bound double, looked boolean")
+    centre = _far_apart(np.array(some, float), pivots)
+    between = np.arccos(np.clip(centre @ centre.T, -1, 1)).tolist()
+    placed = v.mapInArrow(lambda it: _angles(it, centre, None), f"g {df.schema[group].dataType.simpleString()}, id {kind}, v array<double>, p int, angle double")
+    placed = placed.withColumn("p", F.when(F.isnan("angle"), -1).otherwise(F.col("p"))).withColumn("angle", F.when(~F.isnan("angle"), F.col("angle")).otherwise(0.0))
+    numbered = W.dense_key(placed, ["g", "p", "angle", "id"], "k")
+    first = numbered.groupBy("g", "p").agg(F.min("k").alias("k0"))
+    x = sinks.written(numbered.join(first, ["g", "p"]).select("g", "id", "v", "p", "angle", (F.col("k0") * 1_000_000 + F.floor((F.col("k") - F.col("k0")) / block)).alias("b")))
+    found = "src {0}, dst {0}, cosine double".format(kind)
+
+    def own(rows: pd.DataFrame) -> pd.DataFrame:
+        return _best_edges(rows, rows, n)
+
+    inside = sinks.written(x.groupBy("g", "b").applyInPandas(lambda rows: own(rows).assign(b=rows.b.iloc[0] if len(rows) else 0), found + ", b long"))
+    worst = inside.withColumn("cosine", F.nullif("cosine", F.lit(float("nan")))).groupBy("b", "src").agg(F.count("cosine").alias("m"), F.min("cosine").alias("c")).groupBy("b").agg(F.count_if(F.col("m") < n).alias("short"), F.min("c").alias("c"), F.count(F.lit(1)).alias("have"))
+    rings = x.groupBy("g", "p", "b").agg(F.min("angle").alias("lo"), F.max("angle").alias("hi"), F.count(F.lit(1)).alias("size"))
+    rings = rings.join(worst, "b", "left")
+    whole = (F.col("p") >= 0) & (F.col("have") == F.col("size")) & (F.col("short") == 0)
+    rings = sinks.written(rings.select("g", "p", "b", "lo", "hi", F.when(whole, F.acos(F.greatest(F.least("c", F.lit(1.0)), F.lit(-1.0)))).otherwise(math.pi).alias("reach")))
+    far = F.array(*(F.array(*(F.lit(d) for d in row)) for row in between))
+    a, z = (rings.select("g", *(F.col(k).alias(f"{k}_{s}") for k in ("p", "b", "lo", "hi", "reach"))) for s in "az")
+    d = F.when((F.col("p_a") >= 0) & (F.col("p_z") >= 0), F.get(F.get(far, F.col("p_a")), F.col("p_z")))
+    gap = F.greatest(d - F.col("hi_a") - F.col("hi_z"), F.col("lo_a") - d - F.col("hi_z"), F.col("lo_z") - d - F.col("hi_a"), F.lit(0.0))
+    pairs = a.join(z, "g").filter("b_a <> b_z").select("g", F.col("b_a").alias("a"), F.col("b_z").alias("b"), F.coalesce(gap, F.lit(0.0)).alias("bound"), "reach_a")
+    pairs = sinks.written(pairs.select("g", "a", "b", "bound", (F.col("bound") <= F.col("reach_a") + 1e-7).alias("looked")))
+    open_ = pairs.filter("looked").select("a", "b")
+    left = x.select("id", "v", F.col("b").alias("a")).join(open_, "a").select("id", "v", "a", "b")
+    right = x.select("id", "v", "b").join(open_, "b").select("id", "v", "a", "b").toDF("id_", "v_", "a_", "b_").toDF("id", "v", "a", "b")
+    across = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(lambda p, q: _best_edges(p, q, n), found)
+    edges = inside.drop("b").unionByName(across).withColumn("cosine", F.nullif("cosine", F.lit(float("nan"))))
+    return W.first_of(edges, ["src"], F.desc("cosine"), F.col("dst"), n=n), pairs
+
+
+def _best_matches(batch_key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    return _best_edges(a, b, 1)
+
+
+def best_matches(a: DataFrame, b: DataFrame, id_col: str, vec: str, block: int = 2048) -> DataFrame:
+    """src, dst, cosine: for each row of a the most similar row of b (ties: the smaller id); blocks are multiplied, no pair of vectors is a row."""
+    kind = a.schema[id_col].dataType.simpleString()
+    na, nb = (max(1, -(-x.count() // block)) for x in (a, b))
+    take = lambda x, n, name: x.select(F.col(id_col).alias("id"), F.col(vec).cast("array<double>").alias("v"), F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias(name))
+    x = take(a, na, "ba").withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
+    y = take(b, nb, "bb").withColumn("ba", F.explode(F.sequence(F.lit(0), F.lit(na - 1))))
+    got = x.groupBy("ba", "bb").cogroup(y.groupBy("ba", "bb")).applyInPandas(_best_matches, f"src {kind}, dst {kind}, cosine double")
+    return W.first_of(got.filter(~F.isnan("cosine")), ["src"], F.desc("cosine"), F.col("dst"))
+
+
 def aligned_similarity(df: DataFrame, id_col: str, age: str, value: str, target, least: int = 2) -> DataFrame:
     """Mean absolute difference to a target over common ages, in units of the value's deviation."""
     sd = df.agg(F.stddev_samp(value).alias("sd"))

@@ -94,17 +94,27 @@ def percent_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
+def beside(df: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
+    """Each row with aggregates of its group (null keys are a group): sums are combined before the shuffle, and no task holds a group."""
+    if not keys:
+        return df.join(F.broadcast(df.agg(*aggs)))  # one row
+    stats = df.groupBy(*(F.col(k).alias(f"_key_{k}") for k in keys)).agg(*aggs)
+    same = F.lit(True)
+    for k in keys:
+        same = same & df[k].eqNullSafe(stats[f"_key_{k}"])
+    return df.join(stats, same, "left").drop(*(f"_key_{k}" for k in keys))
+
+
 def z_scores(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Sample z-scores inside keys; 0 where the deviation is 0 or undefined."""
-    w = Window.partitionBy(*keys)
-    return df.select("*", *(F.coalesce(F.try_divide(F.col(v) - F.avg(v).over(w), F.stddev_samp(v).over(w)), F.lit(0.0)).alias(f"{v}_z") for v in values))
+    x = beside(df, keys, *(f(v).alias(f"_{n}_{v}") for v in values for n, f in (("m", F.avg), ("s", F.stddev_samp))))
+    return x.select(*df.columns, *(F.coalesce(F.try_divide(F.col(v) - F.col(f"_m_{v}"), F.col(f"_s_{v}")), F.lit(0.0)).alias(f"{v}_z") for v in values))
 
 
 def min_max(df: DataFrame, keys: list[str], value: str, top: float = 1.0) -> DataFrame:
     """Value scaled to 0..top inside keys; 0 for a single value."""
-    w = Window.partitionBy(*keys)
-    lo, hi = F.min(value).over(w), F.max(value).over(w)
-    return df.withColumn(f"{value}_scaled", F.coalesce(F.try_divide((F.col(value) - lo) * top, hi - lo), F.lit(0.0)))
+    x = beside(df, keys, F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    return x.select(*df.columns, F.coalesce(F.try_divide((F.col(value) - F.col("_lo")) * top, F.col("_hi") - F.col("_lo")), F.lit(0.0)).alias(f"{value}_scaled"))
 
 
 def centred_mean(df: DataFrame, keys: list[str], order: list[Column], value: str, n: int = 5) -> DataFrame:

@@ -70,6 +70,34 @@ def fan_out(df: DataFrame, sinks: dict, strict: bool = False) -> list[tuple[str,
     return report
 
 
+def export_all(spark: SparkSession, database: str, base: str, formats: list[str], allow_partial: bool = False) -> list[tuple[str, str, bool, str]]:
+    """Every table of a catalogue's database to every format: (table, format, ok, error) each, in order of the names.
+
+    Tables whose name starts with an underscore are internal and stay. Each format's folder is replaced as a whole. A table that a format
+    can't hold fails alone; the error is raised at the end, unless partial exports are allowed.
+    """
+    writers = {"parquet": write_parquet, "csv": write_csv, "json": lambda df, path: df.write.mode("overwrite").json(path)}
+    if unknown := sorted(set(formats) - set(writers)):
+        raise ValueError(f"unsupported formats: {unknown}")
+    names = sorted(t.name for t in spark.catalog.listTables(database) if not t.name.startswith("_") and not t.isTemporary)
+    if not names:
+        raise ValueError(f"no table in {database}")
+    folder, report = Folder(spark, base), []
+    for f in formats:
+        folder.delete(f)
+    for name in names:
+        for f in formats:
+            try:
+                writers[f](spark.table(f"`{database}`.`{name}`"), f"{base}/{f}/{name}")
+                report.append((name, f, True, ""))
+            except Exception as e:  # a writer may raise anything
+                report.append((name, f, False, str(e)))
+    failed = sorted({n for n, _, ok, _ in report if not ok})
+    if failed and not allow_partial:
+        raise RuntimeError(f"export failed for {failed}")
+    return report
+
+
 def new_rows(new: DataFrame, existing: DataFrame) -> DataFrame:
     """What an append must add: new EXCEPT ALL existing."""
     return new.exceptAll(existing)
