@@ -122,6 +122,7 @@ def test_bounds_lie_below_distances():
     g = np.random.default_rng(2)
     x, c, p = (g.integers(-200, 200, (n, 8)) for n in (300, 6, 6))
     p[:3] = c[:3]
+    p[5] = 1 << 20
     s = centroids.State(c, p, False).prepare()
     assert (s.bounds(centroids.roots(centroids.distances(x, p))) <= centroids.distances(x, c)).all()
 

@@ -7,7 +7,8 @@ distance of a vector x to a centroid c from below by any pair of pivots p, s:
 
 The pivots are fixed for the whole run, so a vector's distances to them are computed once and stored beside it in a written table;
 in each round the driver only computes those of the centroids. Of all pivot pairs, a vector and a centroid use those of the centroid's nearest
-pivot with the vector's NEAR nearest ones, where the bound is tightest. Bounds are lowered by more than their rounding error (each
+pivot with the vector's NEAR nearest ones and with a far point, where the bound is tightest (with s far away the bound nears
+d(x, p) - d(c, p); any points may be pivots, not only data). Bounds are lowered by more than their rounding error (each
 stored distance is off by less than two units of its last place, so a product difference by less than seven of the sum of products; SLACK
 allows 16), and centroids are visited by their bounds: one whose bound lies beyond the best exact squared distance ends the search, the
 others are checked in whole numbers. So pivots decide only how much is computed, never what.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from tipoff.llm import _common, integers
 
 CLUSTERS, ROUNDS, DIM, SCALE, SEED = 16, 3, 64, 64, 1
-SAMPLE, NEAR = 2048, 2
+SAMPLE, NEAR, FAR = 1 << 14, 2, 1 << 12
 UNIT = 2.0**-53
 SLACK = 16 * UNIT
 
@@ -65,14 +66,15 @@ class State:
     def prepare(self) -> State:
         self.to_pivot = roots(distances(self.centroids, self.pivots))  # centroid x pivot
         self.between = roots(distances(self.pivots, self.pivots))
-        self.own = self.to_pivot.argmin(1)  # each centroid's nearest pivot
+        self.own = self.to_pivot[:, :-1].argmin(1)  # each centroid's nearest pivot but the far one, which comes last
         return self
 
     def bounds(self, dp: np.ndarray) -> np.ndarray:
         """Squared lower bounds on the distances of vectors (from their pivot distances) to all centroids, below the true ones."""
         best = np.zeros((len(dp), len(self.centroids)))
         with np.errstate(invalid="ignore", divide="ignore", over="ignore"):
-            for s in np.argsort(dp, axis=1, kind="stable")[:, :NEAR].T:
+            far = np.full((1, len(dp)), dp.shape[1] - 1)
+            for s in (*np.argsort(dp[:, :-1], axis=1, kind="stable")[:, :NEAR].T, *far):
                 to_s = dp[np.arange(len(dp)), s]
                 a, b = dp[:, self.own] * self.to_pivot[:, s].T, to_s[:, None] * self.to_pivot[np.arange(len(self.own)), self.own]
                 low = (np.abs(a - b) - SLACK * (a + b)) / self.between[self.own[None, :], s[:, None]] * (1 - SLACK)
@@ -112,13 +114,14 @@ def moved(centroids: np.ndarray, n: list[int], sums: list[list[int]]) -> np.ndar
 
 
 def pivots_of(sample: np.ndarray, start: np.ndarray, rounds: int) -> np.ndarray:
-    """Centroids of plain rounds on a sample, without repeats."""
+    """Centroids of plain rounds on a sample, without repeats, and a point FAR times as far away as any component reaches."""
     c = start
     for _ in range(rounds if len(sample) else 0):
         at = distances(sample, c).argmin(1)
         n = np.bincount(at, minlength=len(c)).tolist()
         c = moved(c, n, integers.add_by(at, sample, len(c)).tolist())
-    return np.array(sorted({tuple(r) for r in c.tolist()}), c.dtype).reshape(-1, start.shape[1])
+    c = np.array(sorted({tuple(r) for r in c.tolist()}), c.dtype).reshape(-1, start.shape[1])
+    return np.r_[c, np.full((1, c.shape[1]), FAR * (1 + max(abs(c.max()), abs(c.min()))), c.dtype)]
 
 
 @_common.tidy
@@ -164,7 +167,7 @@ def cluster(vecs: DataFrame, scratch: _common.Scratch, clusters: int = CLUSTERS,
     found = integers.lengths(rows)
     if not found:
         return spark.createDataFrame([], "vec_id long, cluster int, distance long, checked long"), np.zeros((0, dim), np.int64)
-    big, limbs = integers.wide(found[0].top, scale, dim), integers.n_limbs(found[0].top, scale)
+    big, limbs = integers.wide(found[0].top * (FAR + 1), scale, dim), integers.n_limbs(found[0].top, scale)
     floored = lambda got: integers.floors(np.array([r.v for r in got], float).reshape(-1, dim), scale, big)
     key = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")).cast("binary"), 256)
     start = floored(rows.orderBy(key.asc_nulls_last(), "v").limit(clusters).collect())
