@@ -44,7 +44,7 @@ def rounded(df: DataFrame, places: int = 4, *cols: str) -> DataFrame:
 
 
 def _load() -> None:
-    from tipoff.plans import analysis_queries, core_queries, feature_queries, insight_queries, quality_queries, recipe_queries, run_queries, store_queries  # noqa: F401
+    from tipoff.plans import analysis_queries, composed_queries, core_queries, feature_queries, insight_queries, quality_queries, recipe_queries, run_queries, store_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -56,6 +56,8 @@ def composed() -> list[Model]:
 def one_each(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """One row of each key: the first in order; where the order is open, by the rest of the columns, so that reruns agree."""
     rest = [c(x) for x in df.columns if x not in keys]
+    if not order and rest:  # the largest row, nulls last: combined before the shuffle
+        return df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_row")).select(*keys, "_row.*").select(*df.columns)
     return W.first_of(df, keys, *order, *(x.desc_nulls_last() for x in rest))
 
 
