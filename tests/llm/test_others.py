@@ -276,7 +276,30 @@ def test_neighbours(spark):
     assert [x.rank for x in few] == [1, 2]
 
 
+def test_the_stopping_test_rules_out_cells_and_vectors(spark):
+    """Vectors of few real dimensions: most cells and nearly all vectors are never looked at, and the true neighbours are found."""
+    g = np.random.default_rng(5)
+    x = np.c_[np.sin(g.uniform(0, 2, (6000, 2)) @ g.standard_normal((2, 40))), np.ones(6000)]
+    ids, q = np.arange(6000), np.arange(0, 6000, 60)
+    space = neighbours.Space(41, float((x * x).sum(1).max()))
+    want = np.argsort(-(x[q] @ x.T) + 1e9 * (ids == q[:, None]), axis=1, kind="stable")[:, :20]
+    who, row, _, verified = neighbours.search(x, ids, x[q], q, np.full(100, -np.inf), space, 20)
+    assert np.mean([len(set(want[i]) & set(row[who == i])) / 20 for i in range(100)]) >= 0.92 and verified.mean() < 0.1 * 6000
+    points = space.points(x)
+    space.fit(points, 64)
+    cell = space.cell(points)
+    low, high = (np.array([f(points[cell == c], axis=0) for c in range(64)]) for f in (np.min, np.max))
+    at, scale = space.queries(x[q])
+    kth = 2 * space.bound - 2 * scale * (x[q] * x[want[:, 19]]).sum(1)
+    assert (neighbours.box_distance(at, low, high) <= neighbours.BEYOND * kth[:, None]).mean() < 0.4
+    df = spark.createDataFrame(list(zip(ids[:2000].tolist(), x[:2000].tolist())), "vec_id long, embedding array<double>")
+    got = neighbours.nearest(df, df.filter("vec_id % 60 = 0"), data_block=64, query_block=16).collect()
+    true = {i: x for i, x in exact(dict(enumerate(x[:2000].tolist())), 20).items() if i % 60 == 0}
+    assert np.mean([len({r.vec_id for r in got if r.query_id == i} & {j for j, _ in true[i]}) / 20 for i in true]) >= 0.9
+
+
 def test_chi_square():
+    assert abs(neighbours.quantile(0.95, 8) - 15.507) < 1e-3 and abs(neighbours.quantile(0.92, 16) - 24.3) < 0.4
     assert abs(float(neighbours.chi_square_cdf(15.507, 8)) - 0.95) < 1e-4 and float(neighbours.chi_square_cdf(0, 8)) == 0.0
 
 

@@ -3,10 +3,11 @@
 Vectors are extended by one coordinate so that the largest inner product is the smallest Euclidean distance, and projected to
 DIMS Gaussian (2-stable) coordinates. One kd-tree indexes them all: its upper levels cut the projections into cells that are
 spread over the cluster (their cuts are medians of a bounded sample, every row is indexed), its lower levels are built inside
-a cell. A query takes projected neighbours in increasing order, a leaf at a time, verifies them on the original vectors, and
-stops when the chi-square test says that a nearer vector than its current k-th would by now have shown up with probability
-CONFIDENCE: for a true squared distance d2 the projected squared distance is d2 times a chi-square variable of DIMS degrees of
-freedom. So a query goes to the nearest cell first, then only to those cells whose box the test does not rule out at the k-th
+a cell. A query takes projected neighbours in increasing order, a leaf at a time. Of a leaf, it verifies on the original vectors only
+those whose projected distance the chi-square test leaves open, and stops when the test rules out all that are left: when a nearer
+vector than its current k-th would by now have shown up with probability CONFIDENCE. For a true squared distance d2 the projected
+squared distance is d2 times a chi-square variable of DIMS degrees of freedom, so a true neighbour is passed over with probability
+1 - CONFIDENCE at most. So a query goes to the nearest cell first, then only to those cells whose box the test does not rule out at the k-th
 distance found so far; queries travel to cells, not vectors to queries.
 
 Bounded sample: the upper cuts are fitted on at most SAMPLE rows, chosen by a hash of vec_id. A cell of more than CELL rows (a
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tipoff.llm import _common, _text
 
-DIMS, CONFIDENCE, LEAF, SEED = 8, 0.95, 64, 8
+DIMS, CONFIDENCE, LEAF, SEED = 16, 0.92, 64, 8
 CELL, ASKS, SAMPLE, TOP, QUERY_STEP = 8192, 4096, 1 << 17, 20, 20
 #: Nearest cells that a query has been to after each round, and queries searched together.
 ROUNDS, TOGETHER = (1, 9, 1 << 30), 256
@@ -46,6 +47,19 @@ def chi_square_cdf(x: np.ndarray, dof: int) -> np.ndarray:
     return 1 - np.exp(-h) * total
 
 
+def quantile(p: float, dof: int) -> float:
+    """Where the chi-square distribution reaches p."""
+    low, high = 0.0, 10.0 * dof + 100
+    for _ in range(80):
+        mid = (low + high) / 2
+        low, high = (mid, high) if chi_square_cdf(np.array(mid), dof) < p else (low, mid)
+    return high
+
+
+#: A projected squared distance beyond this many times the k-th squared distance rules a vector, leaf or cell out.
+BEYOND = quantile(CONFIDENCE, DIMS)
+
+
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
@@ -115,7 +129,8 @@ class KdTree:
             d = int(np.argmax(np.ptp(points[at], axis=0)))
             order = at[np.argsort(points[at, d], kind="stable")]
             stack += [order[: len(at) // 2], order[len(at) // 2 :]]
-        self.leaves = leaves
+        self.leaves, self.points = leaves, points
+        self.size = (points * points).sum(1)
         self.low = np.stack([points[x].min(0) for x in leaves])
         self.high = np.stack([points[x].max(0) for x in leaves])
 
@@ -134,8 +149,8 @@ def usable(vecs: DataFrame) -> DataFrame:
     return v.groupBy("vec_id").agg(F.min("embedding").alias("v"))
 
 
-def search(x: np.ndarray, ids: np.ndarray, v: np.ndarray, qids: np.ndarray, least: np.ndarray, space: Space, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Queries, data rows and scores: the k best of one cell part for each query, none below the k-th score that it has already (least).
+def search(x: np.ndarray, ids: np.ndarray, v: np.ndarray, qids: np.ndarray, least: np.ndarray, space: Space, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Queries, data rows and scores: the k best of one cell part for each query, none below the k-th score that it has already (least); and the vectors verified for each query.
 
     ids ascend.
     """
@@ -147,10 +162,22 @@ def search(x: np.ndarray, ids: np.ndarray, v: np.ndarray, qids: np.ndarray, leas
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def _some(tree: KdTree, x: np.ndarray, ids: np.ndarray, v: np.ndarray, qids: np.ndarray, least: np.ndarray, space: Space, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def products(v: np.ndarray, x: np.ndarray, ask: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs that are asked for, -inf elsewhere."""
+    if ask.mean() > 0.25:  # a whole product costs less than gathering its pairs
+        return np.where(ask, v @ x.T, -np.inf)
+    out = np.full(ask.shape, -np.inf)
+    i, j = np.nonzero(ask)
+    out[i, j] = (v[i] * x[j]).sum(1)
+    return out
+
+
+def _some(tree: KdTree, x: np.ndarray, ids: np.ndarray, v: np.ndarray, qids: np.ndarray, least: np.ndarray, space: Space, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     # at the data's largest norm, distances and inner products agree best
-    at, scale = space.queries(v)
-    order, far = tree.order(at)
+    p, scale = space.queries(v)
+    order, far = tree.order(p)
+    size, verified = (p * p).sum(1), np.zeros(len(v), np.int64)
+    limit = BEYOND * np.maximum(2 * space.bound - 2 * scale * least, 1e-12)
     best_s, best_at = np.full((len(v), k), -np.inf), np.full((len(v), k), -1)
     live, at, step = np.arange(len(v)), 0, 4
     while len(live) and at < order.shape[1]:
@@ -161,8 +188,11 @@ def _some(tree: KdTree, x: np.ndarray, ids: np.ndarray, v: np.ndarray, qids: np.
         for t, leaf in enumerate(tree.leaves):  # the queries that come to a leaf in this round, together
             who, slot = np.divmod(by_leaf[lim[t] : lim[t + 1]], want.shape[1])
             if len(who):
-                s[who, slot, : len(leaf)] = v[live[who]] @ x[leaf].T
-                rows[who, slot, : len(leaf)] = leaf
+                q = live[who]
+                ask = size[q][:, None] + tree.size[leaf] - 2 * (p[q] @ tree.points[leaf].T) <= limit[q][:, None]
+                verified += np.bincount(q, ask.sum(1), len(v)).astype(np.int64)
+                s[who, slot, : len(leaf)] = products(v[q], x[leaf], ask)
+                rows[who, slot, : len(leaf)] = np.where(ask, leaf, -1)
         s, rows = np.c_[best_s[live], s.reshape(len(live), -1)], np.c_[best_at[live], rows.reshape(len(live), -1)]
         s[(rows >= 0) & (ids[rows] == qids[live][:, None])] = -np.inf
         top = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(live), -np.inf)
@@ -177,11 +207,11 @@ def _some(tree: KdTree, x: np.ndarray, ids: np.ndarray, v: np.ndarray, qids: np.
         best_s[live], best_at[live] = -np.inf, -1
         best_s[live[who[o]], rank[o]], best_at[live[who[o]], rank[o]] = exact[o], cand[o]
         at, step = at + step, min(step * 2, 32)
+        limit[live] = BEYOND * np.maximum(2 * space.bound - 2 * scale[live] * np.maximum(best_s[live, k - 1], least[live]), 1e-12)
         if at < order.shape[1]:
-            kth = np.maximum(2 * space.bound - 2 * scale[live] * np.maximum(best_s[live, k - 1], least[live]), 1e-12)
-            live = live[~(chi_square_cdf(far[live, at] / kth, DIMS) >= CONFIDENCE)]
+            live = live[far[live, at] <= limit[live]]
     who, rank = np.nonzero(best_at >= 0)
-    return who, best_at[who, rank], best_s[who, rank]
+    return who, best_at[who, rank], best_s[who, rank], verified
 
 
 @_common.tidied
@@ -195,7 +225,7 @@ def _meet(key: tuple, q: pa.Table, d: pa.Table, space: Space, k: int) -> pa.Tabl
         o = np.argsort(ids, kind="stable")
         x, v = (matrix(t.column("v").chunk(0), space.dim) for t in (d, q))
         ids, x = ids[o], x[o]
-        who, row, score = search(x, ids, v, qids, q.column("least").to_numpy(), space, k)
+        who, row, score, _ = search(x, ids, v, qids, q.column("least").to_numpy(), space, k)
     return pa.table({"query_id": pa.array(qids[who], pa.int64()), "vec_id": pa.array(ids[row], pa.int64()), "score": pa.array(score, pa.float64())})
 
 
@@ -241,7 +271,7 @@ def _route(batches: Iterator[pa.RecordBatch], space: Space, first: int, last: in
             d = box_distance(p, space.low, space.high)
             o = np.argsort(d, axis=1, kind="stable")[:, first:last]
             kth = np.maximum(2 * space.bound - 2 * scale * least, 1e-12)
-            row, col = np.nonzero(chi_square_cdf(np.take_along_axis(d, o, 1) / kth[:, None], DIMS) < CONFIDENCE)
+            row, col = np.nonzero(np.take_along_axis(d, o, 1) <= BEYOND * kth[:, None])
             yield pa.RecordBatch.from_arrays([some.column(c).take(pa.array(row)) for c in ("vec_id", "v", "least")] + [pa.array(o[row, col])], names=["vec_id", "v", "least", "cell"])
 
 
