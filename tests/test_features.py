@@ -109,3 +109,14 @@ def test_exports_say_what_failed(spark, tmp_path):
         sinks.export_all(spark, db, f"{base}/out", ["csv"])
     assert spark.read.parquet(f"{base}/out/parquet/good").count() == 3
     spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
+def test_percent_ranks_by_ranges(spark):
+    r = random.Random(9)
+    rows = [(i, r.choice(["a", "b", None]), r.choice([None, *map(float, range(9))])) for i in range(300)]
+    got = {x.i: (x.pct_rank, x.share_below) for x in W.percent_ranks(spark.createDataFrame(rows, "i int, k string, v double"), ["k"], "v").collect()}
+    for i, k, v in rows:
+        mine = [x for _, g, x in rows if g == k]
+        low = sum((x is not None and (v is None or x < v)) for x in mine)
+        ties = sum(x == v for x in mine)
+        assert math.isclose(got[i][1], low / len(mine)) and abs(got[i][0] - (low + 1 + (ties - 1) / 2) / len(mine) * 100) <= 0.05 + 1e-9

@@ -84,16 +84,6 @@ def share(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     return df.withColumn(name, F.try_divide(F.col(value), F.sum(value).over(Window.partitionBy(*keys))))
 
 
-def percent_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Tie-aware percentile (x100, 1 decimal), ordinal share, and share of strictly smaller values."""
-    w, part = by(keys, F.col(value).asc_nulls_last()), Window.partitionBy(*keys)
-    ties = F.count(F.lit(1)).over(Window.partitionBy(*keys, value))
-    n = F.count(F.lit(1)).over(part)
-    return df.select(
-        "*", F.round((F.rank().over(w) + (ties - 1) / 2) / n * 100, 1).alias("pct_rank"), ((F.rank().over(w) - 1) / n).alias("share_below")
-    )
-
-
 def beside(df: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
     """Each row with aggregates of its group (null keys are a group): sums are combined before the shuffle, and no task holds a group."""
     if not keys:
@@ -105,6 +95,22 @@ def beside(df: DataFrame, keys: list[str], *aggs: Column) -> DataFrame:
     return df.join(stats, same, "left").drop(*(f"_key_{k}" for k in keys))
 
 
+def percent_ranks(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Tie-aware percentile (x100, 1 decimal), ordinal share, and share of strictly smaller values; nulls are the largest.
+
+    Ranks come from counts of each distinct value, added up over ranges of (key, value), so no task holds a key's rows.
+    """
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_ties")).withColumn("_last", F.col(value).isNull())
+    placed = global_running(counts, [*keys, "_last", value], F.col("_ties"), "_upto")
+    below = beside(placed, keys, F.min(F.col("_upto") - F.col("_ties")).alias("_first"), F.sum("_ties").alias("_all"))
+    below = below.select(*(F.col(k).alias(f"_key_{k}") for k in [*keys, value]), "_ties", "_all", (F.col("_upto") - F.col("_ties") - F.col("_first")).alias("_below"))
+    same = F.lit(True)
+    for k in [*keys, value]:
+        same = same & df[k].eqNullSafe(below[f"_key_{k}"])
+    pct = F.round((F.col("_below") + 1 + (F.col("_ties") - 1) / 2) / F.col("_all") * 100, 1)
+    return df.join(below, same).select(*(df[k] for k in df.columns), pct.alias("pct_rank"), (F.col("_below") / F.col("_all")).alias("share_below"))
+
+
 def z_scores(df: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Sample z-scores inside keys; 0 where the deviation is 0 or undefined."""
     x = beside(df, keys, *(f(v).alias(f"_{n}_{v}") for v in values for n, f in (("m", F.avg), ("s", F.stddev_samp))))
