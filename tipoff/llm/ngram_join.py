@@ -37,7 +37,7 @@ SIZE, MIN_PERCENT, SLACK, FRAGMENTS = 5, 80, 10, 8
 #: Documents in a block of those apart from their centre's component, of those that they meet, and shingles counted at a time.
 NEAR_BLOCK, FAR_BLOCK, SLAB = 256, 1024, 4096
 #: Holders of a leading shingle from which their pairs are found in blocks rather than as rows.
-MANY_HOLDERS = 4096
+MANY_HOLDERS = 512
 TABLES = _text.byte_table(90, fold_case=True), _text.byte_table(91, fold_case=True)
 BASE, MULT = 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3
 
