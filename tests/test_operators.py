@@ -171,3 +171,35 @@ def test_declared_outputs(spark):
     frames, report = run_models(outputs.outputs(set(sources[:2])), {s: one for s in sources[:2]})
     assert report.status[name] == "ok"
     assert sorted({r.source for r in frames[name].collect()}) == sorted(outputs.label(s) for s in sources[:2])
+
+
+def test_labelled_unions_and_projections(spark):
+    from tipoff.plans import outputs
+
+    staged = {"stg_all_time": spark.createDataFrame([(1, "a")], "pts int, x string"), "stg_all_time_ast": spark.createDataFrame([(2,)], "ast int"), "stg_scoreboard_ticket_links": spark.createDataFrame([("g", "t", 1)], "game_id string, leag_tix string, more int")}
+    frames, report = run_models(outputs.outputs(set(staged)), staged)
+    assert not report.errors
+    assert sorted((r.stat_category, r.pts, r.ast, r.x) for r in frames["agg_all_time_leaders"].collect()) == [("ast", None, 2, None), ("combined", 1, None, "a")]
+    assert frames["fact_scoreboard_ticket_links"].columns == ["game_id", "leag_tix"]
+    assert {s for _, p, v in outputs.LABELLED.values() for s in outputs.branches(p, v).values()} >= {"stg_player_career_total_regular", "stg_player_shoot_5ft", "stg_summary_v3_officials"}
+
+
+def test_dates_contexts_and_pictures(spark):
+    from tipoff.plans import warehouse
+
+    models = [m for m in warehouse.composed() if m.name in ("dim_date", "fact_game_context", "fact_playoff_picture")]
+    df = lambda rows, kind: spark.createDataFrame(rows, kind)
+    staged = {
+        "stg_game_summary": df([("g1", 1), ("g2", 2)], "game_id string, a int"), "stg_game_info": df([("g1", 7), ("g1", 8)], "game_id string, b int"), "stg_other_stats": df([("g2", 9, 0)], "game_id string, z int, a int"),
+        **{s: df([("g1",)], "game_id string") for s in ("stg_inactive_players", "stg_season_series", "stg_last_meeting", "stg_game_summary_available_video")},
+    }
+    for side, team in (("east", 1), ("west", 2)):
+        staged |= {f"stg_playoff_picture_{side}": df([(team, "s")], "team_id int, seed string"), f"stg_playoff_picture_{side}_standings": df([(team, 5)], "team_id int, wins int"), f"stg_playoff_picture_{side}_remaining": df([(9, 1)], "team_id int, left int")}
+    frames, report = run_models(models, staged)
+    assert not report.errors
+    days = {r.full_date: r for r in frames["dim_date"].filter("full_date in ('1946-01-01', '1999-10-01', '2000-09-30')").collect()}
+    assert [(days[d].date_key, days[d].day_of_week, days[d].nba_season) for d in sorted(days)] == [(19460101, 2, "1945-46"), (19991001, 5, "1999-00"), (20000930, 6, "1999-00")]
+    assert frames["dim_date"].columns == "date_key full_date year month day day_of_week day_name month_name is_weekend nba_season".split()
+    got = sorted((r.context_source, r.game_id, r.a, r.b, r.z) for r in frames["fact_game_context"].collect() if r.context_source == "summary")
+    assert got == [("summary", "g1", 1, 8, None), ("summary", "g2", 2, None, 9)] and frames["fact_game_context"].count() == 6
+    assert sorted((r.conference, r.team_id, r.wins, r.left) for r in frames["fact_playoff_picture"].collect()) == [("East", 1, 5, None), ("West", 2, 5, None)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tipoff.plans.models import Model, distinct, passthrough, union
+from tipoff.plans.models import Model, distinct, passthrough, projection, union
 
 # Output names. Outputs named <family>_x that pass stg_x through.
 PASSTHROUGH = """
@@ -146,6 +146,96 @@ UNIONS = {
 }
 
 
+# Unions with a label of their own: the label's column, the prefix of the staged tables, and each branch's value; a
+# branch that isn't the prefix and its value names its table after a colon.
+LABELLED = {
+    "agg_all_time_leaders": ("stat_category", "stg_all_time_", """
+        combined:stg_all_time ast blk dreb fg3a fg3m fg3_pct fga fgm fg_pct fta ftm ft_pct gp oreb pf pts reb stl tov
+    """),
+    "fact_box_score_summary_v3": ("summary_type", "stg_summary_v3_", """
+        game_summary game_info line_score officials other_stats inactive_players last_five_meetings available_video
+    """),
+    "fact_player_career": ("career_type", "stg_player_career_", """
+        regular:stg_player_career_total_regular postseason:stg_player_career_total_postseason total_allstar total_college allstar college
+        season_regular:stg_player_career_regular season_postseason:stg_player_career_postseason
+    """),
+    "fact_player_clutch_detail": ("clutch_window", "stg_player_clutch_", """
+        last10sec_3pt2 last10sec_3pt last1min_5pt last1min_pm5 last30sec_3pt2 last30sec_3pt last3min_5pt last3min_pm5 last5min_5pt
+        last5min_pm5 overall
+    """),
+    "fact_player_general_splits_detail": ("split_type", "stg_player_split_", "days_rest location month general_overall pre_post_allstar starting_pos wins_losses"),
+    "fact_player_profile": ("profile_type", "stg_player_profile_", """
+        career_highs season_highs next_game season_regular:stg_player_profile_regular season_postseason:stg_player_profile_postseason
+        season_allstar:stg_player_profile_allstar season_college:stg_player_profile_college season_preseason:stg_player_profile_preseason
+        ranks_regular ranks_postseason total_regular total_postseason total_allstar total_college total_preseason
+    """),
+    "fact_player_pt_shots_detail": ("breakdown_type", "stg_player_pt_shots_", "base:stg_player_pt_shots closest_def dribble general overall shot_clock touch_time"),
+    "fact_player_shooting_splits_detail": ("shooting_split", "stg_player_shoot_", """
+        assisted_by assisted_shot overall by_5ft:stg_player_shoot_5ft by_8ft:stg_player_shoot_8ft by_area:stg_player_shoot_area
+        by_type:stg_player_shoot_type type_summary
+    """),
+    "fact_scoreboard_detail": ("detail_type", "stg_scoreboard_", """
+        available:stg_scoreboard east_conf_standings:stg_scoreboard_east_conf west_conf_standings:stg_scoreboard_west_conf last_meeting
+        line_score series_standings v2_series_standings team_leaders ticket_links
+    """),
+    "fact_team_shooting_splits_detail": ("shooting_split", "stg_team_shoot_", """
+        assisted_by assisted_shot overall by_5ft:stg_team_shoot_5ft by_8ft:stg_team_shoot_8ft by_area:stg_team_shoot_area
+        by_type:stg_team_shoot_type
+    """),
+}
+
+# Outputs that are columns of one staged table.
+PROJECTIONS = {
+    "fact_box_score_four_factors": ("stg_box_score_four_factors_player", """
+        game_id team_id player_id effective_field_goal_percentage free_throw_attempt_rate team_turnover_percentage offensive_rebound_percentage
+        opp_effective_field_goal_percentage opp_free_throw_attempt_rate opp_team_turnover_percentage opp_offensive_rebound_percentage
+    """),
+    "fact_game_leaders": ("stg_game_leaders", "game_id team_id leader_type person_id name player_slug jersey_num position team_tricode points rebounds assists"),
+    "fact_matchup": ("stg_matchup", "game_id off_player_id def_player_id off_team_id def_team_id matchup_min partial_poss player_pts def_fgm def_fga def_fg_pct"),
+    "fact_play_by_play_video": ("stg_play_by_play_video_available", "video_available"),
+    "fact_player_estimated_metrics": ("stg_player_tracking", """
+        player_id team_id gp w l min e_off_rating e_def_rating e_net_rating e_pace e_ast_ratio e_oreb_pct e_dreb_pct e_reb_pct e_tov_pct
+        e_usg_pct season_year
+    """),
+    "fact_scoreboard_game_header": ("stg_scoreboard", """
+        game_date_est game_sequence game_id game_status_id game_status_text gamecode home_team_id visitor_team_id season live_period
+        live_pc_time natl_tv_broadcaster_abbreviation home_tv_broadcaster_abbreviation away_tv_broadcaster_abbreviation
+        live_period_time_bcast arena_name wh_status
+    """),
+    "fact_scoreboard_last_meeting": ("stg_scoreboard_last_meeting", """
+        game_id last_game_id last_game_date_est last_game_home_team_id last_game_home_team_city last_game_home_team_name
+        last_game_home_team_abbreviation last_game_home_team_points last_game_visitor_team_id last_game_visitor_team_city
+        last_game_visitor_team_name last_game_visitor_team_city1 last_game_visitor_team_points
+    """),
+    "fact_scoreboard_line_score": ("stg_scoreboard_line_score", """
+        game_date_est game_sequence game_id team_id team_abbreviation team_city_name team_name team_wins_losses pts_qtr1 pts_qtr2 pts_qtr3
+        pts_qtr4 pts_ot1 pts_ot2 pts_ot3 pts_ot4 pts_ot5 pts_ot6 pts_ot7 pts_ot8 pts_ot9 pts_ot10 pts fg_pct ft_pct fg3_pct ast reb tov
+    """),
+    "fact_scoreboard_team_leaders": ("stg_scoreboard_team_leaders", """
+        game_id team_id team_city team_nickname team_abbreviation pts_player_id pts_player_name pts reb_player_id reb_player_name reb
+        ast_player_id ast_player_name ast
+    """),
+    "fact_scoreboard_ticket_links": ("stg_scoreboard_ticket_links", "game_id leag_tix"),
+    "fact_synergy": ("stg_synergy", """
+        player_id team_id season_year entity_type play_type type_grouping gp poss poss_pct ppp pts fgm fga fg_pct efg_pct ft_poss_pct
+        tov_poss_pct sf_poss_pct score_poss_pct percentile
+    """),
+    "fact_team_estimated_metrics": ("stg_team_dashboard_estimated", """
+        team_id gp w l min e_off_rating e_def_rating e_net_rating e_pace e_ast_ratio e_oreb_pct e_dreb_pct e_reb_pct e_tov_pct season_year
+    """),
+    "fact_win_prob_pbp": ("stg_win_prob_pbp", """
+        game_id event_num home_pct visitor_pct home_pts visitor_pts home_score_margin period seconds_remaining home_poss_ind home_g description
+        location pctimestring isvisible
+    """),
+    "fact_win_probability": ("stg_win_probability", "game_id event_num period pc_time_string home_pct visitor_pct home_pts visitor_pts home_score_margin"),
+}
+
+
+def branches(prefix: str, values: str) -> dict[str, str]:
+    """Value to staged table."""
+    return {v.partition(":")[0]: v.partition(":")[2] or prefix + v for v in values.split()}
+
+
 def label(source: str) -> str:
     """A branch's discriminator: the staged table's name without its prefix."""
     return source.removeprefix("stg_")
@@ -159,4 +249,8 @@ def outputs(staged: set[str] | None = None) -> list[Model]:
     for o, sources in UNIONS.items():
         if live := [s for s in sources if there(s)]:
             out.append(union(o, "source", {label(s): s for s in live}))
+    for o, (column, prefix, values) in LABELLED.items():
+        if live := {v: s for v, s in branches(prefix, values).items() if there(s)}:
+            out.append(union(o, column, live))
+    out += [projection(o, s, {c: c for c in columns.split()}) for o, (s, columns) in PROJECTIONS.items() if there(s)]
     return out

@@ -15,6 +15,7 @@ from tipoff.functions.scalars import EVENT_NAMES, code_name, ratio, text_key
 from tipoff.operators import reshape as R
 from tipoff.operators import windows as W
 from tipoff.plans.models import Model
+from tipoff.sources.generators import calendar
 
 c = F.col
 Frames = dict[str, DataFrame]
@@ -185,6 +186,18 @@ def _(games, weeks):
     return look_up(out, weeks, same("season_year", "week_number"), {"week_start_date": "start_date", "week_end_date": "end_date"})
 
 
+@model("dim_date")
+def _():
+    """The days from 1946 to a year from today; a season begins in October."""
+    from pyspark.sql import SparkSession
+
+    span = SparkSession.active().range(1).select(F.lit("1946-01-01").cast("date").alias("lo"), F.date_add(F.current_date(), 365).alias("hi"))
+    day, year = c("day"), F.year("day")
+    start = F.when(F.month("day") >= 10, year).otherwise(year - 1)
+    d = calendar(span).select("date_key", c("iso").alias("full_date"), day.alias("_day"), year.alias("year"), F.month("day").alias("month"), F.dayofmonth("day").alias("day"), c("weekday").alias("day_of_week"), "day_name", "month_name", "is_weekend", F.concat(start.cast("string"), F.lit("-"), F.lpad(((start + 1) % 100).cast("string"), 2, "0")).alias("nba_season"))
+    return d.drop("_day")
+
+
 # --- bridges
 
 
@@ -224,6 +237,29 @@ def _(officials):
 # --- facts
 
 
+@model("fact_game_context", "stg_game_summary", "stg_game_info", "stg_other_stats", "stg_inactive_players", "stg_season_series", "stg_last_meeting", "stg_game_summary_available_video")
+def _(summary, info, stats, inactive, series, meeting, video):
+    """A game's summary with its info and other statistics, and the rows of four further sources, by their source."""
+    whole = summary
+    for more in (info, stats):
+        one = one_each(more, ["game_id"])
+        whole = whole.join(one.select("game_id", *(x for x in one.columns if x not in whole.columns)), "game_id", "left")
+    return R.tagged_union({"summary": whole, "inactive_players": inactive, "season_series": series, "last_meeting": meeting, "available_video": video}, "context_source")
+
+
+@model("fact_playoff_picture", *(f"stg_playoff_picture_{side}{part}" for side in ("east", "west") for part in ("", "_standings", "_remaining")))
+def _(*sides):
+    """Both conferences' pictures with their standings and remaining games."""
+
+    def side(picture, *more):
+        for m in more:
+            one = one_each(m, ["team_id"])
+            picture = picture.join(one.select("team_id", *(x for x in one.columns if x not in picture.columns)), "team_id", "left")
+        return picture
+
+    return R.tagged_union({"East": side(*sides[:3]), "West": side(*sides[3:])}, "conference")
+
+
 def in_game(rows: DataFrame, games: DataFrame, columns: list[str]) -> DataFrame:
     """Player rows with the game's season after the keys."""
     got = look_up(rows.filter(c("player_id").isNotNull()), games, same("game_id"), same("season_year"))
