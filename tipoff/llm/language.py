@@ -10,7 +10,7 @@ a prediction are the text's bytes alone.
 
 Defined results: a null text, one without any letter, or one met by a model that learned nothing gives `und` with score
 0; ties between languages go to the first in code point order; repeated rows give repeated results; texts of any length
-are read whole; extra columns are ignored. Letters A-Z are folded.
+are read whole; an empty table gives an empty result; extra columns are ignored. Letters A-Z are folded.
 """
 
 from __future__ import annotations

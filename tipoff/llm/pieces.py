@@ -12,7 +12,7 @@ The public model file stores merge ranks, not probabilities: a piece of rank r w
 exact text; the encoder verifies that for each row.
 
 Defined results: null and empty texts have no pieces and are lossless (a null text decodes to an empty one); rows with one
-key and one text get one segmentation; a null key counts as 0; extra columns are ignored.
+key and one text get one segmentation; a null key counts as 0; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -5,7 +5,7 @@ encodings (DER with consistent nested lengths, OpenSSH key blobs), key blocks wh
 signed-token headers, or text that itself holds an assigned secret or access key. Candidates are delimited first and then
 parsed once each, so the time is linear in the text, whatever it holds.
 
-Defined results: null and empty texts have no spans; repeated rows give repeated results; extra columns are ignored.
+Defined results: null and empty texts have no spans; repeated rows give repeated results; an empty table gives an empty result; extra columns are ignored.
 Offsets are code points, end exclusive; spans of one start are listed by kind, then end. Whole texts of any length are
 scanned; a text without any trigger byte sequence is passed
 over by vectorised search, which can't miss a match because each pattern contains a trigger.

@@ -12,7 +12,7 @@ word and the word's leading 4 to 8 bytes; the most significant one scores it.
 Defined results: null or empty texts have no segment and get the score of no evidence; without usable labels (none, or
 of one kind) every score is the share of toxic labels (0 if none); a doc_id with several labels counts as toxic if any
 says so, and one with several texts is learned from the smallest; repeated rows give repeated results; texts of any length
-are scanned whole; equal segments keep the order of the text; extra columns are ignored. Tokens are runs of letters A-Z,
+are scanned whole; equal segments keep the order of the text; an empty table gives an empty result; extra columns are ignored. Tokens are runs of letters A-Z,
 a-z (folded) and of bytes beyond ASCII.
 """
 
