@@ -29,7 +29,8 @@ def write_parquet(df: DataFrame, path: str, by: str | None = None) -> None:
     of the rows is written by many tasks, small values share one. The table is written beside the path and then renamed into
     place, so what is there stays readable until the new one is whole.
     """
-    whole, name = path.rstrip("/").rsplit("/", 1)
+    whole, _, name = path.rstrip("/").rpartition("/")
+    whole = whole or "."
     folder, new, old = Folder(df.sparkSession, whole), f".new-{name}-{uuid.uuid4().hex}", f".old-{name}-{uuid.uuid4().hex}"
     w = (df.hint("rebalance", by) if by else df).write.option("compression", "zstd")
     (w.partitionBy(by) if by else w).parquet(f"{whole}/{new}")
