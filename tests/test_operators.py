@@ -203,3 +203,36 @@ def test_dates_contexts_and_pictures(spark):
     got = sorted((r.context_source, r.game_id, r.a, r.b, r.z) for r in frames["fact_game_context"].collect() if r.context_source == "summary")
     assert got == [("summary", "g1", 1, 8, None), ("summary", "g2", 2, None, 9)] and frames["fact_game_context"].count() == 6
     assert sorted((r.conference, r.team_id, r.wins, r.left) for r in frames["fact_playoff_picture"].collect()) == [("East", 1, 5, None), ("West", 2, 5, None)]
+
+
+def test_nearest_makes_no_pairs_and_equals_brute_force(spark):
+    """Ties, hot places, nulls, keys of one side only."""
+    import random
+
+    rng = random.Random(4)
+    at = lambda: rng.choice([None, -1.5, 0.0, 3.25, *(rng.randrange(-40, 40) / 8 for _ in range(6))])
+    left = [(i, rng.randrange(4), at()) for i in range(400)] + [(1000 + i, 1, 0.5) for i in range(200)] + [(2000, None, 1.0)]
+    right = [(i, rng.choice([0, 1, 1, 1, 2]), at()) for i in range(120)] + [(500, 4, None), (501, 5, 1.0), (499, 4, None)]
+    left += [(3000, 4, 1.0), (3001, 4, None)]
+    want = {}
+    for i, k, z in left:
+        near = sorted((z is None or w is None, abs(z - w) if z is not None and w is not None else 0.0, j) for j, q, w in right if q == k)
+        if near:
+            want[i] = (near[0][2], None if near[0][0] else near[0][1])
+    a, b = spark.createDataFrame(left, "i long, k int, za double"), spark.createDataFrame(right, "j long, k int, zb double")
+    got = joins.nearest(a, b, ["k"], "za", "zb", "j").collect()
+    assert {r.i: (r.j, r.d) for r in got} == want and len(got) == len(want)
+
+
+def test_prospects_of_null_balances_equal_sql(spark, tmp_path):
+    """A distance of null comes last, as the SQL has it."""
+    import duckdb
+
+    from tipoff.plans import catalogue
+
+    con = duckdb.connect()
+    for t, k in (("customer", "c"), ("supplier", "s")):
+        con.execute(f"copy (select * replace (case when {k}_{'custkey' if k == 'c' else 'suppkey'} % 3 > 0 then {k}_acctbal end as {k}_acctbal) from '/root/testdata/sf0.01/{t}.parquet') to '{tmp_path}/{t}.parquet' (format parquet)")
+        con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet'")
+    got = sorted(map(tuple, catalogue.queries()["an_26_prospects"](spark, str(tmp_path)).select("c_custkey", "s_suppkey", "d").collect()), key=str)
+    assert got == sorted(con.execute(catalogue.oracle_sql()["an_26_prospects"]).fetchall(), key=str) and any(r[2] is None for r in got)
