@@ -122,3 +122,19 @@ def test_work_plans_are_balanced(spark):
         loads[p.shard] += p.load
     largest = max(Counter({p.i: sum(q.load for q in plan if q.i == p.i) for p in plan}).values())
     assert len(loads) == 5 and max(loads.values()) - min(loads.values()) <= largest
+
+
+def test_selection_gets_past_a_value_that_fills_a_range(spark, monkeypatch):
+    """Cuts by share of rows alone are all that value, and a round would leave its range as it was; weights count as rows do."""
+    monkeypatch.setattr(selection.ranked, "__defaults__", (8, 4))
+    df = spark.range(5000).select((F.when(F.col("id") < 60, F.col("id").cast("double")).otherwise(1e6)).alias("v"), F.lit(3).alias("w"))
+    got = selection.quantiles(df, [], "v", {"lo": 0.0, "low": 0.005, "p50": 0.5, "hi": 1.0}, 8).collect()[0]
+    assert (got.lo, round(got.low, 6), got.p50, got.hi) == (0.0, 24.995, 1e6, 1e6)
+    one = selection.quantiles(spark.createDataFrame([(1.0, 3), (2.0, 1)], "v double, w long"), [], "v", {"p50": 0.5, "p90": 0.9}, weight="w").collect()[0]
+    assert one.p50 == 1.0 and round(one.p90, 6) == 1.7
+
+
+def test_profile_counts_values_in_their_own_type(spark):
+    """0.0 and -0.0 are one value, as in SQL; as texts they were two."""
+    p = {r.column: r for r in selection.profile(spark.createDataFrame([(0.0, "a"), (-0.0, "a"), (None, "b")], "x double, s string")).collect()}
+    assert p["x"].distinct == 1 and p["x"].nulls == 1 and p["x"].rows == 3 and p["s"].top == "a=2,b=1"
