@@ -27,7 +27,7 @@ def pivot_max(df: DataFrame, keys: list[str], on: str, values: list, metric: str
 
 
 def quantiles(df: DataFrame, keys: list[str], value: str, points: dict[str, float]) -> DataFrame:
-    """Exact interpolated quantiles."""
+    """Exact interpolated quantiles by Spark's percentile, for groups whose distinct values fit in a task; selection.quantiles is for any."""
     return df.groupBy(*keys).agg(*(F.percentile(value, F.lit(p)).alias(n) for n, p in points.items()))
 
 

@@ -9,6 +9,7 @@ from tipoff.functions import scalars as S
 from tipoff.operators import aggregates as A
 from tipoff.operators import joins as J
 from tipoff.operators import reshape as R
+from tipoff.operators import selection
 from tipoff.operators import windows as W
 from tipoff.plans.catalogue import query, rounded
 
@@ -326,7 +327,7 @@ def _(t):
 
 @query("agg_10_quantiles", "SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.5), 4) AS p50, round(quantile_cont(l_extendedprice, 0.95), 4) AS p95 FROM lineitem GROUP BY 1")
 def _(t):
-    return rounded(A.quantiles(t.lineitem, ["l_returnflag"], "l_extendedprice", {"p50": 0.5, "p95": 0.95}))
+    return rounded(selection.quantiles(t.lineitem, ["l_returnflag"], "l_extendedprice", {"p50": 0.5, "p95": 0.95}))
 
 
 @query("agg_11_pivot", "SELECT user_id, max(CASE WHEN event_type = 'click' THEN value END) AS click, max(CASE WHEN event_type = 'purchase' THEN value END) AS purchase, max(CASE WHEN event_type = 'view' THEN value END) AS view FROM events GROUP BY 1")
