@@ -28,15 +28,16 @@ def settings(spark: SparkSession, values: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def replay_snapshots(spark: SparkSession, landing: str, out: str, state: str, keys: list[str], source: str, schema: StructType, at: str | None = None, delay: str | None = None) -> list[dict]:
+def replay_snapshots(spark: SparkSession, landing: str, out: str, state: str, keys: list[str], source: str, schema: StructType, at: str | None = None, delay: str | None = None, most: int = 1 << 30) -> list[dict]:
     """Append landed files to a snapshot table: all that is new since the last run, each batch once. The progress of each batch.
 
     Rows without a natural key are refused. Exact duplicates (same key and row hash) are removed by streaming state: the query keeps
     the keys and hashes that it has seen in its state store, so a batch looks up its own rows and reads none of the table. With a time column
     `at` and a `delay`, duplicates count within the watermark only and older state is dropped. A batch writes its own folder, so one that is
-    run again after a failure replaces what it wrote, from the same state.
+    run again after a failure replaces what it wrote, from the same state. A batch takes files of up to `most` bytes, so their number
+    grows with the landed bytes, not with the files that a job happened to write.
     """
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).option("recursiveFileLookup", True).parquet(landing)
+    stream = spark.readStream.schema(schema).option("maxBytesPerTrigger", most).option("recursiveFileLookup", True).parquet(landing)
     rows = stream.dropna(subset=keys).withColumn("row_hash", F.xxhash64(*(F.col(c) for c in schema.names)))
     rows = rows.withWatermark(at, delay).dropDuplicatesWithinWatermark([*keys, "row_hash"]) if at and delay else rows.dropDuplicates([*keys, "row_hash"])
 
