@@ -206,3 +206,27 @@ def test_an_update_equals_a_full_load(spark):
     for m in ("game_totals", "customer_seasons", "seasons"):
         cols = f[m].columns
         assert rows(f[m]) == rows(full.tables[m].read().select(*cols))
+
+
+def test_a_stream_takes_many_small_files_in_one_batch(spark, path):
+    """The number of batches, each with its own state commit, grows with the landed bytes, not with the files."""
+    spark.range(90).selectExpr("id % 60 as k", "'v' as v").repartition(9).write.parquet(f"{path}/landing/poll")
+    run = lambda: snapshots.replay_snapshots(spark, f"{path}/landing", f"{path}/out", f"{path}/state", ["k"], "s", spark.createDataFrame([], KV).schema)
+    assert len([p for p in run() if p["numInputRows"]]) == 1
+    spark.range(70).selectExpr("id as k", "'v' as v").repartition(5).write.parquet(f"{path}/landing/poll-2")
+    assert len([p for p in run() if p["numInputRows"]]) == 1
+    assert rows(spark.read.parquet(f"{path}/out").select("k", "v")) == Counter((k, "v") for k in range(70))
+
+
+def test_an_upsert_makes_its_rows_once(spark, path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    made = spark.createDataFrame([(i % 3, "a", i) for i in range(30)], "y long, kind string, v long").mapInPandas(counted, "y long, kind string, v long")
+    g = Generations(spark, path, ["y", "kind"], 4)
+    g.upsert(made)
+    assert seen.value == 30 and g.load().count() == 30

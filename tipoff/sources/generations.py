@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tipoff.sources import sinks
 from tipoff.sources.buckets import Buckets
 
 EMPTY = "_sentinel"
@@ -22,8 +23,8 @@ class Generations:
 
     def upsert(self, rows: DataFrame, covered: DataFrame | None = None) -> str:
         """The name of the generation that holds now. Rows without a whole pair, or outside the covered pairs, are an error."""
-        rows = rows.distinct()
-        pairs = (covered if covered is not None else rows).select(*self.pair).distinct()
+        rows = sinks.written(rows.distinct())
+        pairs = sinks.written((covered if covered is not None else rows).select(*self.pair).distinct())
         bad = F.greatest(*(F.col(c).isNull().cast("int") for c in self.pair), F.lit(0)) > 0
         stray = rows.filter(bad).select(*self.pair).unionByName(pairs.filter(bad)).limit(1).collect() or rows.join(pairs, self.pair, "left_anti").select(*self.pair).limit(1).collect()
         if stray:
