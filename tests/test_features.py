@@ -120,3 +120,13 @@ def test_percent_ranks_by_ranges(spark):
         low = sum((x is not None and (v is None or x < v)) for x in mine)
         ties = sum(x == v for x in mine)
         assert math.isclose(got[i][1], low / len(mine)) and abs(got[i][0] - (low + 1 + (ties - 1) / 2) / len(mine) * 100) <= 0.05 + 1e-9
+
+
+def test_era_edges_join_few_pairs_of_blocks(spark):
+    """Directions of three numbers: with about a pivot for each block, most pairs of blocks are ruled out, and the edges are those of all pairs."""
+    df = spark.range(6000).selectExpr("id", "array(sin(id * 7.3), cos(id * 3.1), sin(id * 1.7 + 1)) as v", "0 as g")
+    got, pairs = N.pruned_edges(df, "id", "v", "g", block=64)
+    n = pairs.agg(F.count(F.lit(1)), F.count_if("looked")).collect()[0]
+    assert n[1] < 0.35 * n[0]
+    want = {(r.src, r.dst) for r in N.similarity_edges(df, "id", "v", "g").select("src", "dst").collect()}
+    assert {(r.src, r.dst) for r in got.select("src", "dst").collect()} == want and len(want) == 18000

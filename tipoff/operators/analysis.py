@@ -164,10 +164,10 @@ def _angles(batches, pivots: np.ndarray, kind: pa.DataType):
         yield pa.RecordBatch.from_arrays([b.column("g"), b.column("id"), b.column("v"), pa.array(p.astype(np.int32)), pa.array(np.where(size[:, 0] > 0, np.arccos(cos[np.arange(len(p)), p]), np.nan))], names=["g", "id", "v", "p", "angle"])
 
 
-def pruned_edges(df: DataFrame, id_col: str, vec: str, group: str, block: int = 2048, n: int = 3, pivots: int = 64) -> tuple[DataFrame, DataFrame]:
+def pruned_edges(df: DataFrame, id_col: str, vec: str, group: str, block: int = 2048, n: int = 3, pivots: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Top n neighbours by cosine inside groups, exactly as similarity_edges finds them, and the pairs of blocks (g, a, b, bound, looked).
 
-    Vectors are dealt to their nearest pivot (directions that lie far apart, among at most SAMPLE rows of smallest hash), ordered by their angle to it and cut into
+    Vectors are dealt to their nearest pivot (directions that lie far apart, among at most SAMPLE rows of smallest hash; about one for each block, 64 to 1,024), ordered by their angle to it and cut into
     blocks, so that a block is a ring around its pivot. A block is first joined with itself; the largest angle that one of its vectors has
     to its n-th neighbour so far is the block's reach. By the triangle inequality of angles, the rings of two blocks bound the angle of any
     of their vectors from below: pairs of blocks whose bound lies beyond the reach hold no top n and are never joined. Vectors without
@@ -179,8 +179,8 @@ def pruned_edges(df: DataFrame, id_col: str, vec: str, group: str, block: int =
     some = [r.v for r in directed.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()]
     if not some:
         return similarity_edges(df, id_col, vec, group, block, n), spark.createDataFrame([], f"g {df.schema[group].dataType.simpleString()}, a long, b long, bound double, looked boolean")
-    centre = _far_apart(np.array(some, float), pivots)
-    between = np.arccos(np.clip(centre @ centre.T, -1, 1)).tolist()
+    centre = _far_apart(np.array(some, float), pivots or min(1024, max(64, v.count() // block)))
+    at = spark.createDataFrame([(i, row) for i, row in enumerate(centre.tolist())], "p int, at array<double>")
     placed = v.mapInArrow(lambda it: _angles(it, centre, None), f"g {df.schema[group].dataType.simpleString()}, id {kind}, v array<double>, p int, angle double")
     placed = placed.withColumn("p", F.when(F.isnan("angle"), -1).otherwise(F.col("p"))).withColumn("angle", F.when(~F.isnan("angle"), F.col("angle")).otherwise(0.0))
     numbered = W.dense_key(placed, ["g", "p", "angle", "id"], "k")
@@ -196,11 +196,11 @@ def pruned_edges(df: DataFrame, id_col: str, vec: str, group: str, block: int =
     rings = x.groupBy("g", "p", "b").agg(F.min("angle").alias("lo"), F.max("angle").alias("hi"), F.count(F.lit(1)).alias("size"))
     rings = rings.join(worst, "b", "left")
     whole = (F.col("p") >= 0) & (F.col("have") == F.col("size")) & (F.col("short") == 0)
-    rings = sinks.written(rings.select("g", "p", "b", "lo", "hi", F.when(whole, F.acos(F.greatest(F.least("c", F.lit(1.0)), F.lit(-1.0)))).otherwise(math.pi).alias("reach")))
-    far = F.array(*(F.array(*(F.lit(d) for d in row)) for row in between))
-    a, z = (rings.select("g", *(F.col(k).alias(f"{k}_{s}") for k in ("p", "b", "lo", "hi", "reach"))) for s in "az")
-    d = F.when((F.col("p_a") >= 0) & (F.col("p_z") >= 0), F.get(F.get(far, F.col("p_a")), F.col("p_z")))
+    rings = sinks.written(rings.select("g", "p", "b", "lo", "hi", F.when(whole, F.acos(F.greatest(F.least("c", F.lit(1.0)), F.lit(-1.0)))).otherwise(math.pi).alias("reach")).join(F.broadcast(at), "p", "left"))
+    a, z = (rings.select("g", *(F.col(k).alias(f"{k}_{s}") for k in ("b", "lo", "hi", "reach", "at"))) for s in "az")
+    d = F.acos(F.greatest(F.least(dot(F.col("at_a"), F.col("at_z")), F.lit(1.0)), F.lit(-1.0)))
     gap = F.greatest(d - F.col("hi_a") - F.col("hi_z"), F.col("lo_a") - d - F.col("hi_z"), F.col("lo_z") - d - F.col("hi_a"), F.lit(0.0))
+    gap = F.when(d.isNotNull(), gap)
     pairs = a.join(z, "g").filter("b_a <> b_z").select("g", F.col("b_a").alias("a"), F.col("b_z").alias("b"), F.coalesce(gap, F.lit(0.0)).alias("bound"), "reach_a")
     pairs = sinks.written(pairs.select("g", "a", "b", "bound", (F.col("bound") <= F.col("reach_a") + 1e-7).alias("looked")))
     open_ = pairs.filter("looked").select("a", "b")

@@ -214,7 +214,7 @@ SELECT src, dst FROM (SELECT x.id AS src, q.id AS dst, row_number() OVER (PARTIT
 def _(t):
     s = lines(t).groupBy(order_year().alias("y"), c("l_suppkey").alias("s")).agg(F.avg("l_quantity").alias("a"), F.avg("l_extendedprice").alias("b"), F.avg("l_tax").alias("d"))
     z = W.z_scores(s, ["y"], ["a", "b", "d"]).select((c("y").cast("long") * 1000000 + c("s")).alias("id"), F.array("a_z", "b_z", "d_z").alias("v"), F.lit(0).alias("all"))
-    return N.similarity_edges(z, "id", "v", "all").select("src", "dst")
+    return N.pruned_edges(sinks.written(z), "id", "v", "all")[0].select("src", "dst")
 
 
 @query("an_10_mixtures")
