@@ -73,6 +73,7 @@ class Warehouse:
         A report for each table: keys computed again, changed rows, rewritten buckets.
         """
         changed, report = {}, []
+        new = {k for k, t in self.tables.items() if t.log.head() < 0}
         for name, (keys, rows) in changes.items():
             keys = self._keep(keys.select(*self.tables[name].keys).distinct(), f"{name}-keys")
             changed[name], n = self._put(name, keys, rows)
@@ -92,8 +93,10 @@ class Warehouse:
             n_keys = keys.count()
             if not n_keys:
                 continue
-            limited = {i: self._limited(m, i, frames[i], keys) for i in m.inputs}
-            changed[name], n = self._put(name, keys, m.build(limited))
+            if {name, *m.inputs} <= new:  # all rows of all inputs have come: every key is touched
+                changed[name], n = self._put(name, keys, m.build({i: frames[i] for i in m.inputs}).dropna(subset=m.keys))
+            else:
+                changed[name], n = self._put(name, keys, m.build({i: self._limited(m, i, frames[i], keys) for i in m.inputs}))
             rows = changed[name].count()
             if not rows:
                 changed.pop(name)  # nothing that later models read has changed

@@ -23,8 +23,9 @@ SELECT p.y, p.kind, count(s.l_suppkey) AS rows, CAST(2 AS BIGINT) AS generations
 def _(t):
     """Supplier-part rows by pairs of year and kind: two upserts that overlap in a year, then a repeat, which names the generation that is there."""
     s = t.lineitem.select(F.year("l_shipdate").cast("long").alias("y"), c("l_returnflag").alias("kind"), "l_suppkey", "l_partkey").distinct()
+    s = sinks.written(s)  # three upserts and the pairs read it
     kinds = s.select("kind").distinct().unionByName(t.spark.range(1).select(F.lit("none").alias("kind")))
-    pairs = s.select("y").distinct().join(F.broadcast(kinds))  # years by at most four kinds
+    pairs = sinks.written(s.select("y").distinct().join(F.broadcast(kinds)))  # years by at most four kinds
     g = Generations(t.spark, sinks.work_dir(t.spark) + "/workload", ["y", "kind"])
     early, late = "y <= 1996", "y >= 1996"
     names = [g.upsert(s.filter(part), pairs.filter(part)) for part in (early, late, late)]
@@ -140,14 +141,14 @@ def refreshed(t):
     """A warehouse loaded with all but the last 30 days' games, then updated with those and with one corrected customer's games."""
     w = Warehouse(t.spark, sinks.work_dir(t.spark) + "/warehouse", {"games": ["o_orderkey"], "lines": ["l_orderkey"]}, season_models())
     games = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice").join(t.orders.select(c("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    lines = sinks.written(t.lineitem.select("l_orderkey", "l_linenumber", "l_extendedprice").join(t.orders.select(c("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi"))
     last = games.agg(F.max("o_orderdate").alias("d"))
     new = games.join(F.broadcast(last)).filter(c("o_orderdate") > c("d") - F.expr("interval 30 days")).select("o_orderkey")
-    old = games.join(new, "o_orderkey", "left_anti")
+    new, old = sinks.written(new), sinks.written(games.join(new, "o_orderkey", "left_anti"))
     wrong = games.groupBy().agg(F.min("o_custkey").alias("k"))
-    fix = old.join(F.broadcast(wrong), c("o_custkey") == c("k")).select("o_orderkey")
+    fix = sinks.written(old.join(F.broadcast(wrong), c("o_custkey") == c("k")).select("o_orderkey"))
     halved = lines.join(fix.select(c("o_orderkey").alias("l_orderkey")).withColumn("w", F.lit(2)), "l_orderkey", "left").withColumn("l_extendedprice", c("l_extendedprice") / F.coalesce("w", F.lit(1))).drop("w")
-    stored = halved.join(new.select(c("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_anti")
+    stored = sinks.written(halved.join(new.select(c("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_anti"))
     w.update({"games": (old, old), "lines": (stored.select("l_orderkey").unionByName(old.select(c("o_orderkey").alias("l_orderkey"))), stored)})
     keys = new.unionByName(fix)
     report = w.update({"games": (new, games.join(new, "o_orderkey", "left_semi")), "lines": (keys.select(c("o_orderkey").alias("l_orderkey")), lines.join(keys.select(c("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi"))})
