@@ -23,6 +23,15 @@ def test_walk_forward_learns_what_no_line_separates(spark):
     assert sum((r.probability > 0.5) == (r.label == 1) for r in out) > 0.75 * len(out)
 
 
+def test_walk_forward_trains_on_every_row_as_weights(spark, tmp_path, monkeypatch):
+    """Rows that trees can't tell apart are one row of their weight: ten times the rows make no more rows to train on."""
+    monkeypatch.setattr(N.sinks, "work_dir", lambda _: str(tmp_path))
+    rows = [(s, float(x), None if x == 3 else float(x % 4), int(x > 5)) for s in range(3) for x in range(10)] * 10
+    N.walk_forward(spark.createDataFrame(rows, "season int, x double, y double, label int"), "season", ["x", "y"], "label", seasons=[1])
+    train = spark.read.parquet(f"{tmp_path}/train-0")
+    assert train.count() == 10 and train.agg(F.sum("_n")).collect()[0][0] == 100
+
+
 def test_logs_and_chunks_hold_every_row(spark):
     orders, lines = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("orders", "lineitem"))
     log = QUERIES["q_player_game_log_all"](spark, SF)

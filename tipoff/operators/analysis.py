@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from tipoff.operators import windows as W
 from tipoff.sources import sinks
 
+#: Values or ranges of a column that trees tell apart (Spark's maxBins).
+BINS = 32
+
 
 def with_average(df: DataFrame, name: str, metrics: list[str], label: str = "average") -> DataFrame:
     """The rows and one more with the mean of each metric."""
@@ -301,16 +304,34 @@ def peak_fit(curve: DataFrame, x: str, y: str, peaks: list[float], widths: list[
     return s.withColumn("sse", F.col("syy") * (1 - F.col("r2"))).orderBy("sse", "peak", "width").limit(1)
 
 
+def few_values(df: DataFrame, season: str, features: list[str]) -> dict[str, list]:
+    """The features of at most BINS values, with their (season, value) pairs."""
+    n = df.agg(*(F.approx_count_distinct(f).alias(f) for f in features)).collect()[0]
+    out = {}
+    for f in features:
+        if n[f] <= 2 * BINS:
+            pairs = df.select(season, f).filter(F.col(season).isNotNull() & F.col(f).isNotNull()).distinct().collect()  # under 2 BINS or so a season
+            if len({v for _, v in pairs}) <= BINS:
+                out[f] = pairs
+    return out
+
+
 def walk_forward(df: DataFrame, season: str, features: list[str], label: str, seasons: list | None = None, least: int = 50) -> DataFrame:
     """For each season (all with at least three before it), a stacked model of all earlier ones; (season, label, probability).
 
     Boosted trees and a random forest of all earlier seasons, medians of their training rows filled in, predict every season from the
     second on. A logistic model of these predictions for the seasons before a season blends its two; with fewer than least of
     them it is their mean. So nothing is learned from a season that is predicted, or from a later one.
+
+    Trees try at most BINS - 1 cuts of a column, so the earlier seasons are cut there first (at every value where there are few, else at
+    quantiles) and rows that fall alike are one row of that weight: a tree's many passes don't grow with the rows.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-    from pyspark.ml.feature import Imputer, VectorAssembler
+    from pyspark.ml.feature import Bucketizer, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
     two = {"ml_attr": {"type": "nominal", "vals": ["0", "1"]}}  # also where the earlier seasons have one label only
@@ -321,32 +342,57 @@ def walk_forward(df: DataFrame, season: str, features: list[str], label: str, se
         frame.write.parquet(f"{base_path}/{name}")
         return frame.sparkSession.read.schema(frame.schema).parquet(f"{base_path}/{name}").withColumn(label, F.col(label).alias(label, metadata=two))
 
-    df = keep(df.select(season, *features, F.col(label).cast("double").alias(label)), "games")
+    values = [F.nanvl(F.col(f).cast("double"), F.lit(None)).alias(f) for f in features]
+    df = keep(df.select(season, *values, F.col(label).cast("double").alias(label)), "games")
     sizes = {r[0]: r[1] for r in df.filter(F.col(season).isNotNull()).groupBy(season).count().orderBy(season).collect()}  # a row per season
     known = list(sizes)
     wanted = known[3:] if seasons is None else seasons
-    filled, base, out = [f"_in_{f}" for f in features], {}, df.select(season, label, F.lit(0.0).alias("probability")).limit(0)
-    for s in known[1:]:
-        if not any(s <= x for x in wanted):
-            break
-        past, here = df.filter(F.col(season) < s), df.filter(F.col(season) == s)
-        steps = [Imputer(strategy="median", inputCols=features, outputCols=filled), VectorAssembler(inputCols=filled, outputCol="_x", handleInvalid="keep")]
-        steps += [m(featuresCol="_x", labelCol=label, seed=42).setProbabilityCol(f"_p{k}").setRawPredictionCol(f"_r{k}").setPredictionCol(f"_c{k}") for k, m in enumerate((GBTClassifier, RandomForestClassifier))]
-        got = Pipeline(stages=steps).fit(past).transform(here).select(season, label, *(vector_to_array(f"_p{k}")[1].alias(f"_b{k}") for k in (0, 1)))
-        got = keep(got, f"predicted-{len(base)}")
-        before = [x for x in base if x < s]
-        if s in wanted:
-            if sum(sizes[x] for x in before) < least:
-                blend = got.select(season, label, ((F.col("_b0") + F.col("_b1")) / 2).alias("probability"))
-            else:
-                learned = base[before[0]]
-                for x in before[1:]:
-                    learned = learned.unionByName(base[x])
-                steps = [VectorAssembler(inputCols=["_b0", "_b1"], outputCol="_x"), LogisticRegression(featuresCol="_x", labelCol=label, probabilityCol="_pr", maxIter=1000)]
-                learned = learned.withColumn(label, F.col(label).alias(label, metadata=two))  # a union drops it
-                blend = Pipeline(stages=steps).fit(learned).transform(got).select(season, label, vector_to_array("_pr")[1].alias("probability"))
-            out = out.unionByName(blend)
-        base[s] = got
+    folds = [s for s in known[1:] if any(s <= x for x in wanted)]
+    few, filled = few_values(df, season, features), [f"_in_{f}" for f in features]
+    assemble = VectorAssembler(inputCols=filled, outputCol="_x")
+    quantiles = [k / BINS for k in range(1, BINS)]
+
+    def fit(k: int) -> tuple[DataFrame, DataFrame]:
+        """Both predictions of the k-th fold's season: of each row, and of rows that fall alike, with their weights."""
+        past, here = df.filter(F.col(season) < folds[k]), df.filter(F.col(season) == folds[k])
+        at = [q or [0.0] * len(quantiles) for q in past.approxQuantile(features, quantiles, 0.001)]
+        medians = {f: q[BINS // 2 - 1] for f, q in zip(features, at, strict=True)}
+        cuts = [sorted({v for s, v in few[f] if s < folds[k]} or {0.0}) if f in few else sorted(set(q)) for f, q in zip(features, at, strict=True)]
+        bins = Bucketizer(inputCols=features, outputCols=filled, splitsArray=[[-math.inf, *c, math.inf] for c in cuts])
+
+        def binned(frame: DataFrame) -> DataFrame:
+            return bins.transform(frame.fillna(medians)).withColumns({f: F.col(f).cast("int") for f in filled})  # numbers, not the bucketizer's kinds
+
+        def alike(frame: DataFrame) -> DataFrame:
+            return binned(frame).groupBy(label, *filled).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+
+        train = keep(alike(past).sortWithinPartitions(label, *filled), f"train-{k}")
+        trees = [m(featuresCol="_x", labelCol=label, weightCol="_n", seed=42, maxBins=BINS) for m in (GBTClassifier, RandomForestClassifier)]
+        trees = [m.setProbabilityCol(f"_p{i}").setRawPredictionCol(f"_r{i}").setPredictionCol(f"_c{i}") for i, m in enumerate(trees)]
+        model = Pipeline(stages=[assemble, *trees]).fit(train)
+
+        both = [vector_to_array(f"_p{i}")[1].alias(f"_b{i}") for i in (0, 1)]
+        rows = model.transform(binned(here)).select(season, label, *both)
+        return rows, keep(model.transform(alike(here)).select(label, "_n", *both), f"predicted-{k}")
+
+    with ThreadPoolExecutor(4) as pool:  # folds don't need each other's models
+        base = dict(zip(folds, pool.map(inheritable_thread_target(df.sparkSession)(fit), range(len(folds))), strict=True))
+    out = df.select(season, label, F.lit(0.0).alias("probability")).limit(0)
+    for s in (x for x in folds if x in wanted):
+        got, before = base[s][0], [x for x in folds if x < s]
+        if sum(sizes[x] for x in before) < least:
+            blend = got.select(season, label, ((F.col("_b0") + F.col("_b1")) / 2).alias("probability"))
+        else:
+            learned = base[before[0]][1]
+            for x in before[1:]:
+                learned = learned.unionByName(base[x][1])
+            steps = [VectorAssembler(inputCols=["_b0", "_b1"], outputCol="_x"), LogisticRegression(featuresCol="_x", labelCol=label, weightCol="_n", probabilityCol="_pr", maxIter=1000)]
+            learned = learned.withColumn(label, F.col(label).alias(label, metadata=two))  # a union drops it
+            steps[1] = steps[1].fit(steps[0].transform(learned))
+            for step in steps:
+                got = step.transform(got)
+            blend = got.select(season, label, vector_to_array("_pr")[1].alias("probability"))
+        out = out.unionByName(blend)
     return out
 
 
