@@ -236,3 +236,13 @@ def test_prospects_of_null_balances_equal_sql(spark, tmp_path):
         con.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet'")
     got = sorted(map(tuple, catalogue.queries()["an_26_prospects"](spark, str(tmp_path)).select("c_custkey", "s_suppkey", "d").collect()), key=str)
     assert got == sorted(con.execute(catalogue.oracle_sql()["an_26_prospects"]).fetchall(), key=str) and any(r[2] is None for r in got)
+
+
+def test_pairs_are_dealt_by_rows(spark, monkeypatch):
+    """However small the rows are when compressed: a task pairs a fixed number of them."""
+    monkeypatch.setattr(reshape, "PAIR_ROWS", 10, raising=False)
+    df = spark.range(200).select((F.col("id") % 50).alias("g"), (F.col("id") % 7).alias("x"))
+    got = reshape.pair_rows(df.hint("merge"), ["g"], "x", [])
+    groups = [{k % 7 for k in range(g, 200, 50)} for g in range(50)]
+    assert sorted((r.g, r.first_id, r.second_id) for r in got.collect()) == sorted((g, a, b) for g, s in enumerate(groups) for a in s for b in s if a < b)
+    assert got.rdd.getNumPartitions() == 20

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows that a task pairs.
+PAIR_ROWS = 1 << 19
+
 
 def unpivot(df: DataFrame, keys: list[str], cols: dict[str, str], name: str, value: str, drop_null: bool = True) -> DataFrame:
     """Columns to rows in one scan."""
@@ -55,8 +58,12 @@ def tagged_union(frames: dict[str, DataFrame], label: str) -> DataFrame:
 
 
 def pair_rows(df: DataFrame, group: list[str], item: str, carry: list[str]) -> DataFrame:
-    """Pairs of distinct items that a group (bounded: a line-up, an order) holds, smaller first."""
-    items = df.select(*group, item, *carry).dropDuplicates([*group, item])
+    """Pairs of distinct items that a group (bounded: a line-up, an order) holds, smaller first.
+
+    Rows are dealt by group, PAIR_ROWS to a task: what a task pairs, and what is counted there, doesn't grow with the input.
+    """
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // PAIR_ROWS))
+    items = df.select(*group, item, *carry).repartition(n, *group).dropDuplicates([*group, item])
     a = items.select(*group, F.col(item).alias("first_id"), *carry)
     b = items.select(*group, F.col(item).alias("second_id"))
     return a.join(b, group).filter(F.col("first_id") < F.col("second_id"))
