@@ -173,3 +173,17 @@ def test_wide_tables_keep_the_grain(frames):
         zones.setdefault((11 + k % 2, "abc"[k % 3]), []).append(k % 2)
     assert rows(f["agg_shot_zones"], "player_id", "shot_zone_basic", "attempts", "makes") == sorted((*z, len(x), float(sum(x))) for z, x in zones.items())
     assert f["analytics_game_summary"].count() == 14
+
+
+def test_order_lines_are_dealt_once(spark):
+    """The first lines and their games need one exchange of the lines by order, not two."""
+    from tipoff.plans import catalogue, composed_queries
+
+    box = composed_queries.staging(catalogue.Tables(spark, "/root/testdata/sf0.001"))["stg_box_score_traditional"]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        plan = box._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("hashpartitioning(l_orderkey#") == 1

@@ -36,7 +36,8 @@ def staging(t) -> dict:
     )
     log = g.withColumn("matchup", F.concat_ws(" vs ", c("home_team_id").cast("string"), c("visitor_team_id").cast("string"))).withColumn("plus_minus_home", (c("pts_home") - c("pts_away")).cast("double")).withColumn("plus_minus_away", -c("plus_minus_home"))
     log = log.withColumn("arena_name", F.concat(F.lit("A"), c("home_team_id").cast("string"))).withColumn("arena_city", F.lit("C"))
-    first = W.first_of(t.lineitem, ["l_orderkey", "l_suppkey"], *(c(x) for x in FIRST))
+    # dealt by order once, for the first lines and for the join
+    first = W.first_of(t.lineitem.repartition("l_orderkey"), ["l_orderkey", "l_suppkey"], *(c(x) for x in FIRST))
     line = first.join(log.select("game_id", "o_orderkey", "home_team_id", "visitor_team_id"), c("l_orderkey") == c("o_orderkey"))
     line = line.withColumn("player_id", c("l_suppkey")).withColumn("team_id", F.when(c("l_linenumber") % 2 == 1, c("home_team_id")).otherwise(c("visitor_team_id")))
     box = line.select("game_id", "player_id", "team_id", F.lit(None).cast("string").alias("start_position"), F.lit(None).cast("string").alias("comment"), *(F.expr(x).cast("double").alias(n) for n, x in BOX.items()), *(F.lit(None).cast("double").alias(p) for p in SHARES), F.lit(0.0).alias("plus_minus"))
