@@ -215,3 +215,22 @@ def test_passages_about_the_length(spark, n_bytes):
     out = got(suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")), "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert out == brute.byte_dedup(rows)
     assert [out[k][1] for k in (0, 1, 9)] == ([n_bytes + 2] * 2 if n_bytes + 2 >= 400 else [0, 0]) + [0]
+
+
+@pytest.mark.parametrize("most", [64, 1])
+def test_short_repeats_are_counted(spark, fixture_rows, monkeypatch, most):
+    """Passages of over 50 words and under 400 bytes stay, and n_repeated tells of them; both ways of matching."""
+    from conftest import prose
+
+    monkeypatch.setattr(suffixes, "MAX_GROUP", most)
+    own = [(2000 + k, " ".join(prose(700 + k, 80))) for k in range(12)]
+    rows = own[8:] + [*fixture_rows]
+    for k in range(4):
+        passage = " ".join(w[:5] for w in prose(800 + k, 52 + 2 * k))
+        assert suffixes.SHORT <= len(passage.encode()) < suffixes.LENGTH
+        rows += [(i, f"{t} <{i} {passage} {i}> {t[::-1]}") for i, t in own[2 * k : 2 * k + 2]]
+    out = suffixes.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert got(out, "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.byte_dedup(rows)
+    repeated = {i: v[0] for i, v in got(out, "n_repeated").items()}
+    assert repeated == {i: v[1] for i, v in brute.byte_dedup(rows, suffixes.SHORT).items()}
+    assert all(repeated[i] for i, _ in own[:8]) and not any(repeated[i] for i, _ in own[8:])
